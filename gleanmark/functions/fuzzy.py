@@ -1,0 +1,46 @@
+"""Closest-label search by longest-matching-block ratio."""
+
+from __future__ import annotations
+
+from difflib import get_close_matches
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from gleanmark.functions.text import _col
+from gleanmark.session import MAX_VOCABULARY
+
+# Fixed value: the least ratio that counts as a match.
+FUZZY_CUTOFF = 0.7
+
+
+def closest_label(c: str | Column, labels: list[str], cutoff: float = FUZZY_CUTOFF) -> Column:
+    """The best label at or above ``cutoff``; ties go to the greatest label.
+
+    Send null for rows that need no search.  Each task remembers the answers it
+    has given, so a misspelling repeated a billion times is compared once per
+    task and nothing is shuffled.
+    """
+    if len(labels) > MAX_VOCABULARY:
+        raise ValueError(f"vocabulary above {MAX_VOCABULARY} labels")
+    known = list(labels)
+
+    @F.pandas_udf("string")
+    def search(batches: pd.Series) -> pd.Series:
+        best = _searcher(tuple(known), cutoff)
+        distinct = {v: best(v) for v in batches.dropna().unique()}
+        return batches.map(distinct).astype(object).where(batches.notna(), None)
+
+    return search(_col(c))
+
+
+@lru_cache(maxsize=8)
+def _searcher(labels: tuple[str, ...], cutoff: float):
+    @lru_cache(maxsize=200_000)
+    def best(candidate: str) -> str | None:
+        found = get_close_matches(candidate, labels, n=1, cutoff=cutoff)
+        return found[0] if found else None
+
+    return best
