@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 # every task.  A label vocabulary is a dimension; beyond this it is refused.
 MAX_VOCABULARY = 100_000
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", app: str = "gleanmark", **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -42,9 +44,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="gleanmark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="gleanmark-")
+    return _LOCAL_SCRATCH[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
