@@ -78,9 +78,9 @@ def pick_exact(
         ).alias("q")
     ).select(F.inline("q"))
     cuts = cut_points(keyed, quotas)
-    # One row with one column per name: a fixed, tiny side.
-    wide = cuts.agg(*[F.max(F.when(F.col("grp") == n, F.col("cut"))).alias(f"_cut_{n}") for n in names])
-    flagged = df.join(F.broadcast(wide))
-    for n in names:
-        flagged = flagged.withColumn(n, F.coalesce(hashes[n] <= F.col(f"_cut_{n}"), F.lit(False)))
-    return flagged.drop(*[f"_cut_{n}" for n in names])
+    wide = cuts.agg(*[F.max(F.when(F.col("grp") == n, F.col("cut"))).alias(n) for n in names])
+    found = wide.select(F.struct(*names)).scalar()
+    return df.withColumn("_cuts", found).select(
+        *df.columns,
+        *[F.coalesce(hashes[n] <= F.col("_cuts")[n], F.lit(False)).alias(n) for n in names],
+    )

@@ -28,7 +28,6 @@ def kept_quota(counts: DataFrame, n: str, fraction: float, label: str, out: str)
     share = kept.cast("decimal(19,0)") * F.col(n).cast("decimal(18,0)")
     parts = (
         with_total.withColumn("_kept", kept)
-        .withColumn("_whole", F.expr("cast(null as bigint)"))
         .withColumn("_share", share)
         .withColumn("_whole", F.expr("_share div _total"))
         .withColumn("_rest", F.expr("_share % _total"))
@@ -97,10 +96,8 @@ def stratified_split(
 def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
     """``split, n, fraction`` with the fraction rounded to four digits."""
     sizes = df.groupBy(split).agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n").alias("_total"))
-    return sizes.join(F.broadcast(total)).select(
-        split, "n", F.round(F.col("n") / F.col("_total"), 4).alias("fraction")
-    )
+    total = F.sum("n").over(Window.partitionBy())
+    return sizes.select(split, "n", F.round(F.col("n") / total, 4).alias("fraction"))
 
 
 def class_balance(df: DataFrame, label: str, split: str = "split") -> DataFrame:
@@ -110,43 +107,53 @@ def class_balance(df: DataFrame, label: str, split: str = "split") -> DataFrame:
 
 def conservation(df: DataFrame, parts: DataFrame, split: str = "split") -> DataFrame:
     """Do the split sizes add up to the input?  One row."""
-    before = df.agg(F.count("*").alias("observed_input"))
-    after = parts.agg(F.count("*").alias("observed_split"), F.count(split).alias("assigned"))
-    return before.join(F.broadcast(after)).withColumn(
+    before = df.agg(F.count("*").alias("n"), F.lit(None).cast("long").alias("assigned"))
+    after = parts.agg(F.count("*").alias("n"), F.count(split).alias("assigned"))
+    sides = before.unionByName(after)
+    return sides.agg(
+        F.max(F.when(F.col("assigned").isNull(), F.col("n"))).alias("n_input"),
+        F.max(F.when(F.col("assigned").isNotNull(), F.col("n"))).alias("n_split"),
+        F.max("assigned").alias("n_assigned"),
+    ).withColumn(
         "ok",
-        (F.col("observed_input") == F.col("observed_split"))
-        & (F.col("observed_split") == F.col("assigned")),
+        (F.col("n_input") == F.col("n_split")) & (F.col("n_split") == F.col("n_assigned")),
+    )
+
+
+def _class_by_split(df: DataFrame, label: str, split: str, splits: Sequence[str]) -> DataFrame:
+    """``label, split, n`` for every class and every split in ``splits``; absent is 0.
+
+    One aggregate: each class row carries one counter per split, then unfolds.
+    """
+    per_class = (
+        df.where(F.col(label).isNotNull())
+        .groupBy(label)
+        .agg(*[F.count_if(F.col(split) == s).alias(f"_n{i}") for i, s in enumerate(splits)])
     )
+    cells = F.array(
+        *[F.struct(F.lit(s).alias(split), F.col(f"_n{i}").alias("n")) for i, s in enumerate(splits)]
+    )
+    return per_class.select(label, F.inline(cells))
 
 
 def missing_classes(df: DataFrame, label: str, split: str, splits: Sequence[str]) -> DataFrame:
     """``split, label`` for every class a split lacks."""
-    pairs = df.groupBy(label, split).agg(F.count("*").alias("n"))
-    seen = pairs.where(F.col(label).isNotNull()).groupBy(label).agg(F.collect_set(split).alias("_seen"))
-    wanted = F.array(*[F.lit(s) for s in splits])
-    return seen.select(F.explode(F.array_except(wanted, "_seen")).alias(split), label)
+    return _class_by_split(df, label, split, splits).where("n = 0").select(split, label)
 
 
-def class_drift(df: DataFrame, label: str, split: str = "split", limit: float = 0.02) -> DataFrame:
+def class_drift(
+    df: DataFrame, label: str, split: str, splits: Sequence[str], limit: float = 0.02
+) -> DataFrame:
     """Largest change of any class fraction per split, and whether it is below ``limit``.
 
     A class missing from a split counts with fraction zero.
     """
-    pairs = df.where(F.col(label).isNotNull()).groupBy(split, label).agg(F.count("*").alias("n"))
-    per_split = pairs.groupBy(split).agg(F.sum("n").alias("n_split"))
-    per_class = pairs.groupBy(label).agg(F.sum("n").alias("n_class"))
-    total = per_class.agg(F.sum("n_class").alias("n_all"))
-    # classes x splits: both sides are dimensions made from aggregates
-    spine = per_class.select(label, "n_class").join(per_split.select(split, "n_split"))
+    in_split = F.sum("n").over(Window.partitionBy(split))
+    in_class = F.sum("n").over(Window.partitionBy(label))
+    everything = F.sum("n").over(Window.partitionBy())
     return (
-        spine.join(pairs, [split, label], "left")
-        .join(F.broadcast(total))
-        .withColumn(
-            "_change",
-            F.abs(
-                F.coalesce("n", F.lit(0)) / F.col("n_split") - F.col("n_class") / F.col("n_all")
-            ),
-        )
+        _class_by_split(df, label, split, splits)
+        .withColumn("_change", F.abs(F.col("n") / in_split - in_class / everything))
         .groupBy(split)
         .agg(F.max("_change").alias("_max"))
         .select(split, F.round("_max", 6).alias("max_change"), (F.col("_max") < limit).alias("ok"))
