@@ -36,33 +36,28 @@ def overlap_counts(df: DataFrame, keys: Sequence[str], split: str, splits: Seque
     return seen.agg(F.array(*cells).alias("r")).select(F.inline("r"))
 
 
-def _leaked(df: DataFrame, keys: Sequence[str], split: str, priority: Sequence[str]) -> DataFrame:
-    """Keys in two or more splits, with the strongest split that holds each.
-
-    ``priority`` runs from the split that keeps everything to the one that yields.
-    """
-    seen = _presence(df, content_key(*keys), split, priority)
-    flags = [F.col(f"_in{i}").cast("int") for i in range(len(priority))]
-    spread = flags[0]
-    for f in flags[1:]:
-        spread = spread + f
-    strongest = F.coalesce(*[F.when(F.col(f"_in{i}"), F.lit(s)) for i, s in enumerate(priority)])
-    return seen.where(spread > 1).select("_key", strongest.alias("leaks_into"))
-
-
 def tag_leakage(
     df: DataFrame, keys: Sequence[str], split: str, priority: Sequence[str] = ("test", "val", "train")
 ) -> DataFrame:
-    """Add ``leaks_into``: the stronger split that holds the same key, else null."""
-    leaked = _leaked(df, keys, split, priority)
+    """Add ``leaks_into``: the next stronger split that holds the same key, else null.
+
+    ``priority`` runs from the split that keeps everything to the one that yields
+    to all.  Only keys held by two or more splits are looked up.
+    """
+    seen = _presence(df, content_key(*keys), split, priority)
+    spread = F.lit(0)
+    for i in range(len(priority)):
+        spread = spread + F.col(f"_in{i}").cast("int")
+    shared = seen.where(spread > 1)
+    into = F.lit(None).cast("string")
+    for i, name in enumerate(priority):
+        stronger = [F.when(F.col(f"_in{j}"), F.lit(priority[j])) for j in reversed(range(i))]
+        if stronger:
+            into = F.when(F.col(split) == name, F.coalesce(*stronger)).otherwise(into)
     return (
         df.withColumn("_key", content_key(*keys))
-        .join(leaked, "_key", "left")
-        .withColumn(
-            "leaks_into",
-            F.when(F.col("leaks_into") != F.col(split), F.col("leaks_into")),
-        )
-        .select(*df.columns, "leaks_into")
+        .join(shared, "_key", "left")
+        .select(*df.columns, into.alias("leaks_into"))
     )
 
 
