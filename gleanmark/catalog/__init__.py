@@ -1,0 +1,15 @@
+"""All registered queries."""
+
+from __future__ import annotations
+
+from gleanmark.catalog.registry import REGISTRY, Entry
+
+
+def load() -> dict[str, Entry]:
+    """Import every module that registers queries."""
+    from gleanmark.catalog import (  # noqa: F401
+        quality_queries,
+        text_queries,
+    )
+
+    return dict(REGISTRY)

@@ -13,6 +13,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---- fixed values: they decide results and must not change -----------------
 # Unicode whitespace, as a regular-expression class body.
@@ -98,7 +99,7 @@ def repair_mojibake(c: str | Column) -> Column:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 

@@ -1,30 +1,23 @@
-"""Declared schemas: nothing is inferred at read time."""
+"""Declared schemas, as DDL: nothing is inferred at read time."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 # Corpora and exports
-HIERARCHICAL_CORPUS = _struct(
+HIERARCHICAL_CORPUS = (
     "flags string, instruction string, category string, intent string, response string"
 )
-FLAT_CORPUS = _struct("text string, label int, label_name string")
-LABEL_DICTIONARY = _struct("label int, label_name string")
-INSTRUCTION = _struct("instruction string, input string, output string")
-CHAT = _struct("messages array<struct<role:string,content:string>>")
-GENERATION = _struct(
+FLAT_CORPUS = ("text string, label int, label_name string")
+LABEL_DICTIONARY = ("label int, label_name string")
+INSTRUCTION = ("instruction string, input string, output string")
+CHAT = ("messages array<struct<role:string,content:string>>")
+GENERATION = (
     "text string, gold string, pred_raw string, pred_intent string, "
     "parse_error boolean, parse_path string"
 )
-ERROR_ROW = _struct(
+ERROR_ROW = (
     "text string, true_label string, predicted_label string, confidence double, text_length int"
 )
-TIMING = _struct("sample_idx long, elapsed_ms double")
+TIMING = ("sample_idx long, elapsed_ms double")
 
 # Run documents
 _METRICS = (
@@ -32,7 +25,7 @@ _METRICS = (
     "weighted_f1:double,per_class:map<string,struct<precision:double,recall:double,"
     "f1:double,support:bigint>>>"
 )
-RUN = _struct(
+RUN = (
     "run_id string, dataset string, model string, model_name string, model_family string, "
     "test_set_hash string, n_samples long, seed long, training_wallclock_seconds double, "
     f"metrics struct<intent:{_METRICS},intent_val:{_METRICS}>, "
@@ -42,29 +35,29 @@ RUN = _struct(
     "vocab_size:bigint>, "
     "parse_errors long, parse_path_counts map<string,bigint>"
 )
-TRAINING_LOG = _struct(
+TRAINING_LOG = (
     "step long, epoch double, loss double, grad_norm double, learning_rate double, "
     "eval_loss double, eval_accuracy double, eval_macro_f1 double, train_runtime double"
 )
 
 # The tables queries read
 TABLES = {
-    "region": _struct("r_regionkey int, r_name string"),
-    "nation": _struct("n_nationkey int, n_name string, n_regionkey int"),
-    "customer": _struct(
+    "region": ("r_regionkey int, r_name string"),
+    "nation": ("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": (
         "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
     ),
-    "supplier": _struct("s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
-    "part": _struct(
+    "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+    "part": (
         "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
         "p_retailprice double"
     ),
-    "events": _struct(
+    "events": (
         "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     ),
-    "documents": _struct("doc_id long, text string, lang string, source string, n_chars long"),
-    "labels": _struct("doc_id long, quality int, toxic int"),
-    "benchmark": _struct("item_id long, text string"),
-    "conversations": _struct("conv_id long, turn long, role string, text string"),
-    "pages": _struct("page_id long, url string, html string"),
+    "documents": ("doc_id long, text string, lang string, source string, n_chars long"),
+    "labels": ("doc_id long, quality int, toxic int"),
+    "benchmark": ("item_id long, text string"),
+    "conversations": ("conv_id long, turn long, role string, text string"),
+    "pages": ("page_id long, url string, html string"),
 }

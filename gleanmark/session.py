@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "gleanmark", **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # Texts hold quotes and line breaks: quotes double, and a field may span lines.
 _OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "encoding": "UTF-8"}
@@ -22,7 +21,7 @@ def write_table(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(
         **_OPTIONS, emptyValue="", nullValue=None, mode="FAILFAST",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,

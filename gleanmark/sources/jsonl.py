@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleanmark.functions.text import is_blank
 from gleanmark.operators.instruct import json_line
@@ -37,13 +36,13 @@ def write_json_lines(df: DataFrame, record: str, path: str, split: str | None =
     (writer.partitionBy(split) if split else writer).text(path)
 
 
-def check_json_lines(spark: SparkSession, path: str, schema: T.StructType = INSTRUCTION) -> DataFrame:
+def check_json_lines(spark: SparkSession, path: str, schema: str = INSTRUCTION) -> DataFrame:
     """Every line that does not parse: ``file, line_number, line``.
 
     Lines are numbered within their file from per-block counts, so files are read
     in parallel and only bad lines are joined.
     """
-    probe = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    probe = f"{schema}, _corrupt_record string"
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

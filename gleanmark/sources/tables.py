@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleanmark.operators.expectations import expect_columns
 from gleanmark.schemas import TABLES
@@ -17,7 +16,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def read_corpus(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
@@ -51,9 +50,8 @@ def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     df.write.mode("overwrite").partitionBy(split).parquet(path)
 
 
-def read_splits(spark: SparkSession, path: str, schema: T.StructType, split: str = "split") -> DataFrame:
-    full = T.StructType([f for f in schema if f.name != split] + [T.StructField(split, T.StringType())])
-    return spark.read.schema(full).parquet(path)
+def read_splits(spark: SparkSession, path: str, schema: str, split: str = "split") -> DataFrame:
+    return spark.read.schema(f"{schema}, {split} string").parquet(path)
 
 
 def verify_written(written: DataFrame, path: str, split: str = "split") -> DataFrame:
