@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanmark.functions.text import WHITESPACE
 from gleanmark.operators.inject import DEFECT_FRACTIONS, inject_defects
 from gleanmark.sources.tables import read_table
 
@@ -22,6 +21,11 @@ RESPONSE_CAP = 50_000
 EVENT_LABELS = ["click", "error", "purchase", "signup", "view"]
 ORDER_LABELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
+# Unicode whitespace, spelled out for an engine whose \\s is ASCII.
+WHITESPACE = (
+    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 SQL_WS = f"[{WHITESPACE}]"
 
 

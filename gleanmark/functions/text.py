@@ -16,11 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---- fixed values: they decide results and must not change -----------------
-# Unicode whitespace, as a regular-expression class body.
-WHITESPACE = (
-    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# Unicode whitespace, as the body of a character class under (?U).
+WHITESPACE = r"\s\x1c-\x1f"
 # Byte signatures of UTF-8 read as Latin-1; "." stops at a newline only.
 MOJIBAKE = "(?d)Ã.|â€.|Â.|ï»¿"
 # Literal repairs, applied in this order.
@@ -33,10 +30,9 @@ MOJIBAKE_REPAIRS = [
 ]
 # -----------------------------------------------------------------------------
 
-WS_RUN = f"[{WHITESPACE}]+"
-WS_ONE = f"[{WHITESPACE}]"
-NON_WS_ONE = f"[^{WHITESPACE}]"
-NON_WS_RUN = f"[^{WHITESPACE}]+"
+WS_RUN = f"(?U)[{WHITESPACE}]+"
+WS_ONE = f"(?U)[{WHITESPACE}]"
+NON_WS_ONE = f"(?U)[^{WHITESPACE}]"
 
 
 def _col(c: str | Column) -> Column:
@@ -116,8 +112,15 @@ def title_label(c: str | Column) -> Column:
 
 
 def word_count(c: str | Column) -> Column:
-    """Whitespace-separated words, empty ones not counted."""
-    return F.regexp_count(_col(c), F.lit(NON_WS_RUN))
+    """Whitespace-separated words, empty ones not counted.
+
+    A split leaves an empty piece at each end that has whitespace, and one for
+    the empty string.
+    """
+    value = _col(c)
+    pieces = F.size(F.split(value, WS_RUN))
+    empty = has_leading_whitespace(value) | (value == "")
+    return pieces - empty.cast("int") - has_trailing_whitespace(value).cast("int")
 
 
 def characters(c: str | Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanmark.functions.keys import content_key
+from gleanmark.session import lookup
 
 
 def repeated_keys(df: DataFrame, key: Column, row_id: str) -> DataFrame:
@@ -29,10 +30,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
 
     Only repeated keys are looked up.  When they are few the look-up is broadcast
     by its measured size and the table is not shuffled; otherwise the join
-    shuffles and adaptive execution splits a hot key.
+    shuffles and adaptive execution splits a hot key.  The keys are hashes, so
+    the first pass reads the key columns alone and moves 40 bytes per distinct key.
     """
     keyed = df.withColumn("_key", content_key(*keys))
-    repeated = repeated_keys(df, content_key(*keys), row_id)
+    repeated = lookup(repeated_keys(df, content_key(*keys), row_id), "repeated")
     return (
         keyed.join(repeated, "_key", "left")
         .where(F.col("_first").isNull() | (F.col("_first") == F.col(row_id)))

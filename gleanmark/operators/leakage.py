@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanmark.functions.keys import content_key
+from gleanmark.session import lookup
 
 
 def _presence(df: DataFrame, key: Column, split: str, splits: Sequence[str]) -> DataFrame:
@@ -48,7 +49,7 @@ def tag_leakage(
     spread = F.lit(0)
     for i in range(len(priority)):
         spread = spread + F.col(f"_in{i}").cast("int")
-    shared = seen.where(spread > 1)
+    shared = lookup(seen.where(spread > 1), "shared")
     into = F.lit(None).cast("string")
     for i, name in enumerate(priority):
         stronger = [F.when(F.col(f"_in{j}"), F.lit(priority[j])) for j in reversed(range(i))]

@@ -9,9 +9,9 @@ from gleanmark.functions.fuzzy import FUZZY_CUTOFF, closest_label
 from gleanmark.functions.text import WHITESPACE
 
 # ---- fixed values: answer patterns and the names of the parse paths ----------
-FLAT_ANCHOR = rf"[Ii]ntent[{WHITESPACE}]*[:=][{WHITESPACE}]*([A-Za-z0-9_]+)"
-CATEGORY_ANCHOR = rf"[Cc]ategory[{WHITESPACE}]*[:=][{WHITESPACE}]*([A-Z_]+)"
-INTENT_ANCHOR = rf"[Ii]ntent[{WHITESPACE}]*[:=][{WHITESPACE}]*([A-Za-z_]+)"
+FLAT_ANCHOR = rf"(?U)[Ii]ntent[{WHITESPACE}]*[:=][{WHITESPACE}]*([A-Za-z0-9_]+)"
+CATEGORY_ANCHOR = rf"(?U)[Cc]ategory[{WHITESPACE}]*[:=][{WHITESPACE}]*([A-Z_]+)"
+INTENT_ANCHOR = rf"(?U)[Ii]ntent[{WHITESPACE}]*[:=][{WHITESPACE}]*([A-Za-z_]+)"
 BARE_TOKEN = r"[A-Za-z0-9_]+"
 PATHS = ["regex", "bare", "fuzzy", "none"]
 # -----------------------------------------------------------------------------

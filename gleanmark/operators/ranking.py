@@ -4,7 +4,8 @@ A group may hold a third of all rows, so ``row_number`` over the whole group is
 out.  Instead a histogram over the leading hex digits of the order key finds, per
 group and quota, the one bucket the cut falls into; only that bucket's keys (one
 in 4,096 of the group) are ranked to find the cut value.  Selecting rows is then
-a comparison with the group's cut, on rows that never move.
+a comparison with the group's cut, on rows that never move.  The look-ups
+have one row per group and quota and are written first, so their size is known.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanmark.session import lookup
+
 BUCKET_DIGITS = 3
 
 
@@ -33,14 +36,13 @@ def cut_points(keyed: DataFrame, quotas: DataFrame) -> DataFrame:
     )
     wanted = quotas.where("quota > 0").alias("q")
     held = histogram.alias("h")
-    in_bucket = (
+    in_bucket = lookup(
         held.join(
             wanted,
             F.expr("h.grp <=> q.grp and q.quota > h.upto - h.n and q.quota <= h.upto"),
-        )
-        .select("q.grp", "q.slot", "h.bucket", F.expr("q.quota - (h.upto - h.n)").alias("nth"))
-        .alias("b")
-    )
+        ).select("q.grp", "q.slot", "h.bucket", F.expr("q.quota - (h.upto - h.n)").alias("nth")),
+        "buckets",
+    ).alias("b")
     ranked = (
         keyed.withColumn("bucket", bucket)
         .alias("k")
@@ -78,9 +80,6 @@ def pick_exact(
         ).alias("q")
     ).select(F.inline("q"))
     cuts = cut_points(keyed, quotas)
-    wide = cuts.agg(*[F.max(F.when(F.col("grp") == n, F.col("cut"))).alias(n) for n in names])
-    found = wide.select(F.struct(*names)).scalar()
-    return df.withColumn("_cuts", found).select(
-        *df.columns,
-        *[F.coalesce(hashes[n] <= F.col("_cuts")[n], F.lit(False)).alias(n) for n in names],
-    )
+    # One cut per name, a handful of strings: they become literals of the plan.
+    cut = {r["grp"]: r["cut"] for r in cuts.collect()}
+    return df.select("*", *[(hashes[n] <= F.lit(cut.get(n, ""))).alias(n) for n in names])

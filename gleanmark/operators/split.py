@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanmark.functions.keys import seeded_order
 from gleanmark.operators.ranking import cut_points
+from gleanmark.session import lookup
 
 
 def _held_out(total: Column, fraction: float) -> Column:
@@ -78,10 +79,11 @@ def stratified_split(
         ).alias("q"),
     ).select("grp", "q.slot", "q.quota")
     keyed = df.select(F.col(label).alias("grp"), seeded_order(seed, row_id).alias("order_key"))
-    cuts = (
+    cuts = lookup(
         cut_points(keyed, quotas)
         .groupBy("grp")
-        .agg(*[F.max(F.when(F.col("slot") == s, F.col("cut"))).alias(f"_cut_{s}") for s in range(n_rounds)])
+        .agg(*[F.max(F.when(F.col("slot") == s, F.col("cut"))).alias(f"_cut_{s}") for s in range(n_rounds)]),
+        "class-cuts",
     )
     names = [rounds[-1][1]] + [rounds[i - 1][1] for i in range(n_rounds - 1, 0, -1)]
     joined = df.join(cuts, df[label].eqNullSafe(cuts["grp"]), "left").withColumn(

@@ -1,19 +1,21 @@
 """Cleaning jobs with a row-accounted log.
 
 Both de-duplications of the hierarchical job depend on the filters before them,
-yet no step is materialised: a slim table of keys decides which rows fall at
-which step, and each row is tagged with the first step it fails.  The log is one
-aggregate over the tags.
+yet the corpus is not rewritten step by step: a slim table of key hashes decides
+which rows fall at which step, and each row is tagged with the first step it
+fails.  The log is one aggregate over the tags.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanmark.functions import text as tx
 from gleanmark.functions.keys import content_key
 from gleanmark.operators.audit import INSTRUCTION_CAP, RESPONSE_CAP
+from gleanmark.operators.dedup import repeated_keys
+from gleanmark.session import lookup
 
 HIERARCHICAL_STEPS = [
     "drop_null_label",
@@ -24,17 +26,24 @@ HIERARCHICAL_STEPS = [
 FLAT_STEPS = ["drop_empty_text", "dedup_text_label"]
 
 
-def normalise_text(c: str | Column, mojibake: bool = False, recollapse: bool = False) -> Column:
-    """Collapse whitespace, optionally repair mojibake, then NFKC.
+def normalise_columns(
+    df: DataFrame, columns: list[str], mojibake: list[str] = (), recollapse: bool = False
+) -> DataFrame:
+    """Collapse whitespace, repair mojibake where asked, then NFKC.
 
-    NFKC can bring back a space next to another; ``recollapse`` makes the result
-    a fixed point, the default keeps the plain order of steps.
+    The steps are separate projections, so each text is collapsed once although
+    the NFKC step refers to it several times.  NFKC can bring back a space next
+    to another; ``recollapse`` makes the result a fixed point, the default keeps
+    the plain order of steps.
     """
-    out = tx.collapse_whitespace(c)
-    if mojibake:
-        out = tx.repair_mojibake(out)
-    out = tx.nfkc(out)
-    return tx.collapse_whitespace(out) if recollapse else out
+    out = df.withColumns(
+        {
+            c: tx.repair_mojibake(tx.collapse_whitespace(c)) if c in mojibake else tx.collapse_whitespace(c)
+            for c in columns
+        }
+    )
+    out = out.withColumns({c: tx.nfkc(c) for c in columns})
+    return out.withColumns({c: tx.collapse_whitespace(c) for c in columns}) if recollapse else out
 
 
 def tag_hierarchical(
@@ -54,12 +63,10 @@ def tag_hierarchical(
     text and response; upper-case the category; drop over-long rows; first row per
     cleaned (text, label).
     """
+    raw = df.withColumn("_raw_key", content_key(text, label))
     keyed = (
-        df.withColumn("_raw_key", content_key(text, label))
-        .withColumn(text, normalise_text(text, recollapse=recollapse))
-        .withColumn(response, normalise_text(response, mojibake=True, recollapse=recollapse))
+        normalise_columns(raw, [text, response], mojibake=[response], recollapse=recollapse)
         .withColumn(category, F.upper(category))
-        .withColumn("_clean_key", content_key(text, label))
         .withColumn(
             "_fits",
             F.coalesce(
@@ -68,8 +75,23 @@ def tag_hierarchical(
             ),
         )
     )
-    # One row per raw key: its first row, and what that row looks like cleaned.
-    # Both look-ups read the same columns, so they share one exchange.
+    fates = lookup(_fates(keyed.withColumn("_clean_key", content_key(text, label)), row_id, label), "fates")
+    step = (
+        F.when(F.col(label).isNull(), HIERARCHICAL_STEPS[0])
+        .when(F.col("_raw_first") != F.col(row_id), HIERARCHICAL_STEPS[1])
+        .when(~F.col("_fits"), HIERARCHICAL_STEPS[2])
+        .when(F.col("_clean_first") != F.col(row_id), HIERARCHICAL_STEPS[3])
+    )
+    return keyed.join(fates, "_raw_key", "left").select(*df.columns, step.alias("failed_step"))
+
+
+def _fates(keyed: DataFrame, row_id: str, label: str) -> DataFrame:
+    """``_raw_key, _raw_first, _clean_first`` of the raw keys whose rows may fall.
+
+    A raw key is listed when it repeats, or when its first row, cleaned, repeats
+    another.  Only hashes and ids are grouped, in two rounds: rows to raw keys,
+    and the first rows of those that fit to cleaned keys.
+    """
     leaders = (
         keyed.where(F.col(label).isNotNull())
         .groupBy("_raw_key")
@@ -77,27 +99,25 @@ def tag_hierarchical(
             F.count("*").alias("_n"),
             F.min(F.struct(row_id, "_fits", "_clean_key")).alias("_head"),
         )
+        .select(
+            "_raw_key",
+            "_n",
+            F.col(f"_head.{row_id}").alias("_raw_first"),
+            F.when(F.col("_head._fits"), F.col("_head._clean_key")).alias("_clean_key"),
+        )
     )
-    raw_repeats = leaders.where("_n > 1").select(
-        F.col("_raw_key"), F.col(f"_head.{row_id}").alias("_raw_first")
-    )
-    clean_repeats = (
-        leaders.where("_n > 0 and _head._fits")
-        .groupBy(F.col("_head._clean_key").alias("_clean_key"))
-        .agg(F.count("*").alias("_m"), F.min(f"_head.{row_id}").alias("_clean_first"))
+    leaders = lookup(leaders, "leaders")
+    repeats = (
+        leaders.where("_clean_key is not null")
+        .groupBy("_clean_key")
+        .agg(F.count("*").alias("_m"), F.min("_raw_first").alias("_clean_first"))
         .where("_m > 1")
         .drop("_m")
     )
-    step = (
-        F.when(F.col(label).isNull(), HIERARCHICAL_STEPS[0])
-        .when(F.col("_raw_first") != F.col(row_id), HIERARCHICAL_STEPS[1])
-        .when(~F.col("_fits"), HIERARCHICAL_STEPS[2])
-        .when(F.col("_clean_first") != F.col(row_id), HIERARCHICAL_STEPS[3])
-    )
     return (
-        keyed.join(raw_repeats, "_raw_key", "left")
-        .join(clean_repeats, "_clean_key", "left")
-        .select(*df.columns, step.alias("failed_step"))
+        leaders.join(repeats, "_clean_key", "left")
+        .where("_n > 1 or _clean_first != _raw_first")
+        .select("_raw_key", "_raw_first", "_clean_first")
     )
 
 
@@ -136,17 +156,9 @@ def tag_flat(
 ) -> DataFrame:
     """Normalised text plus ``failed_step``; with ``split`` each split on its own."""
     keys = [*([split] if split else []), text, label]
-    keyed = df.withColumn(text, normalise_text(text, recollapse=recollapse)).withColumn(
-        "_key", content_key(*keys)
-    )
+    keyed = normalise_columns(df, [text], recollapse=recollapse).withColumn("_key", content_key(*keys))
     present = F.coalesce(F.char_length(text) > 0, F.lit(False))
-    repeats = (
-        keyed.where(present)
-        .groupBy("_key")
-        .agg(F.count("*").alias("_n"), F.min(row_id).alias("_first"))
-        .where("_n > 1")
-        .drop("_n")
-    )
+    repeats = lookup(repeated_keys(keyed.where(present), F.col("_key"), row_id), "repeated")
     step = F.when(~present, FLAT_STEPS[0]).when(F.col("_first") != F.col(row_id), FLAT_STEPS[1])
     return keyed.join(repeats, "_key", "left").select(*df.columns, step.alias("failed_step"))
 

@@ -67,6 +67,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lookup(df: DataFrame, name: str) -> DataFrame:
+    """Stage the small side of a join before the join is planned.
+
+    The planner then knows its true size: below the broadcast threshold the big
+    side is not shuffled at all, above it both sides are, and a hot key is split
+    by adaptive execution.  An unstaged aggregate has no known size, and the big
+    side would be shuffled before the size is seen.
+    """
+    return stage(df, name)
+
+
 def vocabulary(df: DataFrame, column: str | Column, bound: int = MAX_VOCABULARY) -> list[str]:
     """Sorted distinct non-null values of a label column, refused above ``bound``."""
     picked = df.select(df[column] if isinstance(column, str) else column)
