@@ -73,7 +73,7 @@ def classes_below(df: DataFrame, label: str, least: int) -> DataFrame:
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     """Counts of ``row`` by ``column``, zero where a pair is absent."""
-    wide = df.groupBy(row).pivot(column, list(values)).agg(F.count("*"))
+    wide = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
     return wide.na.fill(0, list(values))
 
 
