@@ -8,8 +8,11 @@ from gleanmark.catalog.registry import REGISTRY, Entry
 def load() -> dict[str, Entry]:
     """Import every module that registers queries."""
     from gleanmark.catalog import (  # noqa: F401
+        export_queries,
+        model_queries,
         profile_queries,
         quality_queries,
+        scoring_queries,
         split_queries,
         text_queries,
     )

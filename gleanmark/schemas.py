@@ -36,7 +36,7 @@ RUN = (
     "parse_errors long, parse_path_counts map<string,bigint>"
 )
 TRAINING_LOG = (
-    "step long, epoch double, loss double, grad_norm double, learning_rate double, "
+    "run_id string, step long, epoch double, loss double, grad_norm double, learning_rate double, "
     "eval_loss double, eval_accuracy double, eval_macro_f1 double, train_runtime double"
 )
 
