@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanmark.catalog.inputs import (
+    documents,
     SQL_EVENT_PREDICTIONS,
     SQL_INJECTED,
     SQL_SPLIT_DOCUMENTS,
@@ -28,10 +29,6 @@ from gleanmark.sources.tables import read_table
 SPLITS = ["train", "val", "test"]
 
 
-def _documents(spark, d):
-    return read_table(spark, d, "documents")
-
-
 def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
 
@@ -44,12 +41,12 @@ _SQL_HIER_OUTPUT = "'Category: ' || upper(lang) || chr(10) || 'Intent: ' || lowe
 
 @query("SELECT doc_id, text, source AS label FROM documents")
 def text_and_label_scan(spark, d):
-    return tables.load_split(_documents(spark, d), "text", "source", "doc_id")
+    return tables.load_split(documents(spark, d), "text", "source", "doc_id")
 
 
 @query("SELECT doc_id, text, source AS label FROM documents ORDER BY doc_id LIMIT 100")
 def first_rows_of_a_split(spark, d):
-    return tables.load_split(_documents(spark, d), "text", "source", "doc_id", limit=100)
+    return tables.load_split(documents(spark, d), "text", "source", "doc_id", limit=100)
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'test' ELSE 'train' END AS split,
@@ -59,7 +56,7 @@ def corpus_with_native_test_split(spark, d):
     """A train and a test table with integer labels, and the dictionary of their names."""
     from gleanmark.operators.labelspace import encode, label_space, with_label_name
 
-    docs = _documents(spark, d).select("doc_id", "source")
+    docs = documents(spark, d).select("doc_id", "source")
     space = label_space(docs, "source")
     coded = encode(docs, space, "source").select("doc_id", F.col("label_id").alias("label"))
     held = read_table(spark, d, "labels").select("doc_id").distinct()
@@ -88,13 +85,13 @@ def json_column_scan(spark, d):
 @query(f"""SELECT doc_id, to_json({{'instruction': {_sql_text(ins.HIERARCHICAL_TASK)}, 'input': text, 'output': {_SQL_HIER_OUTPUT}}})::VARCHAR AS line
 FROM documents""")
 def hierarchical_instruction_lines(spark, d):
-    return instruction_lines(_documents(spark, d), ins.hierarchical_record("text", "lang", "source"), "doc_id")
+    return instruction_lines(documents(spark, d), ins.hierarchical_record("text", "lang", "source"), "doc_id")
 
 
 @query(f"""SELECT doc_id, to_json({{'instruction': {_sql_text(ins.FLAT_TASK)}, 'input': text, 'output': 'Intent: ' || source}})::VARCHAR AS line
 FROM documents""")
 def flat_instruction_lines(spark, d):
-    return instruction_lines(_documents(spark, d), ins.flat_record("text", "source"), "doc_id")
+    return instruction_lines(documents(spark, d), ins.flat_record("text", "source"), "doc_id")
 
 
 @query(f"""SELECT doc_id, to_json([
@@ -104,7 +101,7 @@ def flat_instruction_lines(spark, d):
 def chat_messages_with_answer(spark, d):
     answer = ins.hierarchical_record("text", "lang", "source")["output"]
     messages = ins.chat_messages("text", answer, ins.HIERARCHICAL_SYSTEM, ins.HIERARCHICAL_USER)
-    return _documents(spark, d).select("doc_id", F.to_json(messages).alias("messages"))
+    return documents(spark, d).select("doc_id", F.to_json(messages).alias("messages"))
 
 
 @query(f"""SELECT doc_id,
@@ -114,7 +111,7 @@ def chat_messages_with_answer(spark, d):
   '<|im_start|>assistant' || chr(10) AS cue FROM documents""")
 def rendered_prompts(spark, d):
     """Training and generation text, cut where the answer begins."""
-    rows = _documents(spark, d).select(
+    rows = documents(spark, d).select(
         "doc_id",
         ins.render_chat(
             ins.chat_messages("text", F.concat(F.lit("Intent: "), "source"), ins.FLAT_SYSTEM, ins.FLAT_USER)
@@ -138,7 +135,7 @@ def rendered_prompts(spark, d):
 def anchor_presence(spark, d):
     messages = ins.chat_messages("text", None, ins.FLAT_SYSTEM, "")
     rendered = ins.render_chat(F.slice(messages, 2, 1))
-    return ins.anchor_presence(_documents(spark, d), rendered, " the ", "doc_id")
+    return ins.anchor_presence(documents(spark, d), rendered, " the ", "doc_id")
 
 
 @query("""SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS chat
@@ -179,7 +176,7 @@ def exported_rows_per_split(spark, d):
     FROM documents)) WHERE NOT json_valid(line)""")
 def unparsable_lines(spark, d):
     """Lines of an export, some cut short by hash, that no longer parse."""
-    lines = instruction_lines(_documents(spark, d), ins.flat_record("text", "source"), "doc_id")
+    lines = instruction_lines(documents(spark, d), ins.flat_record("text", "source"), "doc_id")
     cut = F.when(digit("cut", "doc_id") < 2, F.expr("left(line, char_length(line) - 2)")).otherwise(F.col("line"))
     path = scratch_path(spark, "cut-lines")
     lines.select(cut.alias("value")).write.text(path)
@@ -207,7 +204,7 @@ SELECT d.text, true_label, predicted_label, length(d.text)::INT AS text_length F
 WHERE true_label <> predicted_label""")
 def error_table_read_back(spark, d):
     """Errors with whole, multi-line document texts through a CSV file."""
-    docs = _documents(spark, d).select(F.col("doc_id").alias("row_id"), F.col("text"))
+    docs = documents(spark, d).select(F.col("doc_id").alias("row_id"), F.col("text"))
     rows = event_predictions(spark, d).drop("text").join(docs, "row_id")
     errors = error_rows(rows, "true_label", "predicted_label", "text").select(
         "text", "true_label", "predicted_label", "text_length"
@@ -261,9 +258,9 @@ def report_sections_replaced(spark, d):
         )
         return as_long(wide, names, ["dataset", "split"])
 
-    documents = part(_documents(spark, d), "text", "documents")
-    rn.write_report(documents, path, "eda")
-    rn.write_report(documents, path, "cleaning")
+    plain = part(documents(spark, d), "text", "documents")
+    rn.write_report(plain, path, "eda")
+    rn.write_report(plain, path, "cleaning")
     rn.write_report(part(dirty(spark, d), "instruction", "dirty"), path, "eda")
     return rn.read_report(spark, path)
 
@@ -273,7 +270,7 @@ def report_sections_replaced(spark, d):
   FROM documents GROUP BY lang)""")
 def report_as_json_document(spark, d):
     report = (
-        _documents(spark, d)
+        documents(spark, d)
         .groupBy(F.col("lang").alias("dataset"))
         .agg(F.count("*").cast("double").alias("n_rows"), F.max(F.char_length("text")).cast("double").alias("max_chars"))
         .unpivot("dataset", ["n_rows", "max_chars"], "metric", "value")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanmark.operators.inject import DEFECT_FRACTIONS, inject_defects
+from gleanmark.session import spread
 from gleanmark.sources.tables import read_table
 
 HEX = "0123456789abcdef"
@@ -52,6 +53,10 @@ def sql_digit(tag: str, row_id: str, position: int = 1) -> str:
     return f"(strpos('{HEX}', substr(md5('{tag}:' || {row_id}), {position}, 1)) - 1)"
 
 
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(read_table(spark, d, "documents"))
+
+
 # --- documents with a random split -----------------------------------------------
 
 
@@ -59,7 +64,7 @@ def split_documents(spark: SparkSession, d: str) -> DataFrame:
     """``doc_id, text, lang, source, split`` where copies may fall into any split."""
     n = digit("part", "doc_id")
     split = F.when(n < 10, "train").when(n < 13, "val").otherwise("test")
-    return read_table(spark, d, "documents").select("doc_id", "text", "lang", "source", split.alias("split"))
+    return documents(spark, d).select("doc_id", "text", "lang", "source", split.alias("split"))
 
 
 SQL_SPLIT_DOCUMENTS = f"""split_documents AS (
@@ -73,7 +78,7 @@ SQL_SPLIT_DOCUMENTS = f"""split_documents AS (
 
 
 def pristine(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").select(
+    return documents(spark, d).select(
         F.col("doc_id").alias("row_id"),
         F.col("text").alias("instruction"),
         F.upper("lang").alias("category"),

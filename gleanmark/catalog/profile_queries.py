@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleanmark.catalog.inputs import SQL_SPLIT_DOCUMENTS, split_documents, sql_words
+from gleanmark.catalog.inputs import documents, SQL_SPLIT_DOCUMENTS, split_documents, sql_words
 from gleanmark.catalog.registry import query
 from gleanmark.operators import profile as pf
 from gleanmark.plans.profiling import corpus_summary, profile
@@ -13,10 +13,6 @@ from gleanmark.sources.tables import read_table
 LANGS = ["de", "en", "es", "fr"]
 
 
-def _documents(spark, d):
-    return read_table(spark, d, "documents")
-
-
 def _events(spark, d):
     return read_table(spark, d, "events")
 
@@ -31,7 +27,7 @@ _SQL_STATS = """count(*) AS count, round(avg(length), 4) AS mean, round(stddev_s
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY 1 ORDER BY 2 DESC, 1")
 def class_counts(spark, d):
-    return pf.class_counts(_documents(spark, d), "source").orderBy(F.desc("n"), "source")
+    return pf.class_counts(documents(spark, d), "source").orderBy(F.desc("n"), "source")
 
 
 @query("""SELECT event_type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS fraction
@@ -43,14 +39,14 @@ def class_fractions(spark, d):
 @query("""SELECT count(*) AS n_classes, min(n) AS min_n, max(n) AS max_n, round(max(n) / greatest(min(n), 1), 2) AS ratio
 FROM (SELECT count(*) AS n FROM documents GROUP BY lang)""")
 def class_imbalance(spark, d):
-    return pf.imbalance(_documents(spark, d), "lang")
+    return pf.imbalance(documents(spark, d), "lang")
 
 
 @query("""SELECT count(*) AS n_classes, round(avg(n), 4) AS mean, round(stddev_samp(n), 4) AS std,
   round(quantile_cont(n, 0.5), 4) AS median, min(n) AS min, max(n) AS max
 FROM (SELECT count(*) AS n FROM documents GROUP BY lang || source)""")
 def class_count_statistics(spark, d):
-    docs = _documents(spark, d).select(F.concat("lang", "source").alias("label"))
+    docs = documents(spark, d).select(F.concat("lang", "source").alias("label"))
     return pf.class_count_stats(docs, "label")
 
 
@@ -58,37 +54,37 @@ def class_count_statistics(spark, d):
   round(min(n) * 0.12::DOUBLE, 2) AS expected_of_rarest, count(*) FILTER (WHERE n < 9) = 0 AS feasible
 FROM (SELECT count(*) AS n FROM documents GROUP BY lang || source)""")
 def stratified_split_feasibility(spark, d):
-    docs = _documents(spark, d).select(F.concat("lang", "source").alias("label"))
+    docs = documents(spark, d).select(F.concat("lang", "source").alias("label"))
     return pf.split_feasibility(docs, "label")
 
 
 @query("SELECT lang || source AS label, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) < 9")
 def classes_too_small_to_split(spark, d):
-    docs = _documents(spark, d).select(F.concat("lang", "source").alias("label"))
+    docs = documents(spark, d).select(F.concat("lang", "source").alias("label"))
     return pf.classes_below(docs, "label", pf.MIN_ROWS_FOR_SPLIT)
 
 
 @query("""SELECT source, count(*) FILTER (WHERE lang = 'de') AS de, count(*) FILTER (WHERE lang = 'en') AS en,
   count(*) FILTER (WHERE lang = 'es') AS es, count(*) FILTER (WHERE lang = 'fr') AS fr FROM documents GROUP BY 1""")
 def source_by_language(spark, d):
-    return pf.crosstab(_documents(spark, d), "source", "lang", LANGS)
+    return pf.crosstab(documents(spark, d), "source", "lang", LANGS)
 
 
 @query(f"WITH {_SQL_LENGTHS} SELECT measure, {_SQL_STATS} FROM lengths GROUP BY measure")
 def length_profile(spark, d):
-    return pf.length_profile(_documents(spark, d), pf.text_lengths("text"))
+    return pf.length_profile(documents(spark, d), pf.text_lengths("text"))
 
 
 @query(f"WITH {_SQL_LENGTHS} SELECT lang, measure, {_SQL_STATS} FROM lengths GROUP BY lang, measure")
 def length_profile_by_language(spark, d):
-    return pf.length_profile(_documents(spark, d), pf.text_lengths("text"), ["lang"])
+    return pf.length_profile(documents(spark, d), pf.text_lengths("text"), ["lang"])
 
 
 @query(f"""WITH {_SQL_LENGTHS}, s AS (SELECT {_SQL_STATS} FROM lengths WHERE measure = 'words')
 SELECT 'words' AS measure, round(p95 * 1.3::DOUBLE, 1) AS tokens_p95, round(p99 * 1.3::DOUBLE, 1) AS tokens_p99,
   round(max * 1.3::DOUBLE, 1) AS tokens_max FROM s""")
 def token_budget(spark, d):
-    return pf.token_budget(pf.length_profile(_documents(spark, d), pf.text_lengths("text")))
+    return pf.token_budget(pf.length_profile(documents(spark, d), pf.text_lengths("text")))
 
 
 @query(f"""WITH {_SQL_LENGTHS},
@@ -98,7 +94,7 @@ SELECT lang, measure, bin::BIGINT AS bin, count(*) AS n,
   round(count(*) / sum(count(*)) OVER (PARTITION BY lang, measure) / ((high - low) / 60), 8) AS density
 FROM binned GROUP BY lang, measure, bin, low, high""")
 def length_histogram(spark, d):
-    return pf.fixed_bin_histogram(_documents(spark, d), pf.text_lengths("text"), 60, ["lang"])
+    return pf.fixed_bin_histogram(documents(spark, d), pf.text_lengths("text"), 60, ["lang"])
 
 
 @query("SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
@@ -130,7 +126,7 @@ JOIN ({_sql_side('conversations', 'text', 'role', 'conversations')}) USING (metr
 def two_corpora_side_by_side(spark, d):
     return pf.contrast(
         {
-            "documents": (_documents(spark, d), "text", "source"),
+            "documents": (documents(spark, d), "text", "source"),
             "conversations": (read_table(spark, d, "conversations"), "text", "role"),
         }
     )

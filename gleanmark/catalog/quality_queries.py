@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanmark.catalog.inputs import (
+    documents,
     RESPONSE_CAP,
     SQL_EVENT_PREDICTIONS,
     SQL_INJECTED,
-    SQL_SPLIT_DOCUMENTS,
     SQL_TAGGED,
     SQL_WS,
     TEXT_CAP,
@@ -16,7 +16,6 @@ from gleanmark.catalog.inputs import (
     event_predictions,
     sql_collapse,
 )
-from gleanmark.catalog.inputs import split_documents
 from gleanmark.catalog.registry import query
 from gleanmark.functions import text as tx
 from gleanmark.operators import audit as au
@@ -172,7 +171,7 @@ def character_damage_per_column(spark, d):
 def duplicate_rows_beyond_first(spark, d):
     from gleanmark.operators.dedup import duplicates_beyond_first as dup
 
-    return read_table(spark, d, "documents").agg(
+    return documents(spark, d).agg(
         dup("text", "lang", "source").alias("all_but_id"),
         dup("text", "source").alias("pair"),
         dup("text").alias("text_only"),
@@ -182,7 +181,7 @@ def duplicate_rows_beyond_first(spark, d):
 @query("""SELECT name AS "column", type, (SELECT count(*) FROM documents) AS n_rows
 FROM (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('lang', 'string'), ('source', 'string'), ('n_chars', 'bigint')) t(name, type)""")
 def shape_and_types(spark, d):
-    return au.shape(read_table(spark, d, "documents"))
+    return au.shape(documents(spark, d))
 
 
 # --- cleaning ----------------------------------------------------------------------
@@ -219,7 +218,7 @@ def _pieces(spark, d):
     """Sentences of all documents, many of them blank or repeated."""
     labelled = read_table(spark, d, "labels").select("doc_id", F.lit("test").alias("_s")).distinct()
     return (
-        read_table(spark, d, "documents")
+        documents(spark, d)
         .join(labelled, "doc_id", "left")
         .select("doc_id", F.col("lang").alias("label"), F.coalesce("_s", F.lit("train")).alias("split"),
                 F.posexplode(F.split("text", r"\.")).alias("i", "text"))
@@ -247,7 +246,7 @@ def flat_cleaning_log(spark, d):
   SELECT *, row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) AS place FROM documents) WHERE place = 1""")
 def first_of_each_text(spark, d):
     return keep_first(
-        read_table(spark, d, "documents").select("doc_id", "text", "lang", "source"), ["text", "lang"], "doc_id"
+        documents(spark, d).select("doc_id", "text", "lang", "source"), ["text", "lang"], "doc_id"
     )
 
 
@@ -280,7 +279,7 @@ def rows_within_length_caps(spark, d):
   count(*) FILTER (WHERE length(text) < 10) AS very_short FROM documents GROUP BY lang""")
 def length_flags(spark, d):
     t = tx.as_text("text")
-    return read_table(spark, d, "documents").groupBy("lang").agg(
+    return documents(spark, d).groupBy("lang").agg(
         F.count_if(tx.exceeds(t, 500)).alias("long_instruction"),
         F.count_if(tx.exceeds(t, 2000)).alias("long_response"),
         F.count_if(tx.shorter_than(t, 5)).alias("short_instruction"),
@@ -293,7 +292,7 @@ def length_flags(spark, d):
 @query("SELECT doc_id, length(text)::INT AS n FROM documents WHERE length(text) > 300")
 def long_texts(spark, d):
     return (
-        read_table(spark, d, "documents").withColumn("n", F.char_length("text")).where("n > 300").select("doc_id", "n")
+        documents(spark, d).withColumn("n", F.char_length("text")).where("n > 300").select("doc_id", "n")
     )
 
 
@@ -301,7 +300,7 @@ def long_texts(spark, d):
 UNION ALL (SELECT 'non_ascii', doc_id, text FROM documents WHERE regexp_matches(text, '[^\\x00-\\x7F]') ORDER BY doc_id LIMIT 3)
 UNION ALL (SELECT 'long', doc_id, text FROM documents WHERE length(text) > 300 ORDER BY doc_id LIMIT 3)""")
 def first_rows_by_reason(spark, d):
-    docs = read_table(spark, d, "documents")
+    docs = documents(spark, d)
     reasons = {
         "newline": tx.has_newline("text"),
         "non_ascii": tx.has_non_ascii("text"),
@@ -334,7 +333,7 @@ def misclassified_rows(spark, d):
   UNION ALL SELECT 'n_short_texts', count(*) FILTER (WHERE length(text) < 10), 0 FROM documents)""")
 def corpus_expectations(spark, d):
     return expectations(
-        read_table(spark, d, "documents"),
+        documents(spark, d),
         {
             "n_sources": (F.count_distinct("source"), 20),
             "n_languages": (F.count_distinct("lang"), 4),
@@ -358,4 +357,4 @@ def parents_of_nations(spark, d):
 @query("""SELECT source, count(DISTINCT lang) AS n_parents, string_agg(DISTINCT lang, ',' ORDER BY lang) AS parents
 FROM documents GROUP BY 1 HAVING count(DISTINCT lang) > 1""")
 def labels_with_several_parents(spark, d):
-    return pf.hierarchy_violations(read_table(spark, d, "documents"), "source", "lang")
+    return pf.hierarchy_violations(documents(spark, d), "source", "lang")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanmark.catalog.inputs import (
+    documents,
     CATEGORIES,
     EVENT_LABELS,
     MODELS,
@@ -226,7 +227,7 @@ def vocabulary_membership(spark, d):
 # A label with one letter dropped or doubled is still closest to itself.
 @query(f"""SELECT doc_id, CASE WHEN {sql_digit('typo', 'doc_id')} = 0 THEN NULL ELSE source END AS nearest FROM documents""")
 def nearest_labels(spark, d):
-    docs = read_table(spark, d, "documents")
+    docs = documents(spark, d)
     n = digit("typo", "doc_id")
     typo = (
         F.when(n == 0, "nothing like it")

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleanmark.catalog.inputs import SQL_SPLIT_DOCUMENTS, split_documents, sql_collapse
+from gleanmark.catalog.inputs import documents, SQL_SPLIT_DOCUMENTS, split_documents, sql_collapse
 from gleanmark.catalog.registry import query
-from gleanmark.functions import text as tx
 from gleanmark.operators import labelspace as ls
 from gleanmark.operators import leakage as lk
 from gleanmark.operators import profile as pf
@@ -49,10 +48,6 @@ def sql_two_way(source: str, label: str, row_id: str, out: str) -> str:
   JOIN {out}_q0 q ON s.{label} = q.grp)"""
 
 
-def _documents(spark, d):
-    return read_table(spark, d, "documents")
-
-
 _SQL_CLEAN = f"""clean AS (
   SELECT doc_id, text, lang, source FROM (
     SELECT *, row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) AS place
@@ -60,7 +55,7 @@ _SQL_CLEAN = f"""clean AS (
 
 
 def _clean(spark, d):
-    docs = normalise_columns(_documents(spark, d).select("doc_id", "text", "lang", "source"), ["text"])
+    docs = normalise_columns(documents(spark, d).select("doc_id", "text", "lang", "source"), ["text"])
     return keep_first(docs, ["text", "lang"], "doc_id")
 
 
@@ -79,7 +74,7 @@ def clean_split_sizes(spark, d):
 SELECT doc_id, source, split FROM parts""")
 def three_way_stratified_split(spark, d):
     return sp.stratified_split(
-        _documents(spark, d).select("doc_id", "source"), "source", "doc_id", pl.THREE_WAY
+        documents(spark, d).select("doc_id", "source"), "source", "doc_id", pl.THREE_WAY
     )
 
 
@@ -88,7 +83,7 @@ def three_way_stratified_split(spark, d):
 SELECT doc_id, lang, split FROM parts
 UNION ALL SELECT doc_id, lang, 'test' FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""")
 def split_with_pinned_test(spark, d):
-    docs = _documents(spark, d).select("doc_id", "lang")
+    docs = documents(spark, d).select("doc_id", "lang")
     pinned = read_table(spark, d, "labels").select("doc_id")
     return pl.split_with_pinned_test(
         docs.join(pinned, "doc_id", "left_anti"), docs.join(pinned, "doc_id", "left_semi"), "lang", "doc_id"
@@ -150,7 +145,7 @@ def class_drift_of_random_split(spark, d):
 SELECT count(*) AS n_input, (SELECT count(*) FROM split_documents) AS n_split,
   (SELECT count(split) FROM split_documents) AS n_assigned, count(*) = (SELECT count(split) FROM split_documents) AS ok FROM documents""")
 def split_conservation(spark, d):
-    return sp.conservation(_documents(spark, d), split_documents(spark, d))
+    return sp.conservation(documents(spark, d), split_documents(spark, d))
 
 
 @query(f"""WITH {SQL_SPLIT_DOCUMENTS}
@@ -163,7 +158,7 @@ def first_rows_of_each_split(spark, d):
 
 @query("SELECT doc_id, lang FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 25")
 def seeded_sample(spark, d):
-    return ls.sample_rows(_documents(spark, d).select("doc_id", "lang"), "doc_id", 25, seed=7)
+    return ls.sample_rows(documents(spark, d).select("doc_id", "lang"), "doc_id", 25, seed=7)
 
 
 # --- leakage ------------------------------------------------------------------------
@@ -238,7 +233,7 @@ SELECT id, text FROM corpus WHERE text NOT IN (SELECT text FROM pinned)""")
 def training_rows_outside_benchmark(spark, d):
     """Documents and benchmark items as training rows, the benchmark pinned as the test set."""
     items = read_table(spark, d, "benchmark")
-    docs = _documents(spark, d).select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    docs = documents(spark, d).select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
     train = docs.unionByName(items.select(F.concat(F.lit("b"), "item_id").alias("id"), "text"))
     both = union_splits({"train": train, "test": items.select(F.concat(F.lit("t"), "item_id").alias("id"), "text")})
     clean = normalise_columns(both, ["text"])
@@ -251,7 +246,7 @@ SELECT (SELECT count(*) FROM documents) AS n_documents, (SELECT count(*) FROM pi
 def benchmark_contamination(spark, d):
     both = union_splits(
         {
-            "train": _documents(spark, d).select("text"),
+            "train": documents(spark, d).select("text"),
             "test": read_table(spark, d, "benchmark").select("text").distinct(),
         }
     )
@@ -269,7 +264,7 @@ def benchmark_contamination(spark, d):
 FROM (SELECT lang, sha256(length(doc_id::VARCHAR) || ':' || doc_id || '|' || length(n_chars::VARCHAR) || ':' || n_chars || '|' ||
   length(source) || ':' || source || '|' || length(text) || ':' || text) AS h FROM documents) GROUP BY lang""")
 def content_fingerprints(spark, d):
-    return content_fingerprint(_documents(spark, d), ["lang"])
+    return content_fingerprint(documents(spark, d), ["lang"])
 
 
 # --- label vocabularies -----------------------------------------------------------------

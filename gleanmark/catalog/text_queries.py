@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanmark.catalog.inputs import (
+    documents,
     SQL_INJECTED,
     SQL_REPAIRED,
     SQL_WS,
@@ -33,7 +34,7 @@ def nfkc_restores_text(spark, d):
     disguised = F.col("text")
     for plain, compatible in [("fi", "ﬁ"), ("fl", "ﬂ"), ("é", "é"), ("A", "Ａ"), ("2", "２"), ("ü", "ü")]:
         disguised = F.replace(disguised, F.lit(plain), F.lit(compatible))
-    return read_table(spark, d, "documents").select("doc_id", tx.nfkc(disguised).alias("text"))
+    return documents(spark, d).select("doc_id", tx.nfkc(disguised).alias("text"))
 
 
 @query(f"""WITH {SQL_INJECTED}
@@ -73,7 +74,7 @@ def whitespace_flags(spark, d):
 
 @query(f"""SELECT doc_id, length(text)::INT AS chars, {sql_words('text')}::INT AS words FROM documents""")
 def text_measures(spark, d):
-    return read_table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", F.char_length("text").alias("chars"), tx.word_count("text").alias("words")
     )
 
@@ -82,7 +83,7 @@ def text_measures(spark, d):
        regexp_matches(text, '[^\\x00-\\x7F]') AS non_ascii, regexp_matches(text, '[0-9]{4}') AS has_number
 FROM documents""")
 def text_predicates(spark, d):
-    return read_table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id",
         F.col("text").contains("the").alias("has_literal"),
         tx.has_non_ascii("text").alias("non_ascii"),
