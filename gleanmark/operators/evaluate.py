@@ -179,6 +179,8 @@ def duration_summary(
         .where(F.col("_rank") > warmup)
     )
     marks = F.percentile("_ms", [0.5, 0.95, 0.99])
+    mean = F.col("_mean")
+    slowest = F.when(mean < 1e-9, F.lit(1e-9)).otherwise(mean)
     return (
         timed.groupBy(*by)
         .agg(
@@ -190,9 +192,9 @@ def duration_summary(
         .select(
             *by,
             *[round4(F.col("_m")[i]).alias(n) for i, n in enumerate(("p50_ms", "p95_ms", "p99_ms"))],
-            round4("_mean").alias("mean_ms"),
+            round4(mean).alias("mean_ms"),
             round4("_std").alias("std_ms"),
-            round4(F.lit(1000.0) / F.greatest("_mean", F.lit(1e-9))).alias("throughput_per_sec"),
+            round4(F.lit(1000.0) / slowest).alias("throughput_per_sec"),
             "n_samples",
         )
     )

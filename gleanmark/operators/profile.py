@@ -114,8 +114,9 @@ def length_profile(df: DataFrame, lengths: dict[str, Column], by: Sequence[str]
     n = F.sum("n")
     total = F.sum(F.col("n") * F.col("length"))
     squares = F.sum((F.col("n") * F.col("length") * F.col("length")).cast("decimal(38,0)"))
-    # Sum of squared deviations in exact arithmetic before the one division.
-    spread = (squares * n.cast("decimal(19,0)")).cast("double") - total.cast("double") * total
+    # n * sum of squares - square of the sum, exact until the one division.
+    wide = total.cast("decimal(19,0)")
+    spread = (squares * n.cast("decimal(19,0)") - wide * wide).cast("double")
     variance = spread / n / F.nullif(n - 1, F.lit(0))
     marks = F.percentile("length", list(PERCENTILES.values()), F.col("n"))
     stats = (
@@ -124,7 +125,7 @@ def length_profile(df: DataFrame, lengths: dict[str, Column], by: Sequence[str]
         .agg(
             n.alias("count"),
             round4(total / n).alias("mean"),
-            round4(F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std"),
+            round4(F.sqrt(variance)).alias("std"),
             F.min("length").alias("min"),
             marks.alias("_marks"),
             F.max("length").alias("max"),
