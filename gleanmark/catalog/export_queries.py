@@ -138,12 +138,12 @@ def anchor_presence(spark, d):
     return ins.anchor_presence(documents(spark, d), rendered, " the ", "doc_id")
 
 
-@query("""SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS chat
-FROM conversations GROUP BY 1""")
-def rendered_conversations(spark, d):
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-    chats = read_table(spark, d, "conversations").groupBy("conv_id").agg(turns.alias("messages"))
-    return chats.select("conv_id", ins.render_chat("messages").alias("chat"))
+@query("""SELECT conv_id, turn, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered FROM conversations""")
+def rendered_conversation_turns(spark, d):
+    message = F.struct("role", F.col("text").alias("content"))
+    return read_table(spark, d, "conversations").select(
+        "conv_id", "turn", ins.render_chat(F.array(message)).alias("rendered")
+    )
 
 
 # --- files written and read back --------------------------------------------------------------

@@ -70,26 +70,42 @@ def drop_leakage(
 
 
 def leak_rows(df: DataFrame, text: str, label: str, split: str, splits: Sequence[str]) -> DataFrame:
-    """Each shared ``(text, label)`` once, with the splits that hold it, sorted."""
-    seen = df.groupBy(content_key(text, label).alias("_key")).agg(
-        F.min(text).alias(text),
-        F.min(label).alias(label),
-        *[F.max(F.col(split) == s).alias(f"_in{i}") for i, s in enumerate(splits)],
-    )
+    """Each shared ``(text, label)`` once, with the splits that hold it, sorted.
+
+    Shared keys are found on hashes alone; only the texts behind them move.
+    """
+    flags = [F.col(f"_in{i}") for i in range(len(splits))]
     held = F.filter(
-        F.array(*[F.when(F.col(f"_in{i}"), F.lit(s)) for i, s in enumerate(splits)]),
-        lambda s: s.isNotNull(),
+        F.array(*[F.when(f, F.lit(s)) for f, s in zip(flags, splits)]), lambda s: s.isNotNull()
     )
-    return (
-        seen.withColumn("_held", held)
+    shared = lookup(
+        _presence(df, content_key(text, label), split, splits)
+        .withColumn("_held", held)
         .where(F.size("_held") > 1)
-        .select(text, label, F.array_join("_held", ",").alias("splits"))
+        .select("_key", F.array_join("_held", ",").alias("splits")),
+        "shared",
+    )
+    return (
+        df.select(text, label, content_key(text, label).alias("_key"))
+        .join(shared, "_key")
+        .groupBy("_key", "splits")
+        .agg(F.min(text).alias(text), F.min(label).alias(label))
+        .select(text, label, "splits")
         .orderBy(text, label)
     )
 
 
 def shared_texts(left: DataFrame, right: DataFrame, text: str) -> DataFrame:
     """Distinct texts of ``left`` that ``right`` holds as well, compared by key."""
-    wanted = right.select(content_key(text).alias("_key")).distinct()
-    mine = left.groupBy(content_key(text).alias("_key")).agg(F.min(text).alias(text))
-    return mine.join(wanted, "_key", "left_semi").select(text)
+    sides = left.select(text, F.lit("left").alias("_side")).unionByName(
+        right.select(text, F.lit("right").alias("_side"))
+    )
+    both = _presence(sides, content_key(text), "_side", ["left", "right"]).where("_in0 and _in1")
+    shared = lookup(both.select("_key"), "shared")
+    return (
+        left.select(text, content_key(text).alias("_key"))
+        .join(shared, "_key")
+        .groupBy("_key")
+        .agg(F.min(text).alias(text))
+        .select(text)
+    )

@@ -43,7 +43,7 @@ def scratch_root(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``.  Only a local master, where
     driver and tasks share one disk, may fall back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
