@@ -170,14 +170,14 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
     A model repeats the gold label of a share of the rows and otherwise names a
     label drawn by hash.
     """
-    events = read_table(spark, d, "events").select(
+    events = spread(read_table(spark, d, "events")).select(
         F.lit("events").alias("dataset"),
         F.col("event_id").alias("row_id"),
         F.col("props").alias("text"),
         F.col("event_type").alias("true_label"),
         F.array(*[F.lit(x) for x in EVENT_LABELS]).alias("_labels"),
     )
-    orders = spark.read.parquet(f"{d}/orders.parquet").select(
+    orders = spread(spark.read.parquet(f"{d}/orders.parquet")).select(
         F.lit("orders").alias("dataset"),
         F.col("o_orderkey").alias("row_id"),
         F.col("o_orderstatus").alias("text"),
@@ -285,7 +285,7 @@ def answers(spark: SparkSession, d: str) -> DataFrame:
         .when(n == 14, F.concat(F.lit("Intent: "), other))
         .otherwise(F.concat(F.lit("The answer: "), g))
     )
-    return read_table(spark, d, "events").select(
+    return spread(read_table(spark, d, "events")).select(
         F.col("event_id").alias("row_id"),
         F.col("props").alias("text"),
         F.concat(F.lit("Intent: "), g).alias("gold"),
@@ -333,7 +333,7 @@ def two_line_answers(spark: SparkSession, d: str) -> DataFrame:
         .when(n == 13, F.concat(F.lit("Category: "), c))
         .otherwise(F.lit("no idea"))
     )
-    return read_table(spark, d, "events").select(
+    return spread(read_table(spark, d, "events")).select(
         F.col("event_id").alias("row_id"), g.alias("true_label"), c.alias("true_category"), raw.alias("raw")
     )
 

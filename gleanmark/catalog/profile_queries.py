@@ -107,6 +107,7 @@ def least_frequent_classes(spark, d):
     return pf.top_classes(read_table(spark, d, "part"), "p_brand", 10, smallest=True)
 
 
+# Rounded before it is cut: an interpolated 7915 may be held as 7914.999….
 def _sql_side(table: str, text: str, label: str, name: str) -> str:
     lengths = f"(SELECT length({text}) AS c, {sql_words(text)} AS w FROM {table})"
     parts = [
@@ -115,7 +116,7 @@ def _sql_side(table: str, text: str, label: str, name: str) -> str:
         f"SELECT 'imbalance_ratio', round(max(n) / greatest(min(n), 1), 2) FROM (SELECT count(*) AS n FROM {table} GROUP BY {label})",
     ]
     for c, m in (("c", "char"), ("w", "word")):
-        parts += [f"SELECT '{m}_{p}', floor(quantile_cont({c}, {q})) FROM {lengths}" for p, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))]
+        parts += [f"SELECT '{m}_{p}', floor(round(quantile_cont({c}, {q}), 4)) FROM {lengths}" for p, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))]
         parts.append(f"SELECT '{m}_max', max({c}) FROM {lengths}")
     return " UNION ALL ".join(parts)
 
