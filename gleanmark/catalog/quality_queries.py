@@ -261,8 +261,7 @@ def rows_with_label(spark, d):
 @query(f"""WITH {_SQL_PIECES}
 SELECT row_id, text FROM (SELECT row_id, {sql_collapse('text')} AS text FROM pieces) WHERE length(text) > 0""")
 def rows_with_text(spark, d):
-    clean = cl.normalise_columns(_pieces(spark, d).select("row_id", "text"), ["text"])
-    return clean.where(F.char_length("text") > 0)
+    return cl.normalise_columns(cl.drop_empty(_pieces(spark, d).select("row_id", "text"), "text"), ["text"])
 
 
 @query(f"""WITH {SQL_INJECTED} SELECT row_id FROM dirty

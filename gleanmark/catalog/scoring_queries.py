@@ -250,8 +250,8 @@ def reparsed_and_evaluated(spark, d):
 SELECT row_id, true_intent, coalesce(pred_intent, 'PARSE_ERROR') AS predicted_intent, parse_path, length(text)::INT AS text_length
 FROM parsed WHERE coalesce(pred_intent, 'PARSE_ERROR') <> true_intent""")
 def reparsed_errors(spark, d):
-    rows = pe.parse_generations(answers(spark, d), EVENT_LABELS)
-    return ev.error_rows(rows, "true_intent", "predicted_intent", "text").select(
+    errors = pe.reparse_and_evaluate(answers(spark, d), EVENT_LABELS, "row_id").evaluation.errors
+    return errors.select(
         "row_id", "true_intent", "predicted_intent", "parse_path", "text_length"
     )
 

@@ -33,7 +33,8 @@ def closest_label(c: str | Column, labels: list[str], cutoff: float = FUZZY_CUTO
         distinct = {v: best(v) for v in batches.dropna().unique()}
         return batches.map(distinct).astype(object).where(batches.notna(), None)
 
-    return search(_col(c))
+    # Keeps the optimiser from copying the search into a filter above it.
+    return search.asNondeterministic()(_col(c))
 
 
 @lru_cache(maxsize=8)

@@ -52,8 +52,11 @@ def parse_answers(
     open_bare = F.when(
         F.col("_anchored_exact").isNull() & F.col("_bare_exact").isNull(), F.col("_bare")
     )
-    searched = staged.withColumn("_anchored_near", closest_label(open_anchor, known, cutoff)).withColumn(
-        "_bare_near", closest_label(open_bare, known, cutoff)
+    searched = staged.withColumns(
+        {
+            "_anchored_near": closest_label(open_anchor, known, cutoff),
+            "_bare_near": closest_label(open_bare, known, cutoff),
+        }
     )
     order = [
         ("_anchored_exact", "regex"),
@@ -90,12 +93,17 @@ def parse_two_line_answers(
     out = df.withColumn("_c", _found(raw, CATEGORY_ANCHOR, 1)).withColumn(
         "_i", F.lower(_found(raw, INTENT_ANCHOR, 1))
     )
-    resolved = {}
-    for c, known in (("_c", categories), ("_i", labels)):
-        inside = F.col(c).isin(known)
-        near = closest_label(F.when(~inside, F.col(c)), known, cutoff)
-        out = out.withColumn(f"{c}_near", near)
-        resolved[c] = F.coalesce(F.when(inside, F.col(c)), F.col(f"{c}_near"))
+    vocabularies = {"_c": categories, "_i": labels}
+    out = out.withColumns(
+        {
+            f"{c}_near": closest_label(F.when(~F.col(c).isin(known), F.col(c)), known, cutoff)
+            for c, known in vocabularies.items()
+        }
+    )
+    resolved = {
+        c: F.coalesce(F.when(F.col(c).isin(known), F.col(c)), F.col(f"{c}_near"))
+        for c, known in vocabularies.items()
+    }
     error = resolved["_c"].isNull() | resolved["_i"].isNull()
 
     def shown(c: str) -> Column:

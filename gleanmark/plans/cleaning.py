@@ -46,6 +46,11 @@ def normalise_columns(
     return out.withColumns({c: tx.collapse_whitespace(c) for c in columns}) if recollapse else out
 
 
+def drop_empty(df: DataFrame, text: str) -> DataFrame:
+    """Rows whose text is not empty once normalised; null counts as empty."""
+    return df.where(~tx.is_blank(text))
+
+
 def tag_hierarchical(
     df: DataFrame,
     row_id: str = "row_id",
@@ -156,10 +161,12 @@ def tag_flat(
 ) -> DataFrame:
     """Normalised text plus ``failed_step``; with ``split`` each split on its own."""
     keys = [*([split] if split else []), text, label]
-    keyed = normalise_columns(df, [text], recollapse=recollapse).withColumn("_key", content_key(*keys))
-    present = F.coalesce(F.char_length(text) > 0, F.lit(False))
-    repeats = lookup(repeated_keys(keyed.where(present), F.col("_key"), row_id), "repeated")
-    step = F.when(~present, FLAT_STEPS[0]).when(F.col("_first") != F.col(row_id), FLAT_STEPS[1])
+    # NFKC never empties a text, so the test reads the raw one: rows without text
+    # are found by their first character, before any normalising.
+    marked = df.withColumn("_present", F.coalesce(~tx.is_blank(text), F.lit(False)))
+    keyed = normalise_columns(marked, [text], recollapse=recollapse).withColumn("_key", content_key(*keys))
+    repeats = lookup(repeated_keys(keyed.where("_present"), F.col("_key"), row_id), "repeated")
+    step = F.when(~F.col("_present"), FLAT_STEPS[0]).when(F.col("_first") != F.col(row_id), FLAT_STEPS[1])
     return keyed.join(repeats, "_key", "left").select(*df.columns, step.alias("failed_step"))
 
 

@@ -8,13 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from gleanmark.functions import text as tx
+from gleanmark.plans.cleaning import drop_empty, normalise_columns
 
 
 def normalise(df: DataFrame, text: str) -> DataFrame:
-    """Collapse whitespace, apply NFKC, and drop rows left empty."""
-    clean = tx.nfkc(tx.collapse_whitespace(text))
-    return df.withColumn(text, clean).where(f"length({text}) > 0")
+    """Drop rows without text, collapse whitespace, and apply NFKC."""
+    return normalise_columns(drop_empty(df, text), [text])
 
 
 def normalise_to(df: DataFrame, text: str, path: str, checkpoint: str) -> StreamingQuery:

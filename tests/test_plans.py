@@ -69,3 +69,15 @@ def test_one_audit_is_one_scan(spark, tmp_path):
     counters = flat_counters("text", "label", ["row_id", "text", "label"])
     p = plan(audit(df, counters, ["split"]))
     assert p.count("FileScan") == 1 and "unused" not in p
+
+
+def test_python_runs_once_per_row(spark, tmp_path):
+    """A filter above a Python step must not copy the step into itself."""
+    from gleanmark.operators.parse import parse_answers
+    from gleanmark.plans.cleaning import clean_flat, drop_empty, normalise_columns
+
+    df = table(spark, tmp_path)
+    parsed = parse_answers(df, "text", ["abc"]).where("pred_intent is null and parse_path = 'none'")
+    assert plan(parsed).count("ArrowEvalPython") == 1
+    assert plan(normalise_columns(drop_empty(df, "text"), ["text"])).count("ArrowEvalPython") == 1
+    assert plan(clean_flat(df, split="split")).count("ArrowEvalPython") == 1
