@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +13,6 @@ MAX_VOCABULARY = 100_000
 # Scans below this many bytes are dealt out over the cores before heavy work.
 SPREAD_BELOW = 64 * 1024 * 1024
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def local_session(cores: int | str = "*", app: str = "gleanmark", **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -38,35 +35,36 @@ def local_session(cores: int | str = "*", app: str = "gleanmark", **conf: str) -
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """The folder for intermediate tables, which all executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local master, where
-    driver and tasks share one disk, may fall back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``; a session without it uses a folder
+    in its warehouse, where the tables it saves lie too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="gleanmark-")
-    return _LOCAL_SCRATCH[app]
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the session's own part of the shared folder."""
+    return f"{scratch_root(spark)}/gleanmark-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this session has staged; results that still read it are void."""
+    folder = f"{scratch_root(spark)}/gleanmark-{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with a table that outlives lost executors, keeps the
     columnar layout, and lets later scans prune columns.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
