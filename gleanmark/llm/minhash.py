@@ -2,15 +2,14 @@
 
 1. Every text becomes the set of its five-word shingles, a sketch of the set, and one
    key per band of the sketch.  Equal sets form one class; only classes go on.
-2. Classes that share a band key form a bucket.  In each round some members of every
-   bucket are pivots and are paired with the rest of the bucket, where the two are not
-   yet in one component and their sizes allow the similarity.  Pairs are verified on
-   their full sets, and the links found are contracted into components.
-3. A pivot has met its whole bucket and leaves it.  A bucket whose members are all in
-   one component is done.  The others go on with four times the pivots, until none is
-   left.  So every pair of a bucket is either verified or already joined by other
-   links, and a group of thousands of near copies costs a few pairs for each member
-   instead of all pairs.
+2. Classes that share a band key form a bucket.  The first member of a bucket is paired
+   with the others, pairs are verified on their full sets, and the links are contracted
+   into components.  A group of thousands of near copies costs one pair per member.
+3. Buckets that still hold several components are compared within themselves, in tiles of
+   bounded size.  A task compares the sketches of its tiles as a matrix, leaves out pairs
+   that are joined already, that meet in an earlier band too, or whose sketches lie five
+   standard deviations below the similarity, verifies the rest on their full sets, and
+   gives only links that join components.  No pair is ever a row.
 
 With 40 bands of 5 coordinates a pair at similarity 0.75 shares a bucket with
 probability 1 - (1 - 0.75^5)^40 > 0.99997, and more alike pairs more surely.
@@ -38,23 +37,28 @@ COORDINATES = 5 * BANDS
 # Ids of at most this many documents (16 MB) may be sent to every task to pick texts.
 BROADCAST_IDS = 2_000_000
 
-_SKETCH = "n long, key binary, bands array<long>"
+# Members of a tile; a bucket of more is several tiles, compared two by two.
+TILE = 512
+
+_SKETCH = "n long, key binary, bands array<long>, sketch binary"
 
 
 def sketched(text: Column, width: int = WIDTH, bands: int = BANDS, coordinates: int = COORDINATES) -> Column:
-    """Struct of set size, 128-bit key of the set and its band keys; empty sets have null keys."""
+    """Struct of set size, 128-bit key of the set, band keys and one byte per coordinate; empty sets have nulls."""
 
     @F.pandas_udf(_SKETCH)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            sizes, keys, banded = [], [], []
+            sizes, keys, banded, bytewise = [], [], [], []
             for some in in_slices(texts.fillna("").tolist()):
                 sets = [shingle_set(t, width) for t in some]
-                rows = iter(band_keys(similarity_sketches([s for s in sets if len(s)], coordinates), bands))
+                found = similarity_sketches([s for s in sets if len(s)], coordinates)
+                rows, low = iter(band_keys(found, bands)), iter(found.astype(np.uint8))
                 sizes += [len(s) for s in sets]
                 keys += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 banded += [next(rows) if len(s) else None for s in sets]
-            yield pd.DataFrame({"n": sizes, "key": keys, "bands": banded})
+                bytewise += [next(low).tobytes() if len(s) else None for s in sets]
+            yield pd.DataFrame({"n": sizes, "key": keys, "bands": banded, "sketch": bytewise})
 
     return run(text)
 
@@ -77,50 +81,87 @@ def verified(a: Column, b: Column, width: int = WIDTH, percent: int = PERCENT) -
     return run(a, b)
 
 
-def _links(buckets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) of all classes that have a verified link."""
-    spark = texts.sparkSession
-    members = buckets.withColumn("component", F.col("rep"))
-    edges: DataFrame | None = None
-    found: DataFrame | None = None
-    pivots_at_once, turn = 1, 0
-    while True:
-        # Buckets with members in different components only.
-        alive = members.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        members = stage(members.join(alive.select("band"), "band", "left_semi"), "members")
-        if members.isEmpty():
-            break
-        salt = F.pmod(F.xxhash64(F.lit(turn), "rep"), F.lit(pivots_at_once))
-        pivots = stage(
-            members.groupBy("band", salt.alias("salt")).agg(F.min(F.struct("rep", "n", "component")).alias("p"))
-            .select("band", "p"),
-            "pivots",
-        )
-        fits = f"100 * least(n, p.n) >= {percent} * greatest(n, p.n) and p.component <> component and p.rep <> rep"
-        pairs = stage(
-            members.join(pivots, "band").where(fits)
-            .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct(),
-            "pairs",
-        )
-        left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-        good = pairs.join(left, "a").join(right, "b").where(verified(F.col("text_a"), F.col("text_b"), width, percent))
-        new = stage(good.select("a", "b").distinct(), "links")
-        edges = new if edges is None else edges.unionByName(new)
-        found = components(edges)
-        # One edge to the component's first node says the same as all its links.
-        edges = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        rest = members.select("band", "rep", "n").join(
-            pivots.select("band", F.col("p.rep").alias("rep")), ["band", "rep"], "left_anti"
-        )
-        named = found.select(F.col("node").alias("rep"), "component")
-        members = rest.join(named, "rep", "left").select(
-            "band", "rep", "n", F.coalesce("component", "rep").alias("component")
-        )
-        pivots_at_once, turn = pivots_at_once * 4, turn + 1
-    if found is None:
-        return spark.createDataFrame([], "node long, component long")
-    return found
+def _star_links(buckets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Verified links (a, b) between the first member of each bucket and the others."""
+    first = buckets.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("p"))
+    fits = f"100 * least(n, p.n) >= {percent} * greatest(n, p.n) and p.rep <> rep"
+    pairs = buckets.join(first, "band").where(fits).select(F.col("p.rep").alias("a"), F.col("rep").alias("b"))
+    pairs = stage(pairs.distinct(), "pairs")
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
+    good = pairs.join(left, "a").join(right, "b").where(verified(F.col("text_a"), F.col("text_b"), width, percent))
+    return stage(good.select("a", "b").distinct(), "links")
+
+
+class _Roots(dict):
+    """Union-find over component numbers."""
+
+    def root(self, v: int) -> int:
+        while self.setdefault(v, v) != v:
+            self[v] = v = self[self[v]]
+        return v
+
+
+def _tile_links(frame: pd.DataFrame, width: int, percent: int, coordinates: int) -> pd.DataFrame:
+    """Links that join components among the members of one tile, or between two."""
+    frame = frame.sort_values("rep").reset_index(drop=True)
+    turn, one_tile = int(frame["turn"].iloc[0]), frame["lo"].iloc[0] == frame["hi"].iloc[0]
+    rep, n, tile = frame["rep"].to_numpy(), frame["n"].to_numpy(), frame["mine"].to_numpy()
+    component = frame["component"].to_numpy()
+    sketch = np.frombuffer(b"".join(frame["sketch"]), dtype=np.uint8).reshape(len(frame), -1)
+    bands = np.array(frame["bands"].tolist(), dtype=np.int64)[:, :turn]
+    p = percent / 100
+    floor = coordinates * (p - 5 * np.sqrt(p * (1 - p) / coordinates))
+    roots, sets, links = _Roots(), {}, []
+
+    def shingles(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(frame["text"].iat[i], width)
+        return sets[i]
+
+    for i in range(len(frame) - 1):
+        rest = slice(i + 1, None)
+        maybe = (component[rest] != component[i]) & (rep[rest] != rep[i])
+        maybe &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
+        if not one_tile:
+            maybe &= tile[rest] != tile[i]
+        at = i + 1 + np.flatnonzero(maybe)
+        alike = (sketch[at] == sketch[i]).sum(axis=1)
+        at, alike = at[alike >= floor], alike[alike >= floor]
+        # A pair that meets in an earlier band is compared there.
+        later = ~(bands[at] == bands[i]).any(axis=1)
+        for j in at[later][np.argsort(-alike[later], kind="stable")]:
+            a, b = roots.root(int(component[i])), roots.root(int(component[j]))
+            if a == b:
+                continue
+            x, y = shingles(i), shingles(j)
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                roots[max(a, b)] = min(a, b)
+                links.append((int(rep[i]), int(rep[j])))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, tile: int, coordinates: int) -> DataFrame:
+    """Links (a, b) whose components are those of all verified links."""
+    star = _star_links(buckets, texts, width, percent)
+    found = components(star).withColumnRenamed("node", "rep")
+    members = buckets.select("band", "turn", "rep").join(found, "rep", "left")
+    members = members.withColumn("component", F.coalesce("component", "rep"))
+    open_buckets = members.groupBy("band").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")
+    ).where("x < y")
+    members = stage(members.join(open_buckets.select("band", "size"), "band"), "members")
+    tiles = F.ceil(F.col("size") / tile)
+    dealt = (
+        members.withColumn("mine", F.pmod(F.xxhash64("rep"), tiles))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+        .select("band", "turn", "rep", "component", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+        .join(classes.select("rep", "n", "bands", "sketch"), "rep").join(texts, "rep")
+    )
+    compare = lambda frame: _tile_links(frame, width, percent, coordinates)
+    more = dealt.groupBy("band", "lo", "hi").applyInPandas(compare, "a long, b long")
+    return star.unionByName(stage(more, "tile-links"))
 
 
 def _sendable(ids: DataFrame) -> DataFrame:
@@ -129,39 +170,42 @@ def _sendable(ids: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    tile: int = TILE,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     component_id is the smallest id that links reach, kept marks the document that
     carries it.  A null or blank text has the empty set and links with nothing; a text
     below ``width`` words is one shingle.  Rows that share an id count as one document
-    and may join several sets.  A row without an id cannot be named by a link: it stays
+    and may join several sets (of which one speaks for it in tiles).  A row without an id cannot be named by a link: it stays
     alone, with a null component, and is kept.  An empty table gives an empty one.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = stage(
-        base.select("doc_id", sketched(F.col("text"), width).alias("s")).select(
-            "doc_id", F.col("s.n").alias("n"), F.col("s.key").alias("key"), F.col("s.bands").alias("bands")
-        ),
-        "sets",
-    )
+    sets = stage(base.select("doc_id", sketched(F.col("text"), width).alias("s")).select("doc_id", "s.*"), "sets")
     named = sets.where("doc_id is not null and key is not null")
-    classes = stage(named.groupBy("key").agg(F.min("doc_id").alias("rep")), "classes")
+    firsts = stage(named.groupBy("key").agg(F.min("doc_id").alias("rep")), "firsts")
     # The class's first document speaks for it.
-    speaking = named.join(classes, "key").where("doc_id = rep").select("rep", "n", F.explode("bands").alias("band"))
-    shared = speaking.groupBy("band").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y")
-    buckets = stage(speaking.join(shared.select("band"), "band", "left_semi").distinct(), "buckets")
+    speaking = named.join(firsts, "key").where("doc_id = rep").select("rep", "n", "bands", "sketch")
+    spread = speaking.select("rep", "n", F.posexplode("bands").alias("turn", "band"))
+    shared = spread.groupBy("band").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y")
+    buckets = stage(spread.join(shared.select("band"), "band", "left_semi").distinct(), "buckets")
 
     wanted = stage(buckets.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
-    picked = base.where("text is not null").join(_sendable(wanted), "doc_id", "left_semi")
-    texts = stage(picked.select(F.col("doc_id").alias("rep"), "text"), "texts")
-    linked = _links(buckets, texts, width, percent)
+    wanted = _sendable(wanted)
+    picked = base.where("text is not null").join(wanted, "doc_id", "left_semi")
+    texts = stage(picked.select(F.col("doc_id").alias("rep"), "text").distinct(), "texts")
+    classes = speaking.join(wanted.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").dropDuplicates(["rep"])
+    links = _links(buckets, stage(classes, "classes"), texts, width, percent, tile, COORDINATES)
 
     # Equal sets are linked through their class; rows of one id are one document.
-    joined = named.select("doc_id", "key").join(classes, "key").where("doc_id <> rep")
+    joined = named.select("doc_id", "key").join(firsts, "key").where("doc_id <> rep")
     ties = joined.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    found = components(ties.unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    found = components(ties.unionByName(links))
     return sets.join(found, sets["doc_id"] == found["node"], "left").select(
         sets["doc_id"],
         F.col("n").alias("n_shingles"),
