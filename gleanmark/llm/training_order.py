@@ -140,8 +140,9 @@ def write_training_order(
             for doc, ids, parts, first, place in rows:
                 tokens = np.frombuffer(ids, dtype="<u2")
                 out = np.zeros(parts, dtype=kind)
-                out["tokens"] = end_token
-                out["tokens"].reshape(-1)[: len(tokens)] = tokens
+                padded = np.full(parts * length, end_token, dtype="<u2")
+                padded[: len(tokens)] = tokens
+                out["tokens"] = padded.reshape(parts, length)
                 out["doc_id"], out["part"] = _NO_ID if doc is None else doc, np.arange(parts)
                 out["n_tokens"] = np.minimum(length, len(tokens) - length * np.arange(parts))
                 slots = permuted(bases[place] + first + np.arange(parts), n, key)
