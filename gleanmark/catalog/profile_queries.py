@@ -65,7 +65,8 @@ def classes_too_small_to_split(spark, d):
 
 
 @query("""SELECT source, count(*) FILTER (WHERE lang = 'de') AS de, count(*) FILTER (WHERE lang = 'en') AS en,
-  count(*) FILTER (WHERE lang = 'es') AS es, count(*) FILTER (WHERE lang = 'fr') AS fr FROM documents GROUP BY 1""")
+  count(*) FILTER (WHERE lang = 'es') AS es, count(*) FILTER (WHERE lang = 'fr') AS fr,
+  count(*) FILTER (WHERE lang IS NULL OR lang NOT IN ('de', 'en', 'es', 'fr')) AS other FROM documents GROUP BY 1""")
 def source_by_language(spark, d):
     return pf.crosstab(documents(spark, d), "source", "lang", LANGS)
 

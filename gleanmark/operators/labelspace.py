@@ -10,10 +10,6 @@ from pyspark.sql import types as T
 
 from gleanmark.functions.keys import seeded_order
 from gleanmark.functions.labels import is_irregular_label, label_tokens, round4
-from gleanmark.session import vocabulary
-
-# The most names compared pairwise; more is not a label vocabulary.
-MAX_NAMES = 5_000
 
 # Fixed value: label columns, the first one found wins.
 LABEL_PREFERENCE = ["label_name", "label"]
@@ -97,13 +93,12 @@ def similar_labels(labels: DataFrame, label: str, k: int = 10) -> DataFrame:
     """The ``k`` most similar pairs of names by Jaccard of their words, above 0.
 
     Pairs meet on a shared word, so names with nothing in common are never
-    compared.  The names are a label vocabulary, and one above ``MAX_NAMES`` is
-    refused rather than cut short.
+    compared.
     """
     names = (
-        labels.sparkSession.createDataFrame(
-            [(n,) for n in vocabulary(labels, label, MAX_NAMES)], "name string"
-        )
+        labels.select(F.col(label).cast("string").alias("name"))
+        .where("name is not null")
+        .distinct()
         .withColumn("words", label_tokens("name"))
         .where(F.size("words") > 0)
     )

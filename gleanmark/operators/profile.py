@@ -72,9 +72,13 @@ def classes_below(df: DataFrame, label: str, least: int) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Counts of ``row`` by ``column``, zero where a pair is absent."""
-    wide = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    return wide.na.fill(0, list(values))
+    """Counts of ``row`` by ``column``, zero where a pair is absent.
+
+    ``other`` counts the rows whose value is null or not among ``values``.
+    """
+    listed = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    counts = [F.count_if(listed & (F.col(column) == v)).alias(v) for v in values]
+    return df.groupBy(row).agg(*counts, F.count_if(~listed).alias("other"))
 
 
 def parents_of(df: DataFrame, label: str, parent: str) -> DataFrame:

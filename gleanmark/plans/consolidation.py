@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gleanmark.operators import report as rp
 
@@ -41,7 +42,7 @@ def consolidate(
 ) -> Consolidated:
     """Summary, cross-check against the documents, per-class comparison and gates."""
     summary = rp.run_summary(runs, training_log, known_sizes)
-    classes = rp.per_class_of_runs(runs, drop_labels).where(f"dataset = '{dataset}'")
+    classes = rp.per_class_of_runs(runs, drop_labels).where(F.col("dataset") == dataset)
     return Consolidated(
         summary,
         rp.cross_check(summary, rp.run_summary(runs), KEYS, CHECKED),

@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 # every task.  A label vocabulary is a dimension; beyond this it is refused.
 MAX_VOCABULARY = 100_000
 
-# Scans below this many bytes are dealt out over the cores before heavy work.
-SPREAD_BELOW = 64 * 1024 * 1024
-
 
 def local_session(cores: int | str = "*", app: str = "gleanmark", **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -68,19 +65,6 @@ def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, below: int = SPREAD_BELOW) -> DataFrame:
-    """Deal the rows of a small scan over all cores.
-
-    A small file is one row group and so one task, which would do all the regular
-    expressions and model scoring on one core.  The size is the scan's own, known
-    without a job; a larger scan has row groups enough and is left as it is.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if int(plan.stats().sizeInBytes()) >= below:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def lookup(df: DataFrame, name: str) -> DataFrame:
     """Stage the small side of a join before the join is planned.
 

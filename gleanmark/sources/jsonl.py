@@ -14,9 +14,13 @@ def read_instructions(spark: SparkSession, path: str, limit: int | None = None)
     """``instruction, input, output``; blank lines skipped, a missing input is empty.
 
     A line that is no JSON object, or lacks an instruction or an output, fails
-    the job.
+    the job.  With ``limit`` the first lines come back, by file and place in it.
     """
     rows = spark.read.schema(INSTRUCTION).json(path, mode="FAILFAST")
+    if limit is not None:
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+        names = ["_file", "_block", "_line"]
+        rows = rows.select("*", *[p.alias(n) for p, n in zip(place, names)]).orderBy(*names).limit(limit)
 
     def required(name: str):
         return F.coalesce(name, F.raise_error(F.lit(f"instruction line without {name!r}")).cast("string"))
@@ -26,7 +30,7 @@ def read_instructions(spark: SparkSession, path: str, limit: int | None = None)
         F.coalesce("input", F.lit("")).alias("input"),
         required("output").alias("output"),
     )
-    return out if limit is None else out.limit(limit)
+    return out
 
 
 def write_json_lines(df: DataFrame, record: str, path: str, split: str | None = None) -> None:

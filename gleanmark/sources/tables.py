@@ -16,10 +16,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def read_corpus(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
 def load_split(
     df: DataFrame, text: str, label: str, row_id: str | None = None, limit: int | None = None
 ) -> DataFrame:

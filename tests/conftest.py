@@ -1,17 +1,20 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from gleanmark.session import local_session  # noqa: E402
+from gleanmark.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", "tests")
+    shared = tempfile.mkdtemp(prefix="run-")  # driver and tasks share this machine's disk
+    session = local_session("*", "tests", **{"spark.checkpoint.dir": shared})
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -147,6 +147,7 @@ def test_tags(spark, rows):
 
 def test_crosstab_and_feasibility(spark, rows):
     df = spark.createDataFrame([("a", "x")] * 9 + [("b", "y")] * 2, "c string, l string")
-    assert rows(pf.crosstab(df, "c", "l", ["x", "y", "z"])) == [("a", 9, 0, 0), ("b", 0, 2, 0)]
+    assert rows(pf.crosstab(df, "c", "l", ["x", "y", "z"])) == [("a", 9, 0, 0, 0), ("b", 0, 2, 0, 0)]
+    assert rows(pf.crosstab(df, "c", "l", ["x"])) == [("a", 9, 0), ("b", 0, 2)]
     got = pf.split_feasibility(df, "l").first()
     assert (got["n_too_small"], got["expected_of_rarest"], got["feasible"]) == (1, 0.24, False)
