@@ -31,7 +31,7 @@ from gleanmark.llm.common import in_slices, tokenizer_file
 VOCABULARY = "word_bpe_49k.json"
 
 # Units whose ids a worker remembers; the memory is emptied when it is full.
-MOST_UNITS = 500_000
+MOST_UNITS = 300_000
 
 # A final symbol with an end-of-word mark is one symbol; it is moved here.
 _END = 0xF0000
@@ -52,7 +52,7 @@ class PairTable:
         pair = (left, right)
         found = self.known.get(pair)
         if found is None:
-            if len(self.known) >= 2_000_000:
+            if len(self.known) >= 500_000:
                 self.known.clear()
             found = self.known[pair] = self._apart(left, right)
         return found
@@ -127,6 +127,7 @@ class Encoder:
         self.table = np.frombuffer(b"".join(spelled), dtype=np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in spelled])]).astype(np.int64)
         self.units: dict[str, bytes] = {"": b""}
+        self.words: dict[str, list[int]] = {}
 
     def _symbols(self, token: str) -> str:
         if self.suffix and token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -180,7 +181,12 @@ class Encoder:
             elif piece:
                 normal = self.library.normalizer.normalize_str(piece)
                 for word, _ in self.library.pre_tokenizer.pre_tokenize_str(normal):
-                    ids += self.word(word)
+                    known = self.words.get(word)
+                    if known is None:
+                        if len(self.words) >= MOST_UNITS:
+                            self.words.clear()
+                        known = self.words[word] = self.word(word)
+                    ids += known
         return np.array(ids, dtype="<u4").tobytes()
 
     def _around_specials(self, unit: str) -> Iterator[tuple[str, int | None]]:
@@ -196,7 +202,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        for some in in_slices(texts):
+        for some in in_slices(texts, 500_000):
             split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in some]
             new = set().union(*split).difference(self.units)
             if len(self.units) + len(new) > MOST_UNITS:

@@ -17,6 +17,7 @@ worker.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,9 +35,12 @@ OVERLAP_CHARS = 600
 WIDEN = 4
 
 # Units whose count a worker remembers; the memory is emptied when it is full.
-MOST_UNITS = 700_000
+MOST_UNITS = 300_000
 
-_LOOSE_BLANK = re.compile(r" (?:\s|\Z)")
+# Units handed to the library at once.
+MOST_AT_ONCE = 4096
+
+_LOOSE_BLANK = re.compile(r"\s(?:\s|\Z)|\A\s")
 _BEFORE_WORD = re.compile(r"(?= \S)")
 
 
@@ -48,6 +52,7 @@ class Counter:
 
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec["pre_tokenizer"] or {}
@@ -64,23 +69,44 @@ class Counter:
         return len(encoding)
 
     def units_of(self, text: str) -> list[str]:
-        """Units of a text; each but the first begins with a blank."""
-        if not _LOOSE_BLANK.search(text):
-            first, *rest = text.split(" ")
-            return [first, *[f" {x}" for x in rest]] if first else [f" {x}" for x in rest]
-        return [x for x in _BEFORE_WORD.split(text) if x]
+        """Units of a text: words with the blank before them, and single line ends.
+
+        A line end between printing characters is a word of its own.  Texts with runs of
+        white space, or with some at an end, are split before words only.
+        """
+        if not text or _LOOSE_BLANK.search(text):
+            return [x for x in _BEFORE_WORD.split(text) if x]
+        units: list[str] = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            units.append(first)
+            units += [f" {x}" for x in rest]
+            units.append("\n")
+        units.pop()
+        return units
+
+    def learn(self, new: list[str]) -> None:
+        """Have the library encode units; a final mark after a letter or digit is a word apart."""
+        marked = [u for u in new if len(u) > 2 and u[-1] in ".,;:!?" and u[-2].isalnum()]
+        plain = set(new).difference(marked).union(u[:-1] for u in marked).union(u[-1] for u in marked)
+        plain = list(plain.difference(self.units))
+        for a in range(0, len(plain), MOST_AT_ONCE):
+            some = plain[a : a + MOST_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.units.update(zip(some, map(self.value, found)))
+        for u in marked:
+            self.units[u] = self.units[u[:-1]] + self.units[u[-1]]
 
     def split(self, texts: list[str]) -> Iterator[list]:
         """What is remembered of every unit of each text."""
-        for some in in_slices(texts):
+        for some in in_slices(texts, 500_000):
             split = [self.units_of(t) for t in some]
             seen = set().union(*split)
             new = list(seen.difference(self.units))
             if len(self.units) + len(new) > MOST_UNITS:
                 self.units.clear()
                 new = list(seen)
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.units.update(zip(new, map(self.value, found)))
+            self.learn(new)
             for units in split:
                 yield list(map(self.units.__getitem__, units))
 
@@ -102,9 +128,6 @@ class Counter:
 @lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
     """One counter per worker and file."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Counter(path)
 
 
