@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gleanmark.catalog.inputs import documents, SQL_SPLIT_DOCUMENTS, split_documents, sql_collapse
 from gleanmark.catalog.registry import query
+from gleanmark.functions.keys import content_key
 from gleanmark.operators import labelspace as ls
 from gleanmark.operators import leakage as lk
 from gleanmark.operators import profile as pf
@@ -14,6 +15,7 @@ from gleanmark.operators.dedup import keep_first
 from gleanmark.operators.report import content_fingerprint
 from gleanmark.plans import splitting as pl
 from gleanmark.plans.cleaning import normalise_columns
+from gleanmark.session import stage
 from gleanmark.sources.tables import read_table, union_splits
 
 SPLITS = ["train", "val", "test"]
@@ -55,8 +57,10 @@ _SQL_CLEAN = f"""clean AS (
 
 
 def _clean(spark, d):
-    docs = normalise_columns(documents(spark, d).select("doc_id", "text", "lang", "source"), ["text"])
-    return keep_first(docs, ["text", "lang"], "doc_id")
+    docs = documents(spark, d).select("doc_id", "text", "lang", "source")
+    cleaned = normalise_columns(docs, ["text"]).withColumn("_content", content_key("text", "lang"))
+    cleaned = stage(cleaned, "normalised")
+    return keep_first(cleaned, ["text", "lang"], "doc_id", hashed="_content").drop("_content")
 
 
 # --- splits -----------------------------------------------------------------------

@@ -25,16 +25,22 @@ def repeated_keys(df: DataFrame, key: Column, row_id: str) -> DataFrame:
     )
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], row_id: str, hashed: str | None = None
+) -> DataFrame:
     """The row with the least ``row_id`` of each key; null keys are equal.
 
+    ``hashed`` names a column that already holds ``content_key(*keys)``; with it
+    the key columns are not read.
+
     Only repeated keys are looked up.  When they are few the look-up is broadcast
     by its measured size and the table is not shuffled; otherwise the join
     shuffles and adaptive execution splits a hot key.  The keys are hashes, so
     the first pass reads the key columns alone and moves 40 bytes per distinct key.
     """
-    keyed = df.withColumn("_key", content_key(*keys))
-    repeated = lookup(repeated_keys(df, content_key(*keys), row_id), "repeated")
+    key = F.col(hashed) if hashed else content_key(*keys)
+    keyed = df.withColumn("_key", key)
+    repeated = lookup(repeated_keys(df, key, row_id), "repeated")
     return (
         keyed.join(repeated, "_key", "left")
         .where(F.col("_first").isNull() | (F.col("_first") == F.col(row_id)))

@@ -2,9 +2,10 @@
 
 A group may hold a third of all rows, so ``row_number`` over the whole group is
 out.  Instead a histogram over the leading hex digits of the order key finds, per
-group and quota, the one bucket the cut falls into; only that bucket's keys (one
-in 4,096 of the group) are ranked to find the cut value.  Selecting rows is then
-a comparison with the group's cut, on rows that never move.  The look-ups
+group and quota, the one bucket the cut falls into (one in 4,096 of the group).
+A bucket that still holds many keys is divided again by its next digits, until
+it is small; only its keys are ranked to find the cut value.  Selecting rows is
+then a comparison with the group's cut, on rows that never move.  The look-ups
 have one row per group and quota and are written first, so their size is known.
 """
 
@@ -13,40 +14,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanmark.session import lookup
+from gleanmark.session import lookup, stage
 
 BUCKET_DIGITS = 3
+# A bucket with more keys is divided by its next digits before it is ranked.
+BUCKET_ROWS = 1_000_000
+# Digits of an order key; no further division helps beyond them.
+KEY_DIGITS = 32
 
 
-def cut_points(keyed: DataFrame, quotas: DataFrame) -> DataFrame:
+def cut_points(keyed: DataFrame, quotas: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The largest order key that is still inside each quota.
 
-    ``keyed``: ``grp, order_key`` (hex, unique).  ``quotas``: ``grp, slot, quota``.
-    Returns ``grp, slot, cut``; a quota of zero gets the empty string, which no
-    key is below.
+    ``keyed``: ``grp, order_key`` (hex, unique), read once per round, so stage it.
+    ``quotas``: ``grp, slot, quota``.  Returns ``grp, slot, cut``; a quota of zero
+    gets the empty string, which no key is below.
     """
-    bucket = F.substring("order_key", 1, BUCKET_DIGITS)
-    running = Window.partitionBy("grp").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    histogram = (
-        keyed.groupBy("grp", bucket.alias("bucket"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(running))
+    found = quotas.where("quota > 0").select(
+        "grp", "slot", F.lit("").alias("bucket"), F.col("quota").alias("nth")
     )
-    wanted = quotas.where("quota > 0").alias("q")
-    held = histogram.alias("h")
-    in_bucket = lookup(
-        held.join(
-            wanted,
-            F.expr("h.grp <=> q.grp and q.quota > h.upto - h.n and q.quota <= h.upto"),
-        ).select("q.grp", "q.slot", "h.bucket", F.expr("q.quota - (h.upto - h.n)").alias("nth")),
-        "buckets",
-    ).alias("b")
+    digits = 0
+    while True:
+        digits += BUCKET_DIGITS
+        found = lookup(_narrowed(keyed, found, digits), "buckets")
+        largest = found.agg(F.max("n")).first()[0] or 0
+        if largest <= bucket_rows or digits >= KEY_DIGITS:
+            break
     ranked = (
-        keyed.withColumn("bucket", bucket)
+        keyed.withColumn("bucket", F.substring("order_key", 1, digits))
         .alias("k")
-        .join(in_bucket, F.expr("k.grp <=> b.grp and k.bucket = b.bucket"))
+        .join(found.alias("b"), F.expr("k.grp <=> b.grp and k.bucket = b.bucket"))
         .select("b.grp", "b.slot", "b.nth", "k.order_key")
         .withColumn(
             "rank",
@@ -58,6 +55,41 @@ def cut_points(keyed: DataFrame, quotas: DataFrame) -> DataFrame:
     return cuts.unionByName(none)
 
 
+def _narrowed(keyed: DataFrame, found: DataFrame, digits: int) -> DataFrame:
+    """``grp, slot, bucket, nth, n``: the bucket of ``digits`` digits that each cut falls into.
+
+    ``found`` holds the buckets of the round before, and ``nth`` the place of the
+    cut inside them; only their keys are counted.
+    """
+    members = keyed.select(
+        "grp",
+        F.substring("order_key", 1, digits - BUCKET_DIGITS).alias("outer"),
+        F.substring("order_key", 1, digits).alias("bucket"),
+    )
+    if digits > BUCKET_DIGITS:
+        members = members.alias("m").join(
+            found.alias("f"), F.expr("m.grp <=> f.grp and m.outer = f.bucket"), "left_semi"
+        )
+    running = Window.partitionBy("grp", "outer").orderBy("bucket").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    histogram = (
+        members.groupBy("grp", "outer", "bucket")
+        .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(running))
+    )
+    return (
+        histogram.alias("h")
+        .join(
+            found.alias("q"),
+            F.expr(
+                "h.grp <=> q.grp and h.outer = q.bucket and q.nth > h.upto - h.n and q.nth <= h.upto"
+            ),
+        )
+        .select("q.grp", "q.slot", "h.bucket", F.expr("q.nth - (h.upto - h.n)").alias("nth"), "h.n")
+    )
+
+
 def pick_exact(
     df: DataFrame, hashes: dict[str, Column], counts: dict[str, Column]
 ) -> DataFrame:
@@ -66,11 +98,14 @@ def pick_exact(
     Adds one boolean column per name.  All picks share one histogram pass.
     """
     names = list(hashes)
-    keyed = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("grp"), hashes[n].alias("order_key")) for n in names])
-        ).alias("k")
-    ).select("k.*")
+    keyed = stage(
+        df.select(
+            F.explode(
+                F.array(*[F.struct(F.lit(n).alias("grp"), hashes[n].alias("order_key")) for n in names])
+            ).alias("k")
+        ).select("k.*"),
+        "order-keys",
+    )
     quotas = df.agg(
         F.array(
             *[

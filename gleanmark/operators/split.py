@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanmark.functions.keys import seeded_order
 from gleanmark.operators.ranking import cut_points
-from gleanmark.session import lookup
+from gleanmark.session import lookup, stage
 
 
 def _held_out(total: Column, fraction: float) -> Column:
@@ -59,8 +59,13 @@ def stratified_split(
 
     Quotas come from the class counts alone, so any number of rounds needs one
     ranking of the rows.  Class counts are the only thing brought to one task.
+    ``df`` is read twice: for the label and order key, which are staged, and for
+    the result.
     """
-    counts = df.groupBy(F.col(label).alias("grp")).agg(F.count("*").alias("n"))
+    keyed = stage(
+        df.select(F.col(label).alias("grp"), seeded_order(seed, row_id).alias("order_key")), "order-keys"
+    )
+    counts = keyed.groupBy("grp").agg(F.count("*").alias("n"))
     # Rows ranked above `in_0` stay in the remainder; within the held-out part the
     # next round again keeps the lowest ranks.
     staged = counts.withColumn("left", F.col("n"))
@@ -78,7 +83,6 @@ def stratified_split(
             F.array(*[F.struct(F.lit(s).alias("slot"), b.alias("quota")) for s, b in enumerate(bounds)])
         ).alias("q"),
     ).select("grp", "q.slot", "q.quota")
-    keyed = df.select(F.col(label).alias("grp"), seeded_order(seed, row_id).alias("order_key"))
     cuts = lookup(
         cut_points(keyed, quotas)
         .groupBy("grp")

@@ -1,9 +1,10 @@
 """Cleaning jobs with a row-accounted log.
 
 Both de-duplications of the hierarchical job depend on the filters before them,
-yet the corpus is not rewritten step by step: a slim table of key hashes decides
-which rows fall at which step, and each row is tagged with the first step it
-fails.  The log is one aggregate over the tags.
+yet the corpus is not rewritten step by step: it is normalised and written once
+with its key hashes, a slim table of them decides which rows fall at which step,
+and each row is tagged with the first step it fails.  The log is one aggregate
+over the tags and reads no text.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from gleanmark.functions import text as tx
 from gleanmark.functions.keys import content_key
 from gleanmark.operators.audit import INSTRUCTION_CAP, RESPONSE_CAP
 from gleanmark.operators.dedup import repeated_keys
-from gleanmark.session import lookup
+from gleanmark.session import lookup, stage
 
 HIERARCHICAL_STEPS = [
     "drop_null_label",
@@ -80,7 +81,8 @@ def tag_hierarchical(
             ),
         )
     )
-    fates = lookup(_fates(keyed.withColumn("_clean_key", content_key(text, label)), row_id, label), "fates")
+    keyed = stage(keyed.withColumn("_clean_key", content_key(text, label)), "normalised")
+    fates = lookup(_fates(keyed, row_id, label), "fates")
     step = (
         F.when(F.col(label).isNull(), HIERARCHICAL_STEPS[0])
         .when(F.col("_raw_first") != F.col(row_id), HIERARCHICAL_STEPS[1])
@@ -164,7 +166,8 @@ def tag_flat(
     # NFKC never empties a text, so the test reads the raw one: rows without text
     # are found by their first character, before any normalising.
     marked = df.withColumn("_present", F.coalesce(~tx.is_blank(text), F.lit(False)))
-    keyed = normalise_columns(marked, [text], recollapse=recollapse).withColumn("_key", content_key(*keys))
+    normalised = normalise_columns(marked, [text], recollapse=recollapse)
+    keyed = stage(normalised.withColumn("_key", content_key(*keys)), "normalised")
     repeats = lookup(repeated_keys(keyed.where("_present"), F.col("_key"), row_id), "repeated")
     step = F.when(~F.col("_present"), FLAT_STEPS[0]).when(F.col("_first") != F.col(row_id), FLAT_STEPS[1])
     return keyed.join(repeats, "_key", "left").select(*df.columns, step.alias("failed_step"))

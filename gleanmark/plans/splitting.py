@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanmark.functions.keys import content_key
 from gleanmark.operators.leakage import overlap_counts, tag_leakage
 from gleanmark.operators.split import (
     class_drift,
@@ -32,7 +33,11 @@ class CheckedSplit:
 def split_checks(
     before: DataFrame, parts: DataFrame, text: str, label: str, splits: Sequence[str] = SPLITS
 ) -> DataFrame:
-    """``check, subject, value, ok``: conservation, coverage, drift and overlap."""
+    """``check, subject, value, ok``: conservation, coverage, drift and overlap.
+
+    Every check reads the staged label, split and content key; no text is written.
+    """
+    parts = stage(parts.select(label, "split", content_key(text, label).alias("_content")), "split-checks")
     sizes = conservation(before, parts).select(
         F.lit("conservation").alias("check"),
         F.lit("all").alias("subject"),
@@ -55,7 +60,7 @@ def split_checks(
         F.col("max_change").alias("value"),
         "ok",
     )
-    overlap = overlap_counts(parts, [text, label], "split", splits).select(
+    overlap = overlap_counts(parts, ["_content"], "split", splits).select(
         F.lit("overlap").alias("check"),
         F.col("pair").alias("subject"),
         F.col("n_shared").cast("double").alias("value"),
@@ -74,13 +79,12 @@ def split_and_check(
 ) -> CheckedSplit:
     """Stratified split with all its checks.
 
-    The input of the split, usually a cleaned corpus, is written once, and so is
-    the assignment, as every check reads it.
+    Hand in a table that is cheap to read again, such as a cleaned corpus, whose
+    normalised texts are staged already: this job writes no text itself.
     """
-    cleaned = stage(df, "split-input")
-    parts = stage(stratified_split(cleaned, label, row_id, rounds, seed=seed), "split")
+    parts = stratified_split(df, label, row_id, rounds, seed=seed)
     splits = ["train", *[name for _, name in rounds]]
-    return CheckedSplit(parts, split_checks(cleaned, parts, text, label, splits))
+    return CheckedSplit(parts, split_checks(df, parts, text, label, splits))
 
 
 def split_with_pinned_test(

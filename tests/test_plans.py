@@ -1,20 +1,38 @@
 """What the optimiser is left with: pruned scans, no skewed shuffles, shared limits."""
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
+from gleanmark import catalog
 from gleanmark.operators import evaluate as ev
 from gleanmark.operators import profile as pf
 from gleanmark.operators.dedup import keep_first
 from gleanmark.operators.leakage import drop_leakage
 from gleanmark.operators.split import stratified_split
-from gleanmark.plans.cleaning import tag_hierarchical
-from gleanmark.plans.splitting import THREE_WAY
+from gleanmark.plans.cleaning import HIERARCHICAL_STEPS, cleaning_log, tag_hierarchical
+from gleanmark.plans.splitting import THREE_WAY, split_and_check
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """``(columns, plan)`` of every table that is written, staged ones included."""
+    seen, write = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        seen.append((self._df.columns, plan(self._df)))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return seen
+
+
 def table(spark, tmp_path, n=2000):
     path = str(tmp_path / "t")
     spark.range(n).selectExpr(
@@ -29,11 +47,35 @@ def test_dedup_broadcasts_its_small_lookup(spark, tmp_path):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "hashpartitioning" not in p
 
 
-def test_cleaning_moves_no_rows(spark, tmp_path):
+def test_cleaning_moves_no_rows_and_normalises_once(spark, tmp_path, written):
     df = table(spark, tmp_path).drop("split", "unused")
+    written.clear()
     p = plan(tag_hierarchical(df, text="text", label="label"))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "hashpartitioning" not in p
-    assert p.count("regexp_replace(text") == 1  # collapsed once although referred to often
+    everything = "".join([p, *[w for _, w in written]])
+    assert everything.count("regexp_replace(text") == 1  # collapsed once although referred to often
+    assert everything.count("ArrowEvalPython") == 1
+
+
+def test_cleaning_log_reads_no_text_again(spark, tmp_path, written):
+    df = table(spark, tmp_path).drop("split", "unused")
+    written.clear()
+    p = plan(cleaning_log(tag_hierarchical(df, text="text", label="label"), HIERARCHICAL_STEPS))
+    assert "text:string" not in p and "ArrowEvalPython" not in p
+
+
+def test_split_of_a_cleaned_corpus_normalises_once(spark, written):
+    p = plan(catalog.load()["clean_split_sizes"].run(spark, SF_DIR))
+    plans = [p, *[w for _, w in written]]
+    assert "".join(plans).count("ArrowEvalPython") == 1
+    assert sum("text:string" in w for w in plans) == 1
+
+
+def test_checked_split_writes_no_text_again(spark, tmp_path, written):
+    df = table(spark, tmp_path)
+    written.clear()
+    split_and_check(df, "text", "label", "row_id").checks.collect()
+    assert written and not any("text" in columns for columns, _ in written)
 
 
 def test_leakage_moves_no_rows(spark, tmp_path):
@@ -71,7 +113,7 @@ def test_one_audit_is_one_scan(spark, tmp_path):
     assert p.count("FileScan") == 1 and "unused" not in p
 
 
-def test_python_runs_once_per_row(spark, tmp_path):
+def test_python_runs_once_per_row(spark, tmp_path, written):
     """A filter above a Python step must not copy the step into itself."""
     from gleanmark.operators.parse import parse_answers
     from gleanmark.plans.cleaning import clean_flat, drop_empty, normalise_columns
@@ -80,4 +122,6 @@ def test_python_runs_once_per_row(spark, tmp_path):
     parsed = parse_answers(df, "text", ["abc"]).where("pred_intent is null and parse_path = 'none'")
     assert plan(parsed).count("ArrowEvalPython") == 1
     assert plan(normalise_columns(drop_empty(df, "text"), ["text"])).count("ArrowEvalPython") == 1
-    assert plan(clean_flat(df, split="split")).count("ArrowEvalPython") == 1
+    written.clear()
+    cleaned = plan(clean_flat(df, split="split"))
+    assert "".join([cleaned, *[w for _, w in written]]).count("ArrowEvalPython") == 1

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanmark.operators import split as sp
-from gleanmark.operators.ranking import cut_points
+from gleanmark.operators.ranking import BUCKET_ROWS, cut_points
 from gleanmark.plans.splitting import THREE_WAY, TWO_WAY, split_and_check
 
 
@@ -74,12 +74,14 @@ def test_quotas_stay_exact_beyond_double_precision(spark):
     assert all(abs(got[c] - (n - held) * big[c] / n) <= 1 for c in big)
 
 
-def test_cut_points_select_exactly(spark):
+@pytest.mark.parametrize("bucket_rows", [BUCKET_ROWS, 1])
+def test_cut_points_select_exactly(spark, bucket_rows):
     keys = [(g, hashlib.md5(f"{g}{i}".encode()).hexdigest()) for g in "xy" for i in range(5000)]
     quotas = [("x", 0, 0), ("x", 1, 1), ("x", 2, 4999), ("y", 0, 2500), ("y", 1, 5000)]
     cuts = cut_points(
         spark.createDataFrame(keys, "grp string, order_key string"),
         spark.createDataFrame(quotas, "grp string, slot int, quota long"),
+        bucket_rows,
     )
     got = {(r["grp"], r["slot"]): r["cut"] for r in cuts.collect()}
     for g, slot, quota in quotas:
