@@ -41,3 +41,10 @@ def enforce(checks: DataFrame) -> DataFrame:
             F.raise_error(F.concat(F.lit("expectation failed: "), F.to_json(F.struct(*checks.columns)))).cast("boolean")
         ),
     )
+
+
+def stop_unless_met(checks: DataFrame) -> None:
+    """Run the checks now and raise on the first that fails, before later work is paid for."""
+    failed = checks.where(~F.coalesce(F.col("ok"), F.lit(False))).first()
+    if failed is not None:
+        raise ValueError(f"expectation failed: {failed.asDict(recursive=True)}")

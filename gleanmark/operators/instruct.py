@@ -92,6 +92,12 @@ def json_line(record: str | Column) -> Column:
     return F.to_json(_col(record), {"ignoreNullFields": "false"})
 
 
+def first_without_anchor(df: DataFrame, rendered: str | Column, anchor: str, row_id: str) -> DataFrame:
+    """``row_id, rendered`` of the first text that lacks the anchor; no row when none does."""
+    texts = df.select(row_id, _col(rendered).alias("rendered"))
+    return texts.where(~F.col("rendered").contains(anchor)).orderBy(row_id).limit(1)
+
+
 def anchor_presence(df: DataFrame, rendered: str | Column, anchor: str, row_id: str) -> DataFrame:
     """One row: texts, texts without the anchor, and the first such row."""
     lacks = ~_col(rendered).contains(anchor)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanmark.operators import report as rp
+from gleanmark.operators.expectations import stop_unless_met
 
 KEYS = ["dataset", "model"]
 CHECKED = [
@@ -39,14 +40,23 @@ def consolidate(
     training_log: DataFrame | None = None,
     known_sizes: DataFrame | None = None,
     drop_labels: Sequence[str] = ("PARSE_ERROR",),
+    enforced: bool = False,
 ) -> Consolidated:
-    """Summary, cross-check against the documents, per-class comparison and gates."""
+    """Summary, cross-check against the documents, per-class comparison and gates.
+
+    ``enforced`` stops the job when a run misses a required field or a gate, or when
+    the runs of a data set name different test sets.
+    """
+    gates, agreed = rp.sanity_gates(runs), rp.fingerprints_agree(runs)
+    if enforced:
+        for checks in (rp.required_fields(runs), gates, agreed):
+            stop_unless_met(checks)
     summary = rp.run_summary(runs, training_log, known_sizes)
     classes = rp.per_class_of_runs(runs, drop_labels).where(F.col("dataset") == dataset)
     return Consolidated(
         summary,
         rp.cross_check(summary, rp.run_summary(runs), KEYS, CHECKED),
         rp.compare_models(classes, models, support_from, sort_by),
-        rp.sanity_gates(runs),
-        rp.fingerprints_agree(runs),
+        gates,
+        agreed,
     )

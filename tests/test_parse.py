@@ -2,6 +2,7 @@ import random
 import re
 from difflib import get_close_matches
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanmark.functions.fuzzy import closest_label
@@ -101,6 +102,15 @@ def test_path_counts_and_preflight(spark, rows):
     assert ps.preflight(frame(spark, values), "raw", "i", LABELS, n=2).first()["n_none"] == 0
 
 
+def test_failed_preflight_stops_the_job(spark):
+    from gleanmark.plans.evaluation import reparse_and_evaluate
+
+    df = frame(spark, ["zzz"] * 3).withColumn("gold", F.lit("Intent: lost_card")).withColumn("text", F.lit("t"))
+    with pytest.raises(ValueError, match="n_none"):
+        reparse_and_evaluate(df, LABELS, "i", raw="raw", enforced=True)
+    assert reparse_and_evaluate(df, LABELS, "i", raw="raw").rows.count() == 3
+
+
 def test_search_sees_only_what_it_must(spark):
     """Rows with an exact label send the search a null."""
     df = frame(spark, ["Intent: lost_card"] * 3).withColumn("x", F.lit(None).cast("string"))

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanmark import schemas
@@ -92,6 +93,24 @@ def test_gates(spark, tmp_path):
     assert strict.first()["gate"] == "accuracy_above_floor"
 
 
+def test_required_fields_and_gates_stop_a_consolidation(spark, tmp_path):
+    (tmp_path / "good").mkdir(), (tmp_path / "bad").mkdir()
+    good = runs(spark, tmp_path / "good", document("r1", "a", 0.9, 0.85), document("r2", "b", 0.9, 0.85))
+    bad = runs(spark, tmp_path / "bad", document("r1", "a", 0.9, 0.85, model_name=" ", resources=None))
+    missing = {(r["run_id"], r["field"]) for r in rp.required_fields(bad).where("not ok").collect()}
+    assert missing == {("r1", "model_name"), ("r1", "resources")}
+    stated = good.withColumn("model_name", F.lit("m"))
+    consolidate(stated, ["a", "b"], ["a", "b"], "a", "d", enforced=True)
+    with pytest.raises(ValueError, match="model_name|resources"):
+        consolidate(bad, ["a"], ["a"], "a", "d", enforced=True)
+    with pytest.raises(ValueError, match="n_fingerprints"):
+        odd = stated.withColumn("test_set_hash", F.concat("test_set_hash", "run_id"))
+        consolidate(odd, ["a", "b"], ["a", "b"], "a", "d", enforced=True)
+    with pytest.raises(ValueError, match="accuracy_not_perfect"):
+        perfect = stated.withColumn("metrics", F.col("metrics").withField("intent.accuracy", F.lit(1.0)))
+        consolidate(perfect, ["a", "b"], ["a", "b"], "a", "d", enforced=True)
+
+
 def test_cross_check_names_differences_and_gaps(spark, rows):
     a = spark.createDataFrame([("x", 1.0, None), ("y", 2.0, 3.0)], "k string, m double, n double")
     b = spark.createDataFrame([("x", 1.0, None), ("z", 2.0, 3.0)], "k string, m double, n double")
