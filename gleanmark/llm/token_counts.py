@@ -10,23 +10,26 @@ length of a special string, may change with the text that was cut off.  Where tw
 chunks share no such place, the document is cut again with chunks and overlaps
 ``widen`` times as large, at last as one chunk.
 
-Shorter documents are split before each blank that precedes a printing character,
-which is always a border of the pattern; the library counts each such unit once per
-worker.
+Shorter documents are encoded whole, by a second public encoder over the same file: its
+ranks are the file's merges, its pattern the byte-level one.  ``Counter`` refuses files
+whose token numbers do not follow the order of their merges; the tests hold both encoders
+against each other on every token of the file and on every code point.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanmark.llm.common import in_slices, stage, tokenizer_file
+from gleanmark.llm.common import stage, tokenizer_file
 
 VOCABULARY = "byte_bpe_50k.json"
 LONG_CHARS = 48_000
@@ -34,91 +37,62 @@ CHUNK_CHARS = 24_000
 OVERLAP_CHARS = 600
 WIDEN = 4
 
-# Units whose count a worker remembers; the memory is emptied when it is full.
-MOST_UNITS = 300_000
+# Fixed value: the pattern by which byte-level tokenizers split a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Units handed to the library at once.
-MOST_AT_ONCE = 4096
 
-_LOOSE_BLANK = re.compile(r"\s(?:\s|\Z)|\A\s")
-_BEFORE_WORD = re.compile(r"(?= \S)")
+def byte_alphabet() -> dict[str, int]:
+    """Character -> byte of byte-level files: printing Latin-1 stands for itself, the rest from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = sorted(set(range(0x100)).difference(plain))
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
 class Counter:
-    """A tokenizer file and the units it has counted."""
+    """A byte-level tokenizer file, for whole texts and for chunks with their borders."""
 
     def __init__(self, path: str):
-        import json
-
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        split = spec["pre_tokenizer"] or {}
+        split, model = spec["pre_tokenizer"] or {}, spec["model"]
         if spec["normalizer"] or split.get("type") != "ByteLevel" or not split["use_regex"] or split["add_prefix_space"]:
             raise ValueError("borders are proven for byte-level files with their own pattern only")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"]):
             raise ValueError("special strings must be plain and without blanks")
+        vocab = model["vocab"]
+        merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if any(b <= a for a, b in zip(merged, merged[1:])):
+            raise ValueError("tokens must be numbered in the order of their merges")
         self.tokenizer = Tokenizer.from_file(path)
         self.margin = max((len(t["content"]) for t in spec["added_tokens"]), default=1)
         self.specials = {t["id"] for t in spec["added_tokens"]}
-        self.units: dict[str, bytes | int] = {}
-
-    def value(self, encoding):
-        return len(encoding)
-
-    def units_of(self, text: str) -> list[str]:
-        """Units of a text: words with the blank before them, and single line ends.
-
-        A line end between printing characters is a word of its own.  Texts with runs of
-        white space, or with some at an end, are split before words only.
-        """
-        if not text or _LOOSE_BLANK.search(text):
-            return [x for x in _BEFORE_WORD.split(text) if x]
-        units: list[str] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            units.append(first)
-            units += [f" {x}" for x in rest]
-            units.append("\n")
-        units.pop()
-        return units
-
-    def learn(self, new: list[str]) -> None:
-        """Have the library encode units; a final mark after a letter or digit is a word apart."""
-        marked = [u for u in new if len(u) > 2 and u[-1] in ".,;:!?" and u[-2].isalnum()]
-        plain = set(new).difference(marked).union(u[:-1] for u in marked).union(u[-1] for u in marked)
-        plain = list(plain.difference(self.units))
-        for a in range(0, len(plain), MOST_AT_ONCE):
-            some = plain[a : a + MOST_AT_ONCE]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.units.update(zip(some, map(self.value, found)))
-        for u in marked:
-            self.units[u] = self.units[u[:-1]] + self.units[u[-1]]
-
-    def split(self, texts: list[str]) -> Iterator[list]:
-        """What is remembered of every unit of each text."""
-        for some in in_slices(texts, 500_000):
-            split = [self.units_of(t) for t in some]
-            seen = set().union(*split)
-            new = list(seen.difference(self.units))
-            if len(self.units) + len(new) > MOST_UNITS:
-                self.units.clear()
-                new = list(seen)
-            self.learn(new)
-            for units in split:
-                yield list(map(self.units.__getitem__, units))
-
-    def counts(self, texts: list[str]) -> Iterator[int]:
-        return map(sum, self.split(texts))
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        alphabet = byte_alphabet()
+        self.whole = tiktoken.Encoding(
+            path,
+            pat_str=PATTERN,
+            mergeable_ranks={bytes(map(alphabet.__getitem__, t)): i for t, i in vocab.items() if t not in special},
+            special_tokens=special,
+        )
+
+    def ids(self, text: str):
+        """Token ids of a whole text, as unsigned 32-bit integers."""
+        try:
+            return self.whole.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # a run of blanks beyond the stack of its pattern matcher
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def borders(self, text: str) -> tuple[int, list[tuple[int, int]]]:
         """Token count of a chunk, and the places where words begin with the tokens before each."""
         e = self.tokenizer.encode(text, add_special_tokens=False)
-        places, words, last = [], e.word_ids, None
-        for i, (start, _) in enumerate(e.offsets):
-            word = ("special", i) if e.ids[i] in self.specials else words[i]
+        places, last = [], None  # each property of an encoding is a new list
+        for i, ((start, _), token, word) in enumerate(zip(e.offsets, e.ids, e.word_ids)):
+            if token in self.specials:
+                word = ("special", i)
             if i and word != last:
                 places.append((start, i))
             last = word
@@ -138,7 +112,7 @@ def short_count(text: Column, vocabulary: str = VOCABULARY) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = counter(tokenizer_file(vocabulary))
         for texts in batches:
-            yield pd.Series(list(c.counts(texts.fillna("").tolist())), dtype="int64")
+            yield pd.Series([len(c.ids(t)) for t in texts.fillna("")], dtype="int64")
 
     return run(text)
 

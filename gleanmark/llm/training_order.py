@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gleanmark.llm.common import stage, tokenizer_file
 from gleanmark.llm.shingles import mix
-from gleanmark.llm.token_counts import VOCABULARY, Counter
+from gleanmark.llm.token_counts import VOCABULARY, counter
 from gleanmark.session import scratch_path
 
 END_TOKEN = 50256
@@ -64,32 +64,16 @@ def permuted(numbers: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.
     return out.astype(np.int64)
 
 
-class Ids(Counter):
-    """Remembers the ids of units as 16-bit integers."""
-
-    def value(self, encoding):
-        return np.array(encoding.ids, dtype="<u2").tobytes()
-
-
-_IDS: dict[str, Ids] = {}
-
-
-def _ids(vocabulary: str) -> Ids:
-    if vocabulary not in _IDS:
-        _IDS[vocabulary] = Ids(tokenizer_file(vocabulary))
-        if _IDS[vocabulary].tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("16-bit records need a vocabulary below 65,536 tokens")
-    return _IDS[vocabulary]
-
-
 def tokenised(docs: DataFrame, doc_id: str, text: str, vocabulary: str, end_token: int, length: int) -> DataFrame:
     """(doc_id, ids, parts, first, range): first numbers the sequences within a written partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = _ids(vocabulary), np.array([end_token], dtype="<u2").tobytes()
+        words, end = counter(tokenizer_file(vocabulary)), np.array([end_token], dtype="<u2").tobytes()
+        if words.whole.n_vocab > 1 << 16:
+            raise ValueError("16-bit records need a vocabulary below 65,536 tokens")
         at = 0
         for batch in batches:
-            ids = [b"".join(units) + end for units in words.split([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [words.ids(t or "").astype("<u2").tobytes() + end for t in batch.column(1).to_pylist()]
             parts = np.array([-(-len(x) // (2 * length)) for x in ids], dtype=np.int64)
             first = at + np.cumsum(parts) - parts
             at += int(parts.sum())
