@@ -3,21 +3,24 @@
 A sequence of tokens is the merge result of a word exactly when every two
 neighbours are *compatible*: merging their joined symbols gives the two tokens
 back.  The encoder therefore never replays merges.  An Aho-Corasick automaton
-over the vocabulary lists the tokens that begin at each place of a word; the
-longest is tried first, a pair-compatibility table accepts or rejects it beside
-its left neighbour, and a place from which no token fits is marked dead and never
-tried again, so that the work is linear in the word.  The table is filled as pairs
-turn up, each by undoing merges across the border.
+over the vocabulary gives the longest token that begins at a place of a word, and a
+table the next shorter one that it begins with; a pair-compatibility table accepts or
+rejects each beside its left neighbour, and a place from which no token fits is marked
+dead and never tried again, so that the work is linear in the word.  The pair table is
+filled as pairs turn up, each by undoing merges across the border.
 
 Normalisation and the split into words are the vocabulary file's own components;
 both treat every blank-separated unit by itself, so units are encoded once per
-worker and looked up afterwards.
+worker and looked up afterwards.  A unit of printing ASCII needs of them no more than
+lower case and the file's word pattern.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,12 +33,15 @@ from gleanmark.llm.common import in_slices, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
 
-# Units whose ids a worker remembers; the memory is emptied when it is full.
-MOST_UNITS = 300_000
+# Units (and words) whose ids a worker remembers in each of two generations: when the
+# younger is full it becomes the older, and what is met again moves back.
+MOST_UNITS = 400_000
 
 # A final symbol with an end-of-word mark is one symbol; it is moved here.
 _END = 0xF0000
 
+_WHITE = re.compile(r"\s")
+
 _ENCODED = "n_tokens long, ids binary"
 
 
@@ -81,6 +87,20 @@ class PairTable:
                 until, strict, right = b, False, self.parts[right][0]
 
 
+def _ascii_pattern(spec: dict):
+    """The file's word pattern, if a printing ASCII unit is lower-cased and split by it alone; else None."""
+    import regex
+
+    parts = (spec["normalizer"] or {}).get("normalizers", [])
+    blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    split, *rest = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    kept = split.get("type") == "Split" and split["behavior"] == "Removed" and split["invert"]
+    byte_level = [r["type"] == "ByteLevel" and not r["use_regex"] and not r["add_prefix_space"] for r in rest]
+    if parts != [{"type": "NFC"}, blanks, {"type": "Lowercase"}] or not kept or byte_level != [True]:
+        return None
+    return regex.compile(split["pattern"]["Regex"])
+
+
 class Encoder:
     """Vocabulary, automaton, pair table and offset table of one file."""
 
@@ -108,15 +128,19 @@ class Encoder:
                 made[token], order[token] = (vocab[a], vocab[b]), rank
         self.suffix = suffix
         self.compatible = PairTable(ranks, made, order)
+        # A merged token counts only where merging its parts gives it back.
+        self.tokens = {self._symbols(token): i for token, i in vocab.items() if i not in made or self._is_reached(i)}
         self.automaton = ahocorasick.Automaton()
-        for token, i in vocab.items():
-            # A merged token counts only where merging its parts gives it back.
-            if i not in made or self._is_reached(i):
-                symbols = self._symbols(token)
-                self.automaton.add_word(symbols, (len(symbols), i))
+        for symbols, i in self.tokens.items():
+            self.automaton.add_word(symbols, i)
         self.automaton.make_automaton()
+        self.reach = max(map(len, self.tokens))
+        self.length = {i: len(symbols) for symbols, i in self.tokens.items()}
+        self.shorter = {i: self._longest(symbols[:-1]) for symbols, i in self.tokens.items()}
 
         self.library = Tokenizer.from_file(path)
+        self.normalize = self.library.normalizer.normalize_str
+        self.pre_tokenize = self.library.pre_tokenizer.pre_tokenize_str
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.specials.items()}
         # Offset table: token i is written as table[offsets[i]:offsets[i + 1]].
@@ -126,8 +150,11 @@ class Encoder:
         spelled = [names.get(i, "").encode() + b" " for i in range(max(names) + 1)]
         self.table = np.frombuffer(b"".join(spelled), dtype=np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in spelled])]).astype(np.int64)
-        self.units: dict[str, bytes] = {"": b""}
-        self.words: dict[str, list[int]] = {}
+        self.pattern = _ascii_pattern(spec)
+        self.any_special = re.compile("|".join(map(re.escape, self.specials)) or "(?!)")
+        self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _symbols(self, token: str) -> str:
         if self.suffix and token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -147,69 +174,116 @@ class Encoder:
     def word(self, word: str) -> list[int]:
         """Tokens of one word (already in the vocabulary's byte alphabet)."""
         symbols = word[:-1] + chr(_END + ord(word[-1])) if self.suffix else word
-        starting: list[list[tuple[int, int]]] = [[] for _ in symbols]
-        for end, (length, token) in self.automaton.iter(symbols):
-            starting[end - length + 1].append((length, token))
-        for found in starting:
-            found.sort()  # the longest is last, where pop takes it
-        untried = [list(starting[0])]
-        path: list[tuple[int, int]] = []
-        at, dead = 0, [False] * (len(symbols) + 1)
-        while at < len(symbols):
-            options = untried[-1]
-            while options:
-                length, token = options.pop()
-                if not dead[at + length] and (not path or self.compatible(path[-1][1], token)):
-                    path.append((length, token))
-                    at += length
-                    untried.append(list(starting[at]) if at < len(symbols) else [])
-                    break
-            else:
-                dead[at] = True
-                untried.pop()
+        token = self.tokens.get(symbols)
+        if token is not None:
+            return [token]
+        length, shorter, known = self.length, self.shorter, self.compatible.known
+        path: list[int] = []
+        at, dead = 0, bytearray(len(symbols) + 1)
+        token = self._longest(symbols[: self.reach])
+        while True:
+            while token is not None:
+                to = at + length[token]
+                if not dead[to]:
+                    if not path:
+                        break
+                    fits = known.get((path[-1], token))
+                    if self.compatible(path[-1], token) if fits is None else fits:
+                        break
+                token = shorter[token]
+            if token is None:
+                dead[at] = 1
                 if not path:
                     raise ValueError(f"no tokens for {word!r}")
-                at -= path.pop()[0]
-        return [token for _, token in path]
+                last = path.pop()
+                at -= length[last]
+                token = shorter[last]
+                continue
+            path.append(token)
+            if to == len(symbols):
+                return path
+            at = to
+            token = self._longest(symbols[at : at + self.reach])
+
+    def _longest(self, symbols: str) -> int | None:
+        """The longest token that ``symbols`` begin with."""
+        for n in range(self.automaton.longest_prefix(symbols), 0, -1):
+            token = self.tokens.get(symbols[:n])
+            if token is not None:
+                return token
+        return None
+
+    def _split(self, piece: str) -> list[str]:
+        """Words of a piece without special strings, in the byte alphabet."""
+        if self.pattern and piece.isascii() and piece.isprintable():
+            return self.pattern.findall(piece.lower())
+        return [word for word, _ in self.pre_tokenize(self.normalize(piece))]
+
+    def _split_all(self, pieces: list[str]) -> list[list[str]]:
+        """``_split`` for pieces without white space, which are joined by blanks for one call."""
+        normal = self.normalize(" ".join(pieces))
+        lengths = [len(x) + 1 for x in normal.split(" ")]
+        if len(lengths) != len(pieces):
+            return [self._split(x) for x in pieces]
+        words: list[list[str]] = [[] for _ in pieces]
+        at, end = 0, lengths[0]
+        for word, (start, _) in self.pre_tokenize(normal):
+            while start >= end:
+                at += 1
+                end += lengths[at]
+            words[at].append(word)
+        return words
 
     def unit(self, unit: str) -> bytes:
         """Ids of a blank-free stretch of text, as little-endian 32-bit integers."""
-        ids: list[int] = []
-        for piece, special in self._around_specials(unit):
-            if special is not None:
-                ids.append(special)
-            elif piece:
-                normal = self.library.normalizer.normalize_str(piece)
-                for word, _ in self.library.pre_tokenizer.pre_tokenize_str(normal):
-                    known = self.words.get(word)
-                    if known is None:
-                        if len(self.words) >= MOST_UNITS:
-                            self.words.clear()
-                        known = self.words[word] = self.word(word)
-                    ids += known
-        return np.array(ids, dtype="<u4").tobytes()
+        if not self.any_special.search(unit):
+            return b"".join(map(self._word_ids, self._split(unit)))
+        return b"".join(
+            b"".join(map(self._word_ids, self._split(piece))) if special is None else struct.pack("<I", special)
+            for piece, special in self._around_specials(unit)
+        )
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode units and remember them."""
+        together = []
+        for unit in new:
+            if unit.isascii() or self.any_special.search(unit) or _WHITE.search(unit):
+                self.units[unit] = self.unit(unit)
+            else:
+                together.append(unit)
+        if together:
+            for unit, words in zip(together, self._split_all(together)):
+                self.units[unit] = b"".join(map(self._word_ids, words))
+
+    def _word_ids(self, word: str) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            if len(self.words) >= MOST_UNITS:
+                self.words.clear()
+            ids = self.word(word)
+            known = self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
 
     def _around_specials(self, unit: str) -> Iterator[tuple[str, int | None]]:
-        while True:
-            found = min(((unit.find(s), s) for s in self.specials if s in unit), default=None)
-            if found is None:
-                yield unit, None
-                return
+        while self.any_special.search(unit):
+            found = min(((unit.find(s), s) for s in self.specials if s in unit))
             at, special = found
             yield unit[:at], None
             yield special, self.specials[special]
             unit = unit[at + len(special) :]
+        yield unit, None
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         for some in in_slices(texts, 500_000):
             split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in some]
-            new = set().union(*split).difference(self.units)
+            seen = set().union(*split)
+            new = seen.difference(self.units)
             if len(self.units) + len(new) > MOST_UNITS:
-                self.units = {"": b""}
-                new = set().union(*split)
-            for unit in new:
-                self.units[unit] = self.unit(unit)
+                self.older, self.units, new = self.units, {}, seen
+            again = new.intersection(self.older)
+            self.units.update(zip(again, map(self.older.__getitem__, again)))
+            self._learn(list(new.difference(again)))
             for units in split:
                 yield b"".join(map(self.units.__getitem__, units))
 

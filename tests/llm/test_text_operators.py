@@ -173,3 +173,23 @@ def test_discriminant_equals_the_densities():
         diff = probe - a.mean(0)
         logs.append(np.log(len(a)) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * np.einsum("ij,jk,ik->i", diff, np.linalg.inv(c), diff))
     assert np.allclose(m.score(probe), 1 / (1 + np.exp(logs[0] - logs[1])))
+
+
+def test_encoders_agree_with_the_library_on_every_code_point():
+    """Whole texts go past the library; both must split, lower and merge alike."""
+    counter, encoder = token_counts.Counter(tokenizer_file(token_counts.VOCABULARY)), bpe.Encoder(tokenizer_file(bpe.VOCABULARY))
+    chars = [chr(k) for k in range(1, 0x20000) if not 0xD800 <= k < 0xE000]
+    texts = [f"A{c}b {c}{c}1{c} {c}!{c}.\n{c} 'L{c} <|endoftext|>{c}" for c in chars] + ["", " ", "a" * 3000, " \n" * 3000]
+    for lib, ids in (
+        (counter.tokenizer, (counter.ids(t).tolist() for t in texts)),
+        (encoder.library, (np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode(texts))),
+    ):
+        expected = lib.encode_batch_fast(texts, add_special_tokens=False)
+        assert [t for t, e, got in zip(texts, expected, ids, strict=True) if e.ids != got] == []
+
+
+def test_counter_agrees_on_every_token_and_on_endless_blanks():
+    counter = token_counts.Counter(tokenizer_file(token_counts.VOCABULARY))
+    names = [counter.whole.decode_single_token_bytes(i).decode(errors="ignore") for i in range(counter.whole.n_vocab)]
+    for text in [*names, " " * 2_500_000 + "x"]:
+        assert counter.ids(text).tolist() == counter.tokenizer.encode(text, add_special_tokens=False).ids
