@@ -37,6 +37,9 @@ PER_SHARD = 512
 KEY = 20_240_229
 ROUNDS = 6
 
+# Records a task gathers before it numbers them and hands them on together.
+FLUSH_BYTES = 4 << 20
+
 # A record: document id, number of the sequence in it, count of true tokens, tokens.
 _HEADER = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("n_tokens", "<i4")])
 _NO_ID = -(1 << 63)
@@ -119,6 +122,18 @@ def write_training_order(
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = record_type(length)
+        held, numbers = [], []
+
+        def flush() -> pa.RecordBatch:
+            slots = permuted(np.concatenate(numbers), n, key)
+            bounds = np.arange(len(slots) + 1, dtype=np.int64) * stride
+            buffers = [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(held))]
+            payload = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(slots), buffers).cast(pa.binary())
+            held.clear()
+            numbers.clear()
+            return pa.RecordBatch.from_arrays([pa.array(slots), payload], ["slot", "record"])
+
+        size = 0
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(5)))
             for doc, ids, parts, first, place in rows:
@@ -129,12 +144,14 @@ def write_training_order(
                 out["tokens"] = padded.reshape(parts, length)
                 out["doc_id"], out["part"] = _NO_ID if doc is None else doc, np.arange(parts)
                 out["n_tokens"] = np.minimum(length, len(tokens) - length * np.arange(parts))
-                slots = permuted(bases[place] + first + np.arange(parts), n, key)
-                bounds = np.arange(parts + 1, dtype=np.int32) * stride
-                payload = pa.BinaryArray.from_buffers(
-                    pa.binary(), parts, [None, pa.py_buffer(bounds), pa.py_buffer(out.tobytes())]
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(slots), payload], ["slot", "record"])
+                held.append(out.tobytes())
+                numbers.append(bases[place] + first + np.arange(parts))
+                size += parts * stride
+                if size >= FLUSH_BYTES:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
