@@ -1,12 +1,15 @@
-"""Near-duplicate vectors by sorted projection passes.
-
-Equal vectors of a label form one class.  In each pass the classes of a label are
-ordered by a code of concatenated random hyperplane hashes, and every class is compared
-with the ``WINDOW`` that follow it.  Vectors at the threshold share a hash bit with
-probability 1 - acos(0.98) / pi = 0.936; as near neighbours of a label of n classes share
-about log2(n / WINDOW) leading bits, the number of passes is taken such that a pair at the
-threshold is missed by all of them with probability ``MISS`` at most.  Links found are
-united across passes.
+"""Near-duplicate vectors by projection passes whose runs are compared whole.
+
+Equal vectors of a label form one class.  The classes of a label are cut into runs, and
+all pairs of a run are compared, in tiles of at most ``BLOCK`` classes.  A label of few
+tiles is one run, so that nothing can be missed.  A larger one may be cut in passes: each
+gives every class a code of random hyperplane hashes, and a run holds the classes that
+share its first ``depth`` bits.  Vectors at the threshold share a bit with probability
+1 - acos(0.98) / pi = 0.936 wherever the others lie, so the passes of a depth follow from
+``MISS`` alone: a pair at the threshold is apart in all of them with that probability at
+most.  How the classes lie decides the work only: for each label the depth of least work
+is taken, by the runs that its codes form, and whole labels are among the choices.  Links
+found are united across runs.
 
 All links of a vector lie within its component, so the number of links is counted there,
 exactly: a component is cut into tiles of at most ``TILE`` members and each pair of tiles
@@ -30,17 +33,19 @@ from gleanmark.llm.vectors import stacked, usable, vector_key
 COSINE = 0.98
 WINDOW = 32
 MISS = 1e-6
-LEAST_PASSES = 8
 BLOCK = 2048
 TILE = 1024
+DEPTHS = (4, 8, 12, 16, 20, 24, 32, 40)
+TRIAL_PASSES = 2  # in which the runs of a depth are counted
+COPY = 2000  # pairs that are compared in the time that one vector takes to reach a task
+CHUNK = 512
 SEED = 11
 
 
-def passes_for(n: int, cosine: float, window: int, miss: float) -> int:
-    """Passes after which a pair at the threshold is missed with probability ``miss``."""
-    bit = 1 - math.acos(cosine) / math.pi
-    near = bit ** max(1.0, math.log2(max(2, n) / window) + 1)
-    return max(LEAST_PASSES, math.ceil(math.log(miss) / math.log(1 - near)))
+def passes_for(depth: int, cosine: float, miss: float) -> int:
+    """Passes in all of which a pair at the threshold differs in ``depth`` bits with probability ``miss`` at most."""
+    shared = (1 - math.acos(cosine) / math.pi) ** depth
+    return 1 if shared == 1 else math.ceil(math.log(miss) / math.log1p(-shared))
 
 
 def codes(vector: Column, passes: int, seed: int = SEED) -> Column:
@@ -73,76 +78,100 @@ def _by_length(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield part
 
 
-def _window_links(classes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
-    """Links (a, b) found by the passes, reduced to a forest within each block."""
-    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    passes = passes_for(largest, cosine, window, miss)
-    coded = classes.select("label", "rep", codes(F.col("vector"), passes).alias("codes"))
-    slim = coded.select("label", "rep", F.size("codes"), F.posexplode("codes").alias("turn", "code"))
-    order = ["turn", "label", "code", "rep"]
-    n = classes.count() * passes
-    ranges = max(1, min(math.ceil(n / block), math.ceil(math.sqrt(n) / 4)))
-    sorted_rows = stage(
-        slim.select(*order).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-        .withColumn("at", F.monotonically_increasing_id()),
-        "passes",
+def _prefix(code: Column, depth: Column) -> Column:
+    """The first ``depth`` bits of a code."""
+    return F.call_function("shiftrightunsigned", code, (64 - depth).cast("int"))
+
+
+def _depths(classes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
+    """(label, depth, passes): per label the cut of least work; depth 0 is the whole label.
+
+    ``window`` only tells the work: a run counts as one of so many classes at least.
+    """
+    spark = classes.sparkSession
+    work = lambda n: n * F.ceil(n / block) * COPY + n * n / 2
+    size = F.col("n").cast("double")
+    labels = stage(classes.groupBy("label").agg(F.count("*").alias("n")).withColumn("work", work(size)), "labels")
+    whole = labels.select("label", F.lit(0).alias("depth"), F.lit(1).alias("passes"), "work")
+    choices = spark.createDataFrame([(d, passes_for(d, cosine, miss)) for d in DEPTHS], "depth int, passes int")
+    # No cut takes fewer copies of a vector than the passes of the least depth.
+    large = labels.where(F.ceil(F.col("n") / block) > passes_for(DEPTHS[0], cosine, miss)).select("label")
+    if not large.isEmpty():
+        coded = classes.join(large, "label").select("label", F.posexplode(codes(F.col("vector"), TRIAL_PASSES)).alias("turn", "code"))
+        runs = coded.crossJoin(F.broadcast(choices)).groupBy("label", "depth", "passes", "turn", _prefix(F.col("code"), F.col("depth")).alias("run")).count()
+        n = F.greatest(F.col("count"), F.lit(window)).cast("double")
+        cut = runs.groupBy("label", "depth", "passes").agg((F.sum(work(n)) / TRIAL_PASSES * F.col("passes")).alias("work"))
+        whole = whole.unionByName(cut)
+    best = whole.groupBy("label").agg(F.min(F.struct("work", "depth", "passes")).alias("best"))
+    return stage(best.select("label", "best.depth", "best.passes"), "depths")
+
+
+def _forest(x: np.ndarray, left: np.ndarray, right: np.ndarray, cosine: float) -> list[tuple[int, int]]:
+    """Pairs of rows of ``x`` that unite what is linked between ``left`` and ``right``."""
+    part, links = np.arange(len(x)), []
+    for start in range(0, len(left), CHUNK):
+        rows = left[start : start + CHUNK]
+        near = (x[rows] @ x[right].T >= cosine) & (rows[:, None] != right[None, :])
+        for i in np.flatnonzero(near.any(axis=1)):
+            own = part[rows[i]]
+            met = np.unique(part[right[near[i]]])
+            met = met[met != own]
+            if len(met):
+                links += [(own, m) for m in met]
+                part[np.isin(part, met)] = own
+    return links
+
+
+def _dealt(members: DataFrame, sizes: DataFrame, group: str, tile: int, *columns: str) -> DataFrame:
+    """Members of groups, once for each pair of tiles that theirs is part of."""
+    small = sizes.where(F.col("size") <= tile).agg(F.sum("size")).first()[0] or 0
+    bins = math.ceil(2 * small / tile) + 1
+    tiles = F.ceil(F.col("size") / tile)
+    # Small groups share a task, each compared within itself; a large one has tiles of its own.
+    task = F.when(tiles == 1, -1 - F.pmod(F.xxhash64(group), F.lit(bins))).otherwise(F.col(group))
+    mine = F.pmod(F.xxhash64(F.lit(1), "rep"), tiles)
+    return (
+        members.withColumn("task", task).withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+        .select("task", group, "rep", "label", *columns, "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
     )
-    # A written row knows its range and its place there; one count per range gives the rest.
-    placed = sorted_rows.select("turn", "label", "rep", F.shiftright("at", 33).alias("range"), F.col("at").bitwiseAND((1 << 33) - 1).alias("i"))
-    counts = {r["range"]: r["n"] for r in placed.groupBy("range").agg(F.count("*").alias("n")).collect()}
-    upto, before = 0, []
-    for r in sorted(counts):
-        before.append((r, upto))
-        upto += counts[r]
-    starts = classes.sparkSession.createDataFrame(before, "range long, start long")
-    place = F.col("start") + F.col("i")
-    # The first rows of a block are also the window of the last rows of the block before.
-    own = (place / F.lit(block)).cast("long")
-    both = F.when((place % block < window) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
-    dealt = placed.join(F.broadcast(starts), "range").select("turn", "label", "rep", place.alias("place"), F.explode(both).alias("block"))
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("place")
-        first = int(frame["block"].iloc[0]) * block
-        parent: dict[int, int] = {}
 
-        def root(v: int) -> int:
-            while parent.setdefault(v, v) != v:
-                parent[v] = v = parent[parent[v]]
-            return v
+def _run_links(classes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
+    """Links (a, b) found in the runs, reduced to a forest within each pair of tiles."""
+    depths = _depths(classes, cosine, window, miss, block)
+    most = depths.where("depth > 0").agg(F.max("passes")).first()[0]
+    chosen = classes.join(F.broadcast(depths), "label")
+    slim = chosen.where("depth = 0").select("label", "rep", F.lit(0).alias("turn"), F.lit(0).cast("long").alias("prefix"))
+    if most:
+        cut = chosen.where("depth > 0").select("label", "rep", "depth", F.slice(codes(F.col("vector"), most), F.lit(1), F.col("passes")).alias("codes"))
+        cut = cut.select("label", "rep", "depth", F.posexplode("codes").alias("turn", "code"))
+        slim = slim.unionByName(cut.select("label", "rep", "turn", _prefix(F.col("code"), F.col("depth")).alias("prefix")))
+        slim = stage(slim, "passes")
+    key = ["label", "turn", "prefix"]
+    runs = stage(slim.groupBy(*key).agg(F.count("*").alias("size")).where("size > 1").withColumn("run", F.monotonically_increasing_id()), "runs")
+    dealt = _dealt(slim.join(runs, key).select("run", "label", "rep", "size"), runs, "run", block)
 
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
         links = []
+        lo, hi = frame["lo"].iloc[0], frame["hi"].iloc[0]
         for part in _by_length(frame):
-            x, rep, place = _unit(part["vector"]), part["rep"].to_numpy(), part["place"].to_numpy()
-            group = part["turn"].to_numpy() * np.int64(1 << 40) + pd.factorize(part["label"])[0]
-            for k in range(1, min(window, len(part) - 1) + 1):
-                close = np.einsum("ij,ij->i", x[:-k], x[k:]) >= cosine
-                close &= (group[:-k] == group[k:]) & (place[:-k] < first + block)
-                for i in np.flatnonzero(close):
-                    a, b = root(int(rep[i])), root(int(rep[i + k]))
-                    if a != b:
-                        parent[max(a, b)] = min(a, b)
-                        links.append((int(rep[i]), int(rep[i + k])))
+            part = part.sort_values("run")
+            x, rep, run, mine = _unit(part["vector"]), part["rep"].to_numpy(), part["run"].to_numpy(), part["mine"].to_numpy()
+            cuts = np.flatnonzero(np.diff(run)) + 1
+            for at in np.split(np.arange(len(part)), cuts):
+                left, right = np.flatnonzero(mine[at] == lo), np.flatnonzero(mine[at] == hi)
+                links += [(int(rep[at[a]]), int(rep[at[b]])) for a, b in _forest(x[at], left, right, cosine)]
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    vectors = classes.select("rep", "vector")
-    return dealt.join(vectors, "rep").groupBy("block").applyInPandas(compare, "a long, b long")
+    vectors = classes.select("label", "rep", "vector")
+    return dealt.join(vectors, ["label", "rep"]).groupBy("task", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
 def _link_counts(members: DataFrame, cosine: float, tile: int) -> DataFrame:
     """(rep, links): for every member of a component the rows of other classes linked with it."""
     sizes = stage(members.groupBy("component").agg(F.count("*").alias("size")), "sizes")
-    small = sizes.where(F.col("size") <= tile).agg(F.sum("size")).first()[0] or 0
-    bins = math.ceil(2 * small / tile) + 1
-    tiles = F.ceil(F.col("size") / tile)
-    # Small components share a task, each compared within itself; a large one has tiles of its own.
-    task = F.when(tiles == 1, -1 - F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.col("component"))
-    mine = F.pmod(F.xxhash64(F.lit(1), "rep"), tiles)
-    dealt = (
-        members.join(sizes, "component").withColumn("task", task).withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
-        .select("task", "component", "rep", "label", "m", "vector", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
-    )
+    dealt = _dealt(members.join(sizes, "component"), sizes, "component", tile, "m", "vector")
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -197,7 +226,7 @@ def near_duplicate_vectors(
     # An id may repeat: one row is enough.
     classes = stage(speaking.groupBy("label", "rep").agg(F.any_value("m").alias("m"), F.any_value("vector").alias("vector")), "classes")
 
-    links = _window_links(classes, cosine, window, miss, block)
+    links = _run_links(classes, cosine, window, miss, block)
     found = components(links)
     members = classes.join(found.withColumnRenamed("node", "rep"), "rep")
     counted = stage(_link_counts(members, cosine, tile), "counted").withColumnRenamed("rep", "r")

@@ -265,3 +265,49 @@ def test_pipeline_equals_its_parts(spark, tmp_path):
     assert counts == {i: (t // words[i] if words[i] else 1) for i, t in taken.items() if t or not words[i]}
     final = corpus_pipeline.run(spark, d)
     assert sorted(r["doc_id"] or -1 for r in final.collect()) == sorted(r["doc_id"] or -1 for r in mixed.collect())
+
+
+def _near(rng, centre, mean):
+    """Unit rows whose mean cosine with each other is about ``mean``."""
+    d = centre.shape[1]
+    noise = rng.normal(size=centre.shape) / np.sqrt(d)
+    return np.sqrt(mean) * centre + np.sqrt(1 - mean) * noise
+
+
+def _planted(n, pairs, mean, d=64, seed=3):
+    """Rows about one centre; the last are each at cosine 0.981 of one of the first."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(1, d))
+    x = _near(rng, np.repeat(centre / np.linalg.norm(centre), n, axis=0), mean)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rng.normal(size=(pairs, d))
+    aside -= (aside * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    return np.concatenate([x, 0.981 * x[:pairs] + np.sqrt(1 - 0.981**2) * aside])
+
+
+@pytest.mark.parametrize(("n", "mean", "sizes"), [(20_000, 0.9, {}), (3000, 0.9, {"block": 64}), (3000, 0.3, {"block": 16})])
+def test_pairs_in_a_tight_label(spark, n, mean, sizes):
+    importable(spark)
+    rows = [(i, v, 0) for i, v in enumerate(_planted(n, 300, mean).tolist())]
+    got = {r["vec_id"]: r["component_id"] for r in vector_dedup.near_duplicate_vectors(spark.createDataFrame(rows, _SCHEMA), **sizes).collect()}
+    assert [i for i in range(300) if got[i] != got[n + i]] == []
+
+
+def test_dense_group_below_the_threshold(spark):
+    importable(spark)
+    x = _planted(4000, 0, 0.964)
+    # As stored: single precision.
+    unit = x.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.98
+    want = np.arange(len(x))
+    while True:
+        least = np.where(linked, want[None, :], len(x)).min(axis=1)
+        if (least == want).all():
+            break
+        want = least
+    rows = [(i, v, 0) for i, v in enumerate(x.tolist())]
+    got = vector_dedup.near_duplicate_vectors(spark.createDataFrame(rows, _SCHEMA)).collect()
+    assert {r["vec_id"]: r["component_id"] for r in got} == dict(enumerate(want.tolist()))
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate((linked.sum(axis=1) - 1).tolist()))
