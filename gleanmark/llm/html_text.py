@@ -58,17 +58,15 @@ FOREIGN = frozenset(
 _WORDS = re.compile(r"[a-z]+")
 _BLANKS = re.compile(r"\s+")
 
-# Deeper elements are kept as children of the deepest, so that no page exhausts the stack.
-MOST_DEPTH = 400
-
 
 class Node:
-    __slots__ = ("tag", "items", "foreign", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "best_node")
+    __slots__ = ("tag", "items", "foreign", "chars", "tags", "link_chars", "link_tags", "own", "density", "sum", "best", "best_node")
 
     def __init__(self, tag: str, foreign: bool = False):
         self.tag, self.foreign = tag, foreign
         self.items: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.own = [0, 0, 0, 0]
         self.density = self.sum = self.best = 0.0
         self.best_node: Node = self
 
@@ -80,10 +78,11 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.path = [self.root]
+        self.places: dict[str, list[int]] = {}  # of each tag's open elements in the path
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
-            if any(n.tag == tag for n in self.path):
+            if self.places.get(tag):
                 return
             if tag == "body":
                 self._close("head")
@@ -95,13 +94,13 @@ class Tree(HTMLParser):
                 self._close(same, within=CLOSED_BY_SAME[tag])
         node = Node(tag, tag in NOT_TEXT or self._is_foreign(tag, attrs))
         self.path[-1].items.append(node)
-        if tag not in VOID and len(self.path) < MOST_DEPTH:
-            self.path.append(node)
+        if tag not in VOID:
+            self._open(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.path[-1].tag == tag and tag in ("svg", "math", "path"):
-            self.path.pop()
+            self._cut(len(self.path) - 1)
 
     def handle_endtag(self, tag):
         if tag not in VOID and tag not in ("html", "body"):
@@ -110,16 +109,21 @@ class Tree(HTMLParser):
     def handle_data(self, data):
         self.path[-1].items.append(data)
 
+    def _open(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.path))
+        self.path.append(node)
+
+    def _cut(self, place: int) -> None:
+        while len(self.path) > place:
+            self.places[self.path.pop().tag].pop()
+
     def _close(self, tag: str, within: frozenset | set = frozenset()) -> None:
-        for i in range(len(self.path) - 1, 0, -1):
-            if self.path[i].tag == tag:
-                del self.path[i:]
-                return
-            if self.path[i].tag in within:
-                return
+        places = self.places.get(tag)
+        if places and all(not self.places.get(w) or self.places[w][-1] <= places[-1] for w in within):
+            self._cut(places[-1])
 
     def _is_foreign(self, tag: str, attrs) -> bool:
-        inside = any(n.tag in ("article", "main") for n in self.path)
+        inside = bool(self.places.get("article") or self.places.get("main"))
         if tag in ("html", "body", "main") or tag == "article" and not inside:
             return False
         if tag == "header":
@@ -143,20 +147,30 @@ def parse(html: str) -> Node:
     return tree.root
 
 
-def _measure(node: Node, in_link: bool = False) -> None:
-    """Characters and tags below a node; foreign elements count for nothing."""
-    in_link = in_link or node.tag == "a"
-    for item in node.items:
-        if isinstance(item, str):
-            n = len(_BLANKS.sub("", item))
-            node.chars += n
-            node.link_chars += n * in_link
-        elif not item.foreign:
-            _measure(item, in_link)
-            node.chars += item.chars
-            node.tags += item.tags + 1
-            node.link_chars += item.link_chars
-            node.link_tags += item.link_tags + (item.tag == "a")
+def _visible(node: Node) -> list[tuple[Node, int]]:
+    """A node and all below that are not foreign, each before its children, with its parent's place."""
+    order, todo = [], [(node, -1)]
+    while todo:
+        node, parent = todo.pop()
+        todo += [(item, len(order)) for item in reversed(node.items) if not isinstance(item, str) and not item.foreign]
+        order.append((node, parent))
+    return order
+
+
+def _measure(order: list[tuple[Node, int]]) -> None:
+    """Characters and tags below each node; foreign elements count for nothing."""
+    in_link: list[bool] = []
+    for node, parent in order:
+        in_link.append(node.tag == "a" or parent >= 0 and in_link[parent])
+        node.chars = sum(len(_BLANKS.sub("", item)) for item in node.items if isinstance(item, str))
+        node.link_chars = node.chars * in_link[-1]
+        node.tags = node.link_tags = 0
+    for node, parent in reversed(order[1:]):
+        above = order[parent][0]
+        above.chars += node.chars
+        above.tags += node.tags + 1
+        above.link_chars += node.link_chars
+        above.link_tags += node.link_tags + (node.tag == "a")
 
 
 def _density(chars: int, tags: int, link_chars: int, link_tags: int, page_links: float) -> float:
@@ -171,74 +185,81 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, page_links:
     return chars / max(1, tags) * math.log(max(inside, 1.0) + 1e-9) / (1.0 + math.log(base))
 
 
-def _weigh(node: Node, page_links: float) -> list[int]:
-    """Density, density sum and best sum below a node; returns what is its inline text.
+def _weigh(order: list[tuple[Node, int]], page_links: float) -> None:
+    """Density, density sum and best sum of each node; ``own`` is the inline text in it.
 
     Inline elements belong to the text of the block around them, which is a child like
     the blocks in it.  Of equal sums the outer node's counts.
     """
-    node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, page_links)
-    own = [0, 0, 0, 0]
-    in_link = node.tag == "a"
-    best, best_node = -1.0, node
-    for item in node.items:
-        if isinstance(item, str):
-            n = len(_BLANKS.sub("", item))
-            own[0] += n
-            own[2] += n * in_link
-        elif not item.foreign:
-            part = _weigh(item, page_links)
-            if item.tag in INLINE:
-                part[1] += 1
-                part[3] += item.tag == "a"
-                own = [x + y for x, y in zip(own, part)]
-            else:
-                node.sum += item.density
-            if item.best > best:
-                best, best_node = item.best, item.best_node
-    if node.tag in INLINE:
-        node.best, node.best_node = best, best_node
-        return own
-    node.sum += _density(*own, page_links)
-    node.best, node.best_node = (node.sum, node) if node.sum >= best and node.chars else (best, best_node)
-    return [0, 0, 0, 0]
-
-
-def _path_to(node: Node, goal: Node) -> list[Node]:
-    if node is goal:
-        return [node]
-    for item in node.items:
-        if not isinstance(item, str) and not item.foreign:
-            below = _path_to(item, goal)
-            if below:
-                return [node, *below]
-    return []
+    for node, _ in reversed(order):
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, page_links)
+        own, node.sum = [0, 0, 0, 0], 0.0
+        best, best_node = -1.0, node
+        for item in node.items:
+            if isinstance(item, str):
+                n = len(_BLANKS.sub("", item))
+                own[0] += n
+                own[2] += n * (node.tag == "a")
+            elif not item.foreign:
+                if item.tag in INLINE:
+                    inner = item.own
+                    own = [own[0] + inner[0], own[1] + inner[1] + 1, own[2] + inner[2], own[3] + inner[3] + (item.tag == "a")]
+                else:
+                    node.sum += item.density
+                if item.best > best:
+                    best, best_node = item.best, item.best_node
+        if node.tag in INLINE:
+            node.best, node.best_node, node.own = best, best_node, own
+            continue
+        node.sum += _density(*own, page_links)
+        node.best, node.best_node = (node.sum, node) if node.sum >= best and node.chars else (best, best_node)
+        node.own = [0, 0, 0, 0]
+
+
+def _path_to(order: list[tuple[Node, int]], goal: Node) -> list[Node]:
+    at = next(i for i, (node, _) in enumerate(order) if node is goal)
+    path = []
+    while at >= 0:
+        path.append(order[at][0])
+        at = order[at][1]
+    return path[::-1]
 
 
 def _select(node: Node, threshold: float, chosen: set[int]) -> None:
-    if node.density < threshold or not node.chars:
-        return
-    chosen.add(id(node.best_node))
-    for item in node.items:
-        if not isinstance(item, str) and not item.foreign:
-            _select(item, threshold, chosen)
-
-
-def _blocks(node: Node, taken: bool, chosen: set[int], blocks: list[list[str]]) -> None:
-    taken = taken or id(node) in chosen
-    block = node.tag not in INLINE
-    if block and blocks[-1]:
-        blocks.append([])
-    for item in node.items:
-        if isinstance(item, str):
-            if taken:
-                blocks[-1].append(item)
-        elif item.tag == "br":
-            blocks[-1].append(" ")
-        elif not item.foreign:
-            _blocks(item, taken, chosen, blocks)
-    if block and blocks[-1]:
-        blocks.append([])
+    todo = [node]
+    while todo:
+        node = todo.pop()
+        if node.density >= threshold and node.chars:
+            chosen.add(id(node.best_node))
+            todo += [item for item in node.items if not isinstance(item, str) and not item.foreign]
+
+
+def _blocks(node: Node, chosen: set[int]) -> list[list[str]]:
+    blocks: list[list[str]] = [[]]
+    path: list[tuple[Node, bool, Iterator]] = []
+
+    def enter(node: Node, taken: bool) -> None:
+        if node.tag not in INLINE and blocks[-1]:
+            blocks.append([])
+        path.append((node, taken or id(node) in chosen, iter(node.items)))
+
+    enter(node, False)
+    while path:
+        node, taken, items = path[-1]
+        for item in items:
+            if isinstance(item, str):
+                if taken:
+                    blocks[-1].append(item)
+            elif item.tag == "br":
+                blocks[-1].append(" ")
+            elif not item.foreign:
+                enter(item, taken)
+                break
+        else:
+            path.pop()
+            if node.tag not in INLINE and blocks[-1]:
+                blocks.append([])
+    return blocks
 
 
 def main_text(html: str | None) -> str:
@@ -247,11 +268,12 @@ def main_text(html: str | None) -> str:
         return ""
     root = parse(html)
     body = _find(root, "body") or root
-    _measure(body)
+    order = _visible(body)
+    _measure(order)
     if not body.chars:
         return ""
-    _weigh(body, body.link_chars / body.chars)
-    path = _path_to(body, body.best_node)
+    _weigh(order, body.link_chars / body.chars)
+    path = _path_to(order, body.best_node)
     chosen: set[int] = set()
     marked = [n for n in path if n.tag in ("article", "main")]
     if marked:
@@ -259,18 +281,18 @@ def main_text(html: str | None) -> str:
         chosen.add(id(marked[-1]))
     else:
         _select(body, min(n.density for n in path), chosen)
-    blocks: list[list[str]] = [[]]
-    _blocks(body, False, chosen, blocks)
-    lines = (_BLANKS.sub(" ", "".join(b)).strip() for b in blocks)
+    lines = (_BLANKS.sub(" ", "".join(b)).strip() for b in _blocks(body, chosen))
     return "\n".join(x for x in lines if x)
 
 
 def _find(node: Node, tag: str) -> Node | None:
-    for item in node.items:
-        if not isinstance(item, str):
-            found = item if item.tag == tag else _find(item, tag)
-            if found is not None:
-                return found
+    todo = [node]
+    while todo:
+        for item in reversed((node := todo.pop()).items):
+            if not isinstance(item, str):
+                todo.append(item)
+        if todo and todo[-1].tag == tag:
+            return todo[-1]
     return None
 
 

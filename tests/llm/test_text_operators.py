@@ -114,6 +114,17 @@ def test_main_text():
     assert len(html_text.main_text("<p>" + "long " * 400_000)) == 5 * 400_000 - 1
 
 
+def test_deep_pages():
+    more = "<p>" + "More of the article follows here. " * 9 + "</p>"
+    nest = "<div>" * 1000 + "deep" + "</div>" * 1000
+    want = "First.\ndeep\n" + ("More of the article follows here. " * 9).strip()
+    assert html_text.main_text(f"<body><div><article><p>First.</p>{nest}{more}</article></div><p>after</p></body>") == want
+    foreign = "<script>no()</script><style>no</style><nav>no</nav><aside>no</aside>"
+    assert html_text.main_text("<div>" * 1000 + foreign + "yes") == "yes"
+    assert html_text.main_text("<div>" + "<font>" * 1000 + foreign + more + "<font>" * 1000) == want.split("\n")[2]
+    assert html_text.main_text("<b><p>" * 50_000 + "x" + "</p></b>" * 50_000) == "x"
+
+
 def test_page_texts(spark):
     importable(spark)
     rows = [(1, None, None, 7), (1, "u", "<p>x</p>", 7), (None, "u", "<p>x</p>", 7), (1, "u", "<p>x</p>", 7)]
