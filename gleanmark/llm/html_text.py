@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements.  Elements that are never article text (menus,
-forms, scripts, asides, notices, comments of readers and the like, by tag, role or a
-word of class or id) leave the tree first.  Every remaining node has
+scripts, asides and the like, by tag) leave the tree first.  Forms, hidden elements and
+those with a whole class, id or role of ``FOREIGN`` (notices, comments of readers) leave
+it too, unless they wrap the article: what lies in them has a far greater density sum
+than the page around them.  Every remaining node has
 
 * C characters and T tags below it, of which LC and LT within links, and
 * a composite density: C / T, scaled by a logarithm whose argument falls and whose
@@ -38,8 +40,10 @@ INLINE = frozenset(
 )
 NOT_TEXT = frozenset(
     "script style noscript template head title iframe object embed canvas svg math audio video map select option textarea "
-    "button input form fieldset nav menu footer aside dialog".split()
+    "button input nav menu footer aside dialog".split()
 )
+FORMS = frozenset(["form", "fieldset"])
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 CLOSED_BY_SAME = {
     "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
@@ -47,7 +51,7 @@ CLOSED_BY_SAME = {
 }
 ALIKE = [{"dt", "dd"}, {"td", "th"}, {"thead", "tbody", "tfoot"}]
 
-# Words of class, id or role that mark an element as no part of the article.
+# Classes, ids and roles that mark an element as no part of the article.
 FOREIGN = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments commentlist consent "
     "contentinfo cookie cookies copyright disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice "
@@ -55,15 +59,16 @@ FOREIGN = frozenset(
     "sidebar social sponsor sponsored subscribe subscription teaser toolbar topbar widget alert complementary "
     "dialog disclaimer signup".split()
 )
-_WORDS = re.compile(r"[a-z]+")
+# How often the density sum around it a marked element must hold to be a wrapper; one around a single article or a main element.
+WRAPS, WRAPS_ARTICLE = 10.0, 3.0
 _BLANKS = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "items", "foreign", "chars", "tags", "link_chars", "link_tags", "own", "density", "sum", "best", "best_node")
+    __slots__ = ("tag", "items", "foreign", "mark", "marked", "chars", "tags", "link_chars", "link_tags", "own", "density", "sum", "best", "best_node")
 
     def __init__(self, tag: str, foreign: bool = False):
-        self.tag, self.foreign = tag, foreign
+        self.tag, self.foreign, self.mark, self.marked = tag, foreign, "", False
         self.items: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.own = [0, 0, 0, 0]
@@ -86,13 +91,21 @@ class Tree(HTMLParser):
                 return
             if tag == "body":
                 self._close("head")
+        elif tag == "head" and self.path[-1].tag not in ("#root", "html"):
+            return
+        elif self.path[-1].tag == "head" and tag not in IN_HEAD:
+            self._begin_body()
         if tag not in INLINE and tag not in VOID:
             # A block ends an open paragraph, with whatever is open inside it.
             self._close("p", within=frozenset(["table", "td", "th", "button", "li", "div", "article", "section"]))
         if tag in CLOSED_BY_SAME:
             for same in next((s for s in ALIKE if tag in s), {tag}):
                 self._close(same, within=CLOSED_BY_SAME[tag])
-        node = Node(tag, tag in NOT_TEXT or self._is_foreign(tag, attrs))
+        node = Node(tag, tag in NOT_TEXT or self._is_foreign(tag))
+        if not node.foreign:
+            node.mark = self._mark(tag, attrs)
+            node.foreign = bool(node.mark)  # until unwrapped
+            self.path[-1].marked |= node.foreign
         self.path[-1].items.append(node)
         if tag not in VOID:
             self._open(node)
@@ -107,8 +120,16 @@ class Tree(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data):
+        if self.path[-1].tag == "head" and data.strip():
+            self._begin_body()
         self.path[-1].items.append(data)
 
+    def _begin_body(self) -> None:
+        """What cannot stand in the head ends it."""
+        self._close("head")
+        self.path[-1].items.append(node := Node("body"))
+        self._open(node)
+
     def _open(self, node: Node) -> None:
         self.places.setdefault(node.tag, []).append(len(self.path))
         self.path.append(node)
@@ -122,19 +143,23 @@ class Tree(HTMLParser):
         if places and all(not self.places.get(w) or self.places[w][-1] <= places[-1] for w in within):
             self._cut(places[-1])
 
-    def _is_foreign(self, tag: str, attrs) -> bool:
-        inside = bool(self.places.get("article") or self.places.get("main"))
-        if tag in ("html", "body", "main") or tag == "article" and not inside:
-            return False
-        if tag == "header":
-            # The heading of an article stays, that of the page goes.
-            return not inside
+    def _is_foreign(self, tag: str) -> bool:
+        # The heading of an article stays, that of the page goes.
+        return tag == "header" and not (self.places.get("article") or self.places.get("main"))
+
+    def _mark(self, tag: str, attrs) -> str:
+        """Why an element may be foreign; empty for others."""
+        inside = self.places.get("article") or self.places.get("main")
+        if tag in ("html", "body", "main", "header") or tag == "article" and not inside:
+            return ""
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name in ("class", "id", "role") and value and not FOREIGN.isdisjoint(_WORDS.findall(value.lower())):
-                return True
-        return False
+                return name
+            if name in ("class", "id", "role") and value:
+                for token in value.lower().split():
+                    if token in FOREIGN:
+                        return token
+        return tag if tag in FORMS else ""
 
 
 def parse(html: str) -> Node:
@@ -216,6 +241,67 @@ def _weigh(order: list[tuple[Node, int]], page_links: float) -> None:
         node.own = [0, 0, 0, 0]
 
 
+def _weighed(top: Node) -> list[tuple[Node, int]]:
+    order = _visible(top)
+    _measure(order)
+    _weigh(order, top.link_chars / top.chars if top.chars else 0.0)
+    return order
+
+
+def _unwrap(page: Node) -> list[tuple[Node, int]]:
+    """The weighed nodes of a page.  Let marked elements that wrap the article be part of the page.
+
+    Each marked element is weighed without the marked ones in it, innermost first, and
+    held against what lies around it in the next marked element or the page.  Of several
+    the one that holds the most counts, and those marked like it.  Where the page around
+    has an article or main element with text, one outside of that is no wrapper.
+    """
+    regions, at, page_order = [page], 0, []
+    found: list[tuple[list[tuple[Node, bool]], float, bool, int, bool]] = []
+    while at < len(regions):
+        top = regions[at]
+        order = _weighed(top)
+        page_order = page_order or order
+        within: list[bool] = []
+        marked, mains, articles, holds = [], False, 0, False
+        for node, parent in order:
+            outer = parent >= 0 and within[parent]
+            within.append(outer or node.tag in ("article", "main"))
+            if within[-1] and not outer:
+                mains |= node.tag == "main"
+                articles += node.tag == "article"
+                holds |= node.chars > 0
+            if node.marked:
+                marked += [(item, within[-1]) for item in node.items if not isinstance(item, str) and item.mark]
+        found.append((marked, max(top.best, top.sum), mains, articles, holds))
+        regions += [item for item, _ in marked]
+        at += 1
+    worth = [f[1] for f in found]
+    kinds = [(f[2], f[3]) for f in found]
+    place = {id(node): i for i, node in enumerate(regions)}
+    for i in range(len(regions) - 1, -1, -1):
+        marked, around, mains, articles, holds = found[i]
+        scores = []
+        for item, inside in marked:
+            j = place[id(item)]
+            of_article = kinds[j][0] or kinds[j][1] == 1
+            score = worth[j] / (WRAPS_ARTICLE if of_article else WRAPS)
+            if score > around and (inside or not holds):
+                scores.append((score, j))
+        if not scores:
+            continue
+        best = regions[max(scores)[1]]
+        for _, j in scores:
+            if (regions[j].tag, regions[j].mark) == (best.tag, best.mark):
+                regions[j].foreign = False
+                worth[i] = max(worth[i], worth[j])
+                mains, articles = mains or kinds[j][0], articles + kinds[j][1]
+        kinds[i] = (mains, articles)
+        if i == 0:
+            return _weighed(page)
+    return page_order
+
+
 def _path_to(order: list[tuple[Node, int]], goal: Node) -> list[Node]:
     at = next(i for i, (node, _) in enumerate(order) if node is goal)
     path = []
@@ -268,11 +354,9 @@ def main_text(html: str | None) -> str:
         return ""
     root = parse(html)
     body = _find(root, "body") or root
-    order = _visible(body)
-    _measure(order)
+    order = _unwrap(body)
     if not body.chars:
         return ""
-    _weigh(order, body.link_chars / body.chars)
     path = _path_to(order, body.best_node)
     chosen: set[int] = set()
     marked = [n for n in path if n.tag in ("article", "main")]

@@ -114,6 +114,26 @@ def test_main_text():
     assert len(html_text.main_text("<p>" + "long " * 400_000)) == 5 * 400_000 - 1
 
 
+def test_wrappers_with_marks_of_other_parts():
+    text = "Prose of the article, which goes on for a while. " * 8
+    article = f"<article><h1>T</h1><p>{text}</p></article>"
+    plain = f"<div><h1>T</h1><p>{text}</p><p>{text}</p></div>"
+    want, twice = f"T\n{text.strip()}", f"T\n{text.strip()}\n{text.strip()}"
+    for mark in ("class='layout has-sidebar'", "class=no-sidebar", "id=social-science", "class='layout sidebar'", "aria-hidden=true"):
+        assert html_text.main_text(f"<body><p>Motto.</p><div {mark}>{article}</div><footer>f</footer></body>") == want, mark
+        assert html_text.main_text(f"<body><div {mark}>{plain}</div><footer>f</footer></body>") == twice, mark
+    form = f"<form id=aspnet><input><div class='widget'>{article}<div class=comments><p>Me too, I agree.</p></div></div></form>"
+    assert html_text.main_text(f"<body>{form}</body>") == want
+    assert html_text.main_text(f"<html><head><title>x</title><meta charset=utf-8><div>{article}</div>") == want
+    assert html_text.main_text(f"<head><title>x</title><h1>T</h1><p>{text}<body class=y><p>{text}") == twice
+    # Longer than the article, and still no part of it.
+    comments = "".join(f"<article><p>{text}</p></article>" for _ in range(4))
+    for tag in ("div class=comments", "section id=comments"):
+        assert html_text.main_text(f"<body>{article}<{tag}>{comments}</{tag.split()[0]}></body>") == want
+        assert html_text.main_text(f"<body>{plain}<{tag}>{comments}</{tag.split()[0]}></body>") == twice
+    assert html_text.main_text(f"<body>{article}<form><p>{text * 9}</p></form><div class=ad>{text * 9}</div></body>") == want
+
+
 def test_deep_pages():
     more = "<p>" + "More of the article follows here. " * 9 + "</p>"
     nest = "<div>" * 1000 + "deep" + "</div>" * 1000
