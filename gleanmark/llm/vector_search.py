@@ -10,7 +10,9 @@ hold the wanted share of them.
 
 Queries and rows meet by leaf.  Leaves are cut into blocks of rows and of queries by
 hash, so that a leaf with a third of all rows is many tasks, and every block pair gives
-the best few per query.
+the best k per query.  The matrix product only preselects: every row within its rounding
+of the k-th score is scored again in one fixed order, so that equal vectors have equal
+scores in all blocks and ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -35,7 +37,6 @@ LEAF_SAMPLE = 100  # sample rows a leaf holds at most
 BRANCHES = 8
 CALIBRATION = 200  # queries whose exact neighbours are found
 RECALL = 0.97
-SPARE = 8  # candidates beyond the wanted number that a block pair passes on
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 8192, 1024
 SEED = 5
 
@@ -62,7 +63,8 @@ class Tree:
                 out[rows] = self.leaf[node]
                 continue
             c = self.centres[below]
-            best = np.argmin((c * c).sum(axis=1) - 2 * x[rows] @ c.T, axis=1)
+            # Unlike a matrix product, this gives equal rows equal values wherever they stand.
+            best = np.argmin((c * c).sum(axis=1) - 2 * np.einsum("ij,kj->ik", x[rows], c), axis=1)
             todo += [(below[k], rows[best == k]) for k in range(len(below)) if (best == k).any()]
         return out
 
@@ -117,17 +119,25 @@ def fit_tree(sample: np.ndarray, branches: int = BRANCHES, leaf_rows: int = LEAF
     return Tree(np.array(centres), children, leaf)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
-    """Per row the places of the k greatest scores, ties to the smaller id; ids ascend."""
-    scores = np.where(ids[None, :] == own[:, None], -np.inf, scores)
-    k = min(k, scores.shape[1])
-    floors = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-    out = []
-    for row, floor in zip(scores, floors):
-        at = np.flatnonzero(row >= floor)
-        at = at[np.argsort(-row[at], kind="stable")][:k]
-        out.append(at[np.isfinite(row[at])])
-    return out
+def _best(q: np.ndarray, v: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per query the places and scores of the k best rows, ties to the smaller id; ids ascend."""
+    scores = q @ v.T
+    scores[ids[None, :] == own[:, None]] = -np.inf
+    k, d = min(k, len(v)), q.shape[1]
+    floors = np.partition(scores, len(v) - k, axis=1)[:, len(v) - k]
+    # A sum of d products is off by d * u * |q| * |v| at most in any order (u is half of eps; twice
+    # that covers the higher terms).  Two sums of one row, for the k-th row and for the one beside it.
+    off = 4 * d * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1) * (v * v).sum(axis=1).max())
+    for x, row, floor in zip(q, scores, floors - off):
+        at = np.flatnonzero((row >= floor) & np.isfinite(row))
+        exact = np.concatenate([_in_order(x, v[at[i : i + 1024]]) for i in range(0, len(at), 1024)]) if len(at) else np.empty(0)
+        first = np.argsort(-exact, kind="stable")[:k]
+        yield at[first], exact[first]
+
+
+def _in_order(x: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products, added up in double precision, first to last."""
+    return np.add.accumulate(x * v, axis=1)[:, -1] + 0.0
 
 
 def _pairs(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> pd.DataFrame:
@@ -136,9 +146,8 @@ def _pairs(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: in
     v = v[first]
     found = []
     for a in range(0, len(qid), 256):
-        scores = q[a : a + 256] @ v.T
-        for i, at in enumerate(_best(scores, vid, qid[a : a + 256], k)):
-            found.append(pd.DataFrame({"query_id": qid[a + i], "vec_id": vid[at], "near": scores[i, at]}))
+        for i, (at, score) in enumerate(_best(q[a : a + 256], v, vid, qid[a : a + 256], k)):
+            found.append(pd.DataFrame({"query_id": qid[a + i], "vec_id": vid[at], "near": score}))
     return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
 
 
@@ -168,12 +177,6 @@ def _calibrated(rows: DataFrame, tree: Tree, queries: pd.DataFrame, k: int, reca
     return min(visits, tree.leaves)
 
 
-def inner_product(a: Column, b: Column) -> Column:
-    """Products added up in double precision, first to last."""
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
-
-
 def nearest(
     table: DataFrame,
     is_query: Column,
@@ -239,19 +242,12 @@ def nearest(
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
         right = right.sort_values("vec_id")
-        return _pairs(left["query_id"].to_numpy(), stacked(left["query"]), right["vec_id"].to_numpy(), stacked(right["vector"]), k + SPARE)
+        return _pairs(left["query_id"].to_numpy(), stacked(left["query"]), right["vec_id"].to_numpy(), stacked(right["vector"]), k)
 
     place = ["leaf", "rb", "qb"]
     near = asked.groupBy(*place).cogroup(held.groupBy(*place)).applyInPandas(meet, _PAIRS)
-    by_near = W.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
-    best = near.withColumn("r", F.row_number().over(by_near)).where(F.col("r") <= k + SPARE)
-    # The last ranking is by the measure itself, added up in one fixed order.
-    vectors = rows.select("vec_id", "vector").dropDuplicates(["vec_id"])
-    scored = (
-        best.select("query_id", "vec_id").join(vectors, "vec_id")
-        .join(vectors.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query")), "query_id")
-        .select("query_id", "vec_id", inner_product(F.col("query"), F.col("vector")).alias("score")).distinct()
-    )
+    # An id with several vectors is one candidate, with its best score.
+    scored = near.groupBy("query_id", "vec_id").agg(F.max("near").alias("score"))
     by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

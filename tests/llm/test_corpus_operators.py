@@ -227,6 +227,33 @@ def test_nearest(spark):
     assert vector_search.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_among_thousands_of_copies(spark):
+    importable(spark)
+    rng = np.random.default_rng(1)  # the matrix product of this vector with its copies is greater in the last rows of a block
+    one = rng.normal(size=64).astype(np.float32).astype(float).tolist()
+    rows = [(i, one if i % 10 else rng.normal(size=64).tolist(), 0) for i in range(40_000)]
+    asked = [1, 5001, 39_999]
+    table = spark.createDataFrame(rows, _SCHEMA).repartition(7)
+    got = vector_search.nearest(table, F.col("vec_id").isin(asked)).collect()
+    score = 0.0
+    for x in one:
+        score += x * x
+    for q in asked:
+        found = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        copies = [i for i in range(1, 100) if i % 10 and i != q][:20]
+        assert found == [(n + 1, i, score) for n, i in enumerate(copies)]
+
+
+@pytest.mark.parametrize("seed", [1, 5])
+def test_copies_in_a_block_are_taken_by_id(seed):
+    one = np.random.default_rng(seed).normal(size=64).astype(np.float32).astype(float)
+    for n in (5600, 5611, 5623, 5637, 5650, 5663, 5671, 5687):
+        for m in (1, 2, 3):
+            asked = np.arange(n, n + m)
+            got = vector_search._pairs(asked, np.tile(one, (m, 1)), np.arange(n), np.tile(one, (n, 1)), 3)
+            assert got["vec_id"].tolist() == [0, 1, 2] * m and got["near"].nunique() == 1, (n, m)
+
+
 def test_recall_of_the_query(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").toPandas()
     x, ids = np.stack(vectors["embedding"]).astype(float), vectors["vec_id"].to_numpy()
