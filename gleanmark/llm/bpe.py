@@ -2,9 +2,8 @@
 
 A sequence of tokens is the merge result of a word exactly when every two
 neighbours are *compatible*: merging their joined symbols gives the two tokens
-back.  The encoder therefore never replays merges.  An Aho-Corasick automaton
-over the vocabulary gives the longest token that begins at a place of a word, and a
-table the next shorter one that it begins with; a pair-compatibility table accepts or
+back.  The encoder therefore never replays merges.  A walk of the vocabulary's
+trie gives the longest token that begins at a place of a word, and a table the next shorter one that it begins with; a pair-compatibility table accepts or
 rejects each beside its left neighbour, and a place from which no token fits is marked
 dead and never tried again, so that the work is linear in the word.  The pair table is
 filled as pairs turn up, each by undoing merges across the border.
