@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanmark.llm import (
+    alignment,
     bpe,
     html_text,
     minhash,
     mixing,
     quality,
+    resampling,
+    sharding,
     token_counts,
     training_order,
     url_filter,
@@ -70,11 +73,36 @@ def op10_minhash_near_dedup(spark, d):
     return minhash.near_duplicates(read(spark, d, "documents").select("doc_id", "text"))
 
 
+def op11_sharding(spark, d):
+    """Place of every document in the shuffled shards."""
+    placed = sharding.sharded(read(spark, d, "documents"))
+    return placed.select(
+        "row.doc_id",
+        sharding.size_of(F.col("row.text")).alias("size"),
+        sharding.checksum(F.col("row.text")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_importance_resampling(spark, d):
+    docs, target = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark").select("text")
+    return resampling.resample(docs, target)
+
+
+def op13_tokenizer_alignment(spark, d):
+    """Links of two tokenizers per document; tested against a plain alignment."""
+    return alignment.align(read(spark, d, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_url_filters, op3_html_extraction, op4_bpe, op5_mixing, op6_token_counts,
         op7_training_order, op8_embedding_near_dedup, op9_nearest_neighbours, op10_minhash_near_dedup,
+        op11_sharding, op12_importance_resampling, op13_tokenizer_alignment,
     )
 }
 
