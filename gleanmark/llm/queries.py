@@ -112,6 +112,23 @@ _REACH = """reach AS (
   SELECT a AS node, b FROM both_ways UNION SELECT r.node, w.b FROM reach r JOIN both_ways w ON w.a = r.b),
 components AS (SELECT node, least(node, min(b)) AS component FROM reach GROUP BY node)"""
 
+# CRC-32 of the UTF-8 bytes of a text, from its reflected polynomial.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(r ORDER BY i) AS crc_list FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS r
+    FROM range(256) t(i)))"""
+
+
+def _sql_crc(text: str) -> str:
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    step = "lambda c, v: xor(c >> 8, crc_list[xor(c, v) % 256 + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), {step}), 4294967295)::BIGINT"
+
+
+def _sql_hash60(name: str) -> str:
+    return f"('0x' || substr(md5({name}), 1, 15))::BIGINT"
+
+
 _RULES = ", ".join(f"('{verdict}', '{rule}')" for verdict, rule in url_filter.RULES)
 
 SQL = {
@@ -178,4 +195,53 @@ both_ways AS (
 {_REACH}
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN components ON node = doc_id""",
+    "op11_sharding": f"""WITH RECURSIVE {_CRC_TABLE},
+sized AS (
+  SELECT doc_id, text, coalesce(strlen(text), 0)::BIGINT + 1 AS size, {_sql_crc("coalesce(text, '')")} AS text_crc32,
+    {_sql_hash60(f"'{sharding.SEED}:' || coalesce('=' || doc_id, '-') || ':' || coalesce('=' || text, '-')")} AS h
+  FROM documents, crc_table),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY h) - 1 AS copy, count(*) OVER () AS n, sum(size) OVER () AS total FROM sized),
+hashed AS (SELECT * REPLACE (CASE WHEN copy > 0 THEN {_sql_hash60("h || ':' || copy")} ELSE h END AS h), greatest(1, ceil(total / {sharding.BUCKET_BYTES}.0))::BIGINT AS buckets FROM numbered),
+dealt AS (SELECT *, ((h >> 30) * buckets) >> 30 AS bucket FROM hashed),
+held AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h) - 1 AS place FROM dealt),
+steps(bucket, i, ord) AS (
+  SELECT bucket, count(*) - 1, range(count(*)) FROM held GROUP BY bucket
+  UNION ALL
+  SELECT bucket, i - 1, list_transform(ord, lambda x, p: CASE WHEN p = i + 1 THEN ord[j + 1] WHEN p = j + 1 THEN ord[i + 1] ELSE x END)
+  FROM (SELECT *, {_sql_hash60(f"'{sharding.SEED}:' || bucket || ':' || i")} % (i + 1) AS j FROM steps WHERE i > 0)),
+shuffled AS (SELECT bucket, unnest(ord) AS place, unnest(range(len(ord))) AS spot FROM steps WHERE i = 0),
+placed AS (SELECT *, row_number() OVER (ORDER BY bucket, spot) - 1 AS pos FROM shuffled JOIN held USING (bucket, place)),
+cut AS (SELECT *, n // {sharding.SHARDS} AS each, (n % {sharding.SHARDS}) * (n // {sharding.SHARDS} + 1) AS odd FROM placed)
+SELECT doc_id, size, text_crc32, '{sharding.LAW}' AS law,
+  (CASE WHEN pos < odd THEN pos // (each + 1) ELSE n % {sharding.SHARDS} + (pos - odd) // greatest(each, 1) END)::INT AS shard,
+  (CASE WHEN pos < odd THEN pos % (each + 1) ELSE (pos - odd) % greatest(each, 1) END)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM cut""",
+    "op12_importance_resampling": rf"""WITH {_CRC_TABLE},
+texts AS (SELECT 'd' AS kind, doc_id, row_number() OVER () AS n, text FROM documents UNION ALL SELECT 'b', NULL, row_number() OVER (), text FROM benchmark),
+words AS (SELECT kind, doc_id, n, regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (
+  SELECT kind, n, unnest(w) AS run FROM words
+  UNION ALL SELECT kind, n, unnest(list_transform(list_zip(w[:-2], w[2:]), lambda p: p[1] || ' ' || p[2])) FROM words WHERE len(w) > 1),
+counted AS (SELECT kind, n, run, count(*) AS times FROM runs GROUP BY ALL),
+buckets AS (SELECT run, {_sql_crc("run")} % {resampling.BUCKETS} AS bucket FROM (SELECT DISTINCT run FROM counted), crc_table),
+placed AS (SELECT kind, n, bucket, sum(times) AS times FROM counted JOIN buckets USING (run) GROUP BY ALL),
+sums AS (SELECT coalesce(sum(times) FILTER (WHERE kind = 'd'), 0) AS s, coalesce(sum(times) FILTER (WHERE kind = 'b'), 0) AS t FROM placed),
+per_bucket AS (
+  SELECT bucket, coalesce(sum(times) FILTER (WHERE kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(times) FILTER (WHERE kind = 'b'), 0)::DOUBLE AS t
+  FROM placed GROUP BY 1),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((p.t + 1) * (a.s::DOUBLE + {resampling.BUCKETS})) / ((p.s + 1) * (a.t::DOUBLE + {resampling.BUCKETS}))))::BIGINT AS gain
+  FROM per_bucket p, sums a),
+weights AS (
+  SELECT n, sum(times)::BIGINT AS n_features, floor(sum(gain * times)::DOUBLE / sum(times))::BIGINT AS weight
+  FROM placed JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY n),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= {resampling.LEAST_WORDS} AS able,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{resampling.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (n) WHERE kind = 'd'),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY able DESC, score DESC, doc_id NULLS LAST, n_features, weight) AS place,
+    count(*) FILTER (WHERE able) OVER () AS n_able
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {resampling.PERCENT} * n_able // 100 THEN place END AS rank FROM ranked""",
 }
