@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleanmark.catalog.inputs import documents, SQL_SPLIT_DOCUMENTS, split_documents, sql_collapse
 from gleanmark.catalog.registry import query
 from gleanmark.functions.keys import content_key
+from gleanmark.operators import containment as ct
 from gleanmark.operators import labelspace as ls
 from gleanmark.operators import leakage as lk
 from gleanmark.operators import profile as pf
@@ -262,6 +263,23 @@ def benchmark_contamination(spark, d):
     )
 
 
+@query(f"""WITH d AS (SELECT doc_id, list_filter(string_split(lower({sql_collapse('text')}), ' '), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split(lower({sql_collapse('text')}), ' '), lambda x: x <> '') AS w FROM benchmark),
+dg AS (SELECT doc_id, p, array_to_string(w[p + 1:p + 5], ' ') AS g FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS p FROM d)),
+bg AS (SELECT item_id, n, q, array_to_string(w[q + 1:q + 5], ' ') AS g FROM (SELECT item_id, w, len(w) AS n, unnest(range(len(w) - 4)) AS q FROM b)),
+met AS (SELECT doc_id, item_id, n, p, p - q AS shift FROM dg JOIN bg USING (g)),
+runs AS (
+  SELECT doc_id, item_id, n, min(p) AS start, count(*) + 4 AS run
+  FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY p) AS island FROM met)
+  GROUP BY doc_id, item_id, n, shift, island),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY run DESC, start) AS place FROM runs WHERE 10 * run >= 8 * n)
+SELECT doc_id, item_id, start::INT AS start, run::INT AS n_words, round(run / n, 4) AS share FROM best WHERE place = 1""")
+def benchmark_items_in_documents(spark, d):
+    """Every benchmark item of which a document holds four fifths or more in one piece."""
+    docs, items = documents(spark, d).select("doc_id", "text"), read_table(spark, d, "benchmark")
+    return ct.contained_items(docs, items, "doc_id", "item_id")
+
+
 @query("""SELECT count(*) AS n_rows, lang,
   sum(('0x' || substr(h, 1, 8))::BIGINT)::BIGINT || '-' || sum(('0x' || substr(h, 9, 8))::BIGINT)::BIGINT || '-' ||
   sum(('0x' || substr(h, 17, 8))::BIGINT)::BIGINT || '-' || sum(('0x' || substr(h, 25, 8))::BIGINT)::BIGINT AS fingerprint
