@@ -27,12 +27,13 @@ from gleanmark.catalog.inputs import (
     two_line_answers,
 )
 from gleanmark.catalog.registry import query
-from gleanmark.functions.fuzzy import closest_label
+from gleanmark.operators import closest as cl
 from gleanmark.operators import evaluate as ev
+from gleanmark.operators import labelspace as ls
 from gleanmark.operators import parse as ps
 from gleanmark.operators import report as rp
 from gleanmark.plans import evaluation as pe
-from gleanmark.session import scratch_path, stage, vocabulary
+from gleanmark.session import scratch_path, stage
 from gleanmark.sources.runs import read_runs
 from gleanmark.sources.tables import read_table
 
@@ -219,9 +220,9 @@ def parser_preflight(spark, d):
 
 @query(f"""SELECT event_id, event_type IN ('click', 'view', 'refund') AS known FROM events""")
 def vocabulary_membership(spark, d):
-    return read_table(spark, d, "events").select(
-        "event_id", F.col("event_type").isin("click", "view", "refund").alias("known")
-    )
+    events = read_table(spark, d, "events").select("event_id", "event_type")
+    labels = label_table(spark, ["click", "view", "refund"])
+    return ls.with_membership(events, "event_type", labels).drop("event_type")
 
 
 # A label with one letter dropped or doubled is still closest to itself.
@@ -234,8 +235,23 @@ def nearest_labels(spark, d):
         .when(n < 8, F.concat("source", F.lit("_")))
         .otherwise(F.concat(F.lit("s"), "source"))
     )
-    labels = vocabulary(docs, "source")
-    return docs.select("doc_id", closest_label(typo, labels).alias("nearest"))
+    asked = docs.select("doc_id", typo.alias("typo"))
+    found = cl.closest_labels(asked, "typo", docs.select("source"), "source")
+    return asked.join(found, asked["typo"] == found["candidate"], "left").select("doc_id", F.col("label").alias("nearest"))
+
+
+# A brand without its last digit is as close to every brand that has the other one.
+@query("""WITH brands AS (SELECT DISTINCT p_brand AS brand FROM part),
+cut AS (SELECT p_partkey, p_brand[:-2] AS written FROM part)
+SELECT p_partkey, written, (SELECT max(brand) FROM brands WHERE strpos(substr(brand, 7), substr(written, 7)) > 0) AS nearest, round(14 / 15, 4) AS ratio
+FROM cut""")
+def nearest_labels_with_ties(spark, d):
+    """Of many equally close labels the greatest is the answer."""
+    part = read_table(spark, d, "part").select("p_partkey", F.expr("substr(p_brand, 1, length(p_brand) - 1)").alias("written"), "p_brand")
+    found = cl.closest_labels(part, "written", part.select("p_brand"), "p_brand")
+    return part.join(found, part["written"] == found["candidate"]).select(
+        "p_partkey", "written", F.col("label").alias("nearest"), F.round("ratio", 4).alias("ratio")
+    )
 
 
 @query(f"""WITH {SQL_PARSED},

@@ -4,17 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanmark.functions.keys import seeded_order
-from gleanmark.functions.labels import is_irregular_label, label_tokens, round4
+from gleanmark.functions.labels import is_irregular_label, jaccard, label_tokens, round4
+from gleanmark.operators.ranking import dense_ids
+from gleanmark.session import lookup, stage
+
+# The bounds on the k-th similarity that a search tries, one after the other.
+LEAST_SIMILARITIES = [0.8, 0.6, 0.4, 0.2, 0.0]
+
+# Names that share a word before it indexes only a few of each kind.
+HOT_NAMES = 100
 
 # Fixed value: label columns, the first one found wins.
 LABEL_PREFERENCE = ["label_name", "label"]
 
 
+def label_table(spark: SparkSession, labels: DataFrame | Sequence[str]) -> DataFrame:
+    """Distinct non-null ``label``s of a table, or of a list."""
+    if not isinstance(labels, DataFrame):
+        labels = spark.createDataFrame([(n,) for n in labels], "label string")
+    return labels.select(F.col("label").cast("string").alias("label")).where("label is not null").distinct()
+
+
+def with_membership(df: DataFrame, value: str, labels: DataFrame, out: str = "known") -> DataFrame:
+    """Add whether ``value`` is a label of a table; a null value has a null answer."""
+    known = lookup(labels.select(F.col("label").alias("_known")).where("_known is not null").distinct(), "labels")
+    held = F.when(F.col(value).isNotNull(), F.col("_known").isNotNull())
+    return df.join(known, F.col(value) == F.col("_known"), "left").select(*df.columns, held.alias(out))
+
+
 def with_label_name(df: DataFrame, dictionary: DataFrame, label: str, out: str = "label_name") -> DataFrame:
     """Look an id up in a ``(label, label_name)`` dictionary; unknown ids give null.
 
@@ -39,9 +61,8 @@ def resolve_label(df: DataFrame, dictionary: DataFrame | None = None) -> DataFra
 
 def label_space(df: DataFrame, label: str) -> DataFrame:
     """``label, label_id``: sorted distinct labels, ids from 0."""
-    names = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
-    order = Window.partitionBy().orderBy("label")
-    return names.select("label", (F.row_number().over(order) - 1).cast("int").alias("label_id"))
+    names = stage(df.where(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct(), "names")
+    return dense_ids(names, "label", "label_id").withColumn("label_id", F.col("label_id").cast("int"))
 
 
 def encode(df: DataFrame, space: DataFrame, label: str) -> DataFrame:
@@ -89,35 +110,58 @@ def irregular_labels(df: DataFrame, label: str) -> DataFrame:
     return df.select(label).distinct().where(is_irregular_label(label))
 
 
-def similar_labels(labels: DataFrame, label: str, k: int = 10) -> DataFrame:
-    """The ``k`` most similar pairs of names by Jaccard of their words, above 0.
+def _word_index(labels: DataFrame, label: str) -> DataFrame:
+    """``name, words`` (structs of count and word, from rare to frequent) of the distinct names with words."""
+    names = labels.select(F.col(label).cast("string").alias("name")).where("name is not null").distinct()
+    words = stage(names.select("name", F.explode(label_tokens("name")).alias("word")), "name-words")
+    held = words.groupBy("word").agg(F.count("*").alias("n"))
+    return words.join(held, "word").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("words"))
+
+
+def name_pairs(names: DataFrame, least: float, k: int, hot: int = HOT_NAMES) -> DataFrame:
+    """``a, b, jaccard``: pairs of names at or above ``least`` and above 0, enough of them for the top ``k``.
 
-    Pairs meet on a shared word, so names with nothing in common are never
-    compared.
+    Names are indexed under their rarest words, as many as a pair at ``least`` needs,
+    and a pair meets under the first word that both have.  A word of more than ``hot``
+    names indexes only the ``k + 1`` smallest names of each kind, which is the set of
+    such words in a name and its size: two names that share hot words alone are as
+    alike as any others of their kinds, so a pair with a greater name has ``k`` pairs
+    before it.
     """
-    names = (
-        labels.select(F.col(label).cast("string").alias("name"))
-        .where("name is not null")
-        .distinct()
-        .withColumn("words", label_tokens("name"))
-        .where(F.size("words") > 0)
-    )
-    words = names.select("name", F.size("words").alias("size"), F.explode("words").alias("word"))
-    left = words.select(F.col("name").alias("a"), F.col("size").alias("size_a"), "word")
-    right = words.select(F.col("name").alias("b"), F.col("size").alias("size_b"), "word")
-    shared = (
-        left.join(right, "word")
-        .where(F.col("a") < F.col("b"))
-        .groupBy("a", "b", "size_a", "size_b")
-        .agg(F.count("*").alias("n_shared"))
-    )
-    score = F.col("n_shared") / (F.col("size_a") + F.col("size_b") - F.col("n_shared"))
-    return (
-        shared.select("a", "b", round4(score).alias("jaccard"), score.alias("_exact"))
-        .orderBy(F.desc("_exact"), "a", "b")
-        .limit(k)
-        .drop("_exact")
-    )
+    least_words = F.greatest(F.ceil(F.size("words") * F.lit(least) - 1e-9), F.lit(1))
+    held = names.withColumn("hot", F.filter("words", lambda w: w["n"] > hot)["word"])
+    first = F.row_number().over(Window.partitionBy("hot", F.size("words")).orderBy("name"))
+    # Everyone counts for a rare word, the smallest of a kind for a hot one.
+    kind = held.where(F.size("hot") > 0).select("name", "words", "hot", first.alias("place")).where(F.col("place") <= k + 1)
+
+    def under(rows: DataFrame, side: str, is_hot: bool) -> DataFrame:
+        part = rows.select("name", F.col("words.word").alias(f"words_{side}"), F.explode(F.slice("words", 1, (F.size("words") - least_words + 1).cast("int"))).alias("w"))
+        chosen = F.col("w.n") > hot if is_hot else F.col("w.n") <= hot
+        return part.where(chosen).select(F.col("name").alias(side), f"words_{side}", F.col("w.word").alias("word"))
+
+    out = None
+    for rows, is_hot in ((held, False), (kind, True)):
+        met = under(rows, "a", is_hot).join(under(rows, "b", is_hot), "word").where("a < b")
+        both = F.array_intersect("words_a", "words_b")
+        met = met.where(F.element_at(both, 1) == F.col("word"))
+        part = met.select("a", "b", jaccard(F.col("words_a"), F.col("words_b")).alias("jaccard")).where(F.col("jaccard") >= least)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def similar_labels(labels: DataFrame, label: str, k: int = 10, hot: int = HOT_NAMES) -> DataFrame:
+    """The ``k`` most similar pairs of names by Jaccard of their words, above 0; ties by name.
+
+    The bound on the k-th score starts high and is lowered until ``k`` pairs lie above
+    it, so the usual search looks at few words of a name.
+    """
+    names = stage(_word_index(labels, label), "name-index")
+    for least in LEAST_SIMILARITIES:
+        found = name_pairs(names, least, k, hot).orderBy(F.desc("jaccard"), "a", "b").limit(k)
+        found = stage(found, "similar")
+        if found.count() == k:
+            break
+    return found.orderBy(F.desc("jaccard"), "a", "b").select("a", "b", round4("jaccard").alias("jaccard"))
 
 
 def sample_rows(df: DataFrame, row_id: str, n: int, seed: int = 42) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanmark.functions.fuzzy import FUZZY_CUTOFF, closest_label
 from gleanmark.functions.text import WHITESPACE
+from gleanmark.operators.closest import FUZZY_CUTOFF, closest_labels
+from gleanmark.operators.labelspace import label_table
+from gleanmark.session import lookup, stage
 
 # ---- fixed values: answer patterns and the names of the parse paths ----------
 FLAT_ANCHOR = rf"(?U)[Ii]ntent[{WHITESPACE}]*[:=][{WHITESPACE}]*([A-Za-z0-9_]+)"
@@ -21,10 +23,41 @@ def _found(raw: str, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(raw, pattern, group), F.lit(""))
 
 
+def _resolved(values: DataFrame, spelling: DataFrame, cutoff: float) -> DataFrame:
+    """``value, label, exact`` for each distinct value that is a label or close to one.
+
+    ``spelling`` gives ``known, label``: how a label may be written, and the label.
+    Only what is no label itself goes to the search.
+    """
+    asked = lookup(values.select("value").where("value is not null").distinct(), "values")
+    exact = asked.join(spelling, F.col("value") == F.col("known")).select("value", "label", F.lit(True).alias("exact"))
+    open_values = asked.join(spelling, F.col("value") == F.col("known"), "left_anti")
+    near = closest_labels(open_values, "value", spelling, "known", cutoff).withColumnRenamed("label", "known")
+    near = near.join(spelling, "known").select(F.col("candidate").alias("value"), "label", F.lit(False).alias("exact"))
+    return lookup(exact.unionByName(near), "resolved")
+
+
+def _said(df: DataFrame, **found: Column) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the values found as ``_<name>``, and the distinct values alone."""
+    keyed = df.withColumns({f"_{name}": c for name, c in found.items()})
+    said = keyed.select(*[F.col(f"_{name}").alias(name) for name in found]).distinct()
+    return keyed, lookup(said, "said")
+
+
+def _decided(keyed: DataFrame, decided: DataFrame, *names: str) -> DataFrame:
+    """What was decided about distinct values, beside the rows that hold them."""
+    decided = lookup(decided.withColumnsRenamed({name: f"_said_{name}" for name in names}), "decided")
+    same = F.lit(True)
+    for name in names:
+        # Values are never empty, so the empty string can stand for none and the join has plain keys.
+        same &= F.coalesce(F.col(f"_{name}"), F.lit("")) == F.coalesce(F.col(f"_said_{name}"), F.lit(""))
+    return keyed.join(decided, same, "left")
+
+
 def parse_answers(
     df: DataFrame,
     raw: str,
-    labels: list[str],
+    labels: DataFrame | list[str],
     cutoff: float = FUZZY_CUTOFF,
     fold_case: bool = False,
 ) -> DataFrame:
@@ -35,53 +68,38 @@ def parse_answers(
     Candidates are lower-cased while the vocabulary is taken as it is, so a label
     with capitals is only reached through the closest match; ``fold_case`` folds
     the vocabulary as well and returns the label's own spelling.
-    """
-    spelling = {n.lower(): n for n in labels} if fold_case else {n: n for n in labels}
-    known = sorted(spelling)
-
-    def exact(c: str) -> Column:
-        return F.when(F.col(c).isin(known), F.col(c))
 
-    staged = (
-        df.withColumn("_anchored", F.lower(_found(raw, FLAT_ANCHOR, 1)))
-        .withColumn("_bare", F.lower(_found(raw, BARE_TOKEN, 0)))
-        .withColumn("_anchored_exact", exact("_anchored"))
-        .withColumn("_bare_exact", exact("_bare"))
-    )
-    open_anchor = F.when(F.col("_anchored_exact").isNull(), F.col("_anchored"))
-    open_bare = F.when(
-        F.col("_anchored_exact").isNull() & F.col("_bare_exact").isNull(), F.col("_bare")
-    )
-    searched = staged.withColumns(
-        {
-            "_anchored_near": closest_label(open_anchor, known, cutoff),
-            "_bare_near": closest_label(open_bare, known, cutoff),
-        }
+    ``labels`` is a table with a column ``label``.  What answers say is reduced to its
+    distinct values before any label is looked up, and joined again at the end.
+    """
+    table = label_table(df.sparkSession, labels)
+    known = F.lower("label") if fold_case else F.col("label")
+    spelling = lookup(table.groupBy(known.alias("known")).agg(F.max("label").alias("label")), "spelling")
+    keyed, said = _said(
+        df, anchored=F.lower(_found(raw, FLAT_ANCHOR, 1)), bare=F.lower(_found(raw, BARE_TOKEN, 0))
     )
-    order = [
-        ("_anchored_exact", "regex"),
-        ("_anchored_near", "fuzzy"),
-        ("_bare_exact", "bare"),
-        ("_bare_near", "fuzzy"),
-    ]
-    label = F.coalesce(*[F.col(c) for c, _ in order])
-    path = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(p)) for c, p in order], F.lit("none"))
-    if fold_case:
-        back = F.create_map(*[F.lit(x) for pair in spelling.items() for x in pair])
-        label = F.when(label.isNotNull(), F.element_at(back, label))
-    return searched.select(
+    by_anchor = _resolved(said.select(F.col("anchored").alias("value")), spelling, cutoff)
+    first = said.join(by_anchor, said["anchored"] == by_anchor["value"], "left").select("anchored", "bare", "label", "exact")
+    # The bare token counts only where the anchor gave nothing.
+    rest = first.where("label is null").select("anchored", "bare")
+    by_token = _resolved(rest.select(F.col("bare").alias("value")), spelling, cutoff)
+    second = rest.join(by_token, rest["bare"] == by_token["value"], "left").select("anchored", "bare", "label", "exact")
+    path = lambda exact: F.when(F.col("label").isNull(), "none").when(F.col("exact"), exact).otherwise("fuzzy")
+    decided = first.where("label is not null").withColumn("path", path("regex")).unionByName(second.withColumn("path", path("bare")))
+    decided = decided.drop("exact").withColumnsRenamed({"label": "_label", "path": "_path"})
+    return _decided(keyed, decided, "anchored", "bare").select(
         *df.columns,
-        label.alias("pred_intent"),
-        label.isNull().alias("parse_error"),
-        path.alias("parse_path"),
+        F.col("_label").alias("pred_intent"),
+        F.col("_label").isNull().alias("parse_error"),
+        F.col("_path").alias("parse_path"),
     )
 
 
 def parse_two_line_answers(
     df: DataFrame,
     raw: str,
-    categories: list[str],
-    labels: list[str],
+    categories: DataFrame | list[str],
+    labels: DataFrame | list[str],
     cutoff: float = FUZZY_CUTOFF,
     keep_unmatched: bool = True,
 ) -> DataFrame:
@@ -89,31 +107,29 @@ def parse_two_line_answers(
 
     An answer whose label has no close match is an error; ``keep_unmatched``
     still returns what it said, which then counts as a wrong prediction.
+    ``categories`` and ``labels`` are tables with a column ``label``.
     """
-    out = df.withColumn("_c", _found(raw, CATEGORY_ANCHOR, 1)).withColumn(
-        "_i", F.lower(_found(raw, INTENT_ANCHOR, 1))
-    )
-    vocabularies = {"_c": categories, "_i": labels}
-    out = out.withColumns(
-        {
-            f"{c}_near": closest_label(F.when(~F.col(c).isin(known), F.col(c)), known, cutoff)
-            for c, known in vocabularies.items()
-        }
+    keyed, said = _said(
+        df, category=_found(raw, CATEGORY_ANCHOR, 1), intent=F.lower(_found(raw, INTENT_ANCHOR, 1))
     )
-    resolved = {
-        c: F.coalesce(F.when(F.col(c).isin(known), F.col(c)), F.col(f"{c}_near"))
-        for c, known in vocabularies.items()
-    }
-    error = resolved["_c"].isNull() | resolved["_i"].isNull()
-
-    def shown(c: str) -> Column:
-        return F.coalesce(resolved[c], F.col(c)) if keep_unmatched else resolved[c]
-
-    return out.select(
+    out = said
+    for name, known in (("category", categories), ("intent", labels)):
+        table = label_table(df.sparkSession, known)
+        spelling = lookup(table.select(F.col("label").alias("known"), "label"), "spelling")
+        found = _resolved(said.select(F.col(name).alias("value")), spelling, cutoff)
+        found = found.select("value", F.col("label").alias(f"_{name}_label"))
+        out = out.join(found, F.col(name) == F.col("value"), "left").drop("value")
+    joined = _decided(keyed, out, "category", "intent")
+
+    def shown(name: str) -> Column:
+        label = F.col(f"_{name}_label")
+        return F.coalesce(label, F.col(f"_{name}")) if keep_unmatched else label
+
+    return joined.select(
         *df.columns,
-        shown("_c").alias("pred_category"),
-        shown("_i").alias("pred_intent"),
-        error.alias("parse_error"),
+        shown("category").alias("pred_category"),
+        shown("intent").alias("pred_intent"),
+        (F.col("_category_label").isNull() | F.col("_intent_label").isNull()).alias("parse_error"),
     )
 
 
@@ -127,10 +143,10 @@ def path_counts(parsed: DataFrame) -> DataFrame:
 
 
 def preflight(
-    df: DataFrame, raw: str, order: str, labels: list[str], n: int = 10, max_unparsed: int = 2
+    df: DataFrame, raw: str, order: str, labels: DataFrame | list[str], n: int = 10, max_unparsed: int = 2
 ) -> DataFrame:
     """Parse the first ``n`` answers only: path counts, and whether to go on."""
-    first = parse_answers(df.orderBy(order).limit(n), raw, labels)
+    first = parse_answers(stage(df.orderBy(order).limit(n), "first-answers"), raw, labels)
     return first.agg(
         *[F.count_if(F.col("parse_path") == p).alias(f"n_{p}") for p in PATHS],
         (F.count_if(F.col("parse_path") == "none") <= max_unparsed).alias("ok"),

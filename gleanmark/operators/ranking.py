@@ -11,6 +11,8 @@ have one row per group and quota and are written first, so their size is known.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ BUCKET_DIGITS = 3
 BUCKET_ROWS = 1_000_000
 # Digits of an order key; no further division helps beyond them.
 KEY_DIGITS = 32
+_PLACE_BITS = 33  # of monotonically_increasing_id, within a partition
 
 
 def cut_points(keyed: DataFrame, quotas: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -90,6 +93,24 @@ def _narrowed(keyed: DataFrame, found: DataFrame, digits: int) -> DataFrame:
     )
 
 
+def dense_ids(names: DataFrame, name: str, out: str, ranges: int = 0) -> DataFrame:
+    """``name, out``: the place from 0 of each row in the order of ``name``, which is distinct.
+
+    Ranges are sorted apart; a place is the rows of the ranges before and the place
+    within, so no window spans the table.
+    """
+    ranges = ranges or max(1, math.isqrt(names.count()) // 8)
+    ordered = names.select(name).repartitionByRange(ranges, name).sortWithinPartitions(name)
+    placed = stage(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    placed = placed.withColumn("_range", F.shiftright("_id", _PLACE_BITS))
+    sums = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    bases = lookup(sums.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")), "ranges")
+    within = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return placed.join(F.broadcast(bases), "_range").select(name, (F.col("_base") + within).alias(out))
+
+
 def pick_exact(
     df: DataFrame, hashes: dict[str, Column], counts: dict[str, Column]
 ) -> DataFrame:

@@ -1,11 +1,11 @@
 import random
 import re
-from difflib import get_close_matches
+from difflib import SequenceMatcher, get_close_matches
 
 import pytest
 from pyspark.sql import functions as F
 
-from gleanmark.functions.fuzzy import closest_label
+from gleanmark.operators import closest as cl
 from gleanmark.operators import parse as ps
 
 LABELS = ["card_arrival", "Refund_not_showing_up", "reverted_card_payment?", "lost_card", "top_up_failed", "exchange_rate"]
@@ -66,8 +66,8 @@ def test_labels_with_capitals_only_resolve_fuzzily(spark):
 
 
 def test_ties_go_to_the_greatest_label(spark):
-    labels = ["cat_a", "cat_b"]
-    assert frame(spark, ["cat_c"]).select(closest_label("raw", labels)).first()[0] == "cat_b"
+    labels = spark.createDataFrame([("cat_a",), ("cat_b",)], "label string")
+    assert cl.closest_labels(frame(spark, ["cat_c"]), "raw", labels).first()["label"] == "cat_b"
 
 
 def test_null_answer_is_unparsable(spark):
@@ -111,7 +111,61 @@ def test_failed_preflight_stops_the_job(spark):
     assert reparse_and_evaluate(df, LABELS, "i", raw="raw").rows.count() == 3
 
 
-def test_search_sees_only_what_it_must(spark):
-    """Rows with an exact label send the search a null."""
-    df = frame(spark, ["Intent: lost_card"] * 3).withColumn("x", F.lit(None).cast("string"))
-    assert [r[0] for r in df.select(closest_label("x", LABELS)).collect()] == [None] * 3
+def test_search_sees_only_what_it_must(spark, monkeypatch):
+    """What is a label itself is not searched, nor the bare token of an answer whose anchor gave a label."""
+    asked, search = [], ps.closest_labels
+
+    def spy(values, column, *args):
+        asked.append(sorted(r[0] for r in values.select(column).collect()))
+        return search(values, column, *args)
+
+    monkeypatch.setattr(ps, "closest_labels", spy)
+    values = ["Intent: lost_card", "intent: lost_crd", "so: lost_card", "xxx", None]
+    got = ps.parse_answers(frame(spark, values), "raw", LABELS).orderBy("i").collect()
+    assert [r["parse_path"] for r in got] == ["regex", "fuzzy", "none", "none", "none"]
+    assert asked == [["lost_crd"], ["so", "xxx"]]
+
+
+def _names(rng, n):
+    return sorted({"".join(rng.choice("abcdeé_") for _ in range(rng.randrange(1, 16))) for _ in range(n)})
+
+
+@pytest.mark.parametrize("salt_rows", [100_000, 7])
+def test_closest_of_two_thousand_labels(spark, salt_rows):
+    """As the library decides one by one, ties to the greatest label."""
+    rng = random.Random(11)
+    labels = _names(rng, 2100)[:2000]
+    asked = ["", "a", "é" * 40, "🙂a", "zzzz"] + [x[:-1] + rng.choice("abxyé") for x in rng.sample(labels, 60)] + ["".join(rng.sample(x, len(x))) for x in rng.sample(labels, 20)]
+    table = spark.createDataFrame([(x,) for x in [*labels, None, ""]], "label string")
+    found = cl.closest_labels(frame(spark, [*asked, None, *asked]), "raw", table, salt_rows=salt_rows)
+    got = {r["candidate"]: (r["label"], r["ratio"]) for r in found.collect()}
+    want = {x: get_close_matches(x, labels, n=1, cutoff=0.7) for x in asked}
+    assert {x: y[0] for x, y in got.items()} == {x: y[0] for x, y in want.items() if y} and len(got) > 60
+    assert all(r == SequenceMatcher(None, label, x).ratio() for x, (label, r) in got.items())
+
+
+def test_letters_prune_pairs_before_the_search(spark):
+    rng = random.Random(3)
+    names = lambda n: spark.createDataFrame([("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)),) for _ in range(n)], "name string").distinct()
+    labels, asked = names(1500), names(200)
+    assert cl.comparable_pairs(asked, labels).count() < 0.05 * 1500 * 200
+
+
+def test_labels_stay_out_of_the_plan(spark, tmp_path):
+    path = str(tmp_path / "labels")
+    spark.createDataFrame([(x,) for x in LABELS], "label string").write.parquet(path)
+    df = frame(spark, EDGES)
+    for parsed in (
+        ps.parse_answers(df, "raw", spark.read.parquet(path), fold_case=True),
+        ps.parse_two_line_answers(df, "raw", spark.read.parquet(path), spark.read.parquet(path)),
+    ):
+        text = parsed._jdf.queryExecution().toString()
+        assert not any(x in text.replace(path, "") for x in LABELS) and "Python" not in text
+
+
+def test_columns_named_like_the_values(spark):
+    df = frame(spark, ["Category: ORDER\nIntent: lost_card"]).selectExpr("*", "'x' as category", "'y' as intent", "'z' as label")
+    one = ps.parse_answers(df, "raw", LABELS)
+    assert tuple(one.first()) == (0, "Category: ORDER\nIntent: lost_card", "x", "y", "z", "lost_card", False, "regex")
+    two = ps.parse_two_line_answers(df, "raw", ["ORDER"], LABELS)
+    assert tuple(two.first())[5:] == ("ORDER", "lost_card", False)

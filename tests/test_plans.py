@@ -120,7 +120,7 @@ def test_python_runs_once_per_row(spark, tmp_path, written):
 
     df = table(spark, tmp_path)
     parsed = parse_answers(df, "text", ["abc"]).where("pred_intent is null and parse_path = 'none'")
-    assert plan(parsed).count("ArrowEvalPython") == 1
+    assert "ArrowEvalPython" not in plan(parsed)  # the search is over before the rows are joined
     assert plan(normalise_columns(drop_empty(df, "text"), ["text"])).count("ArrowEvalPython") == 1
     written.clear()
     cleaned = plan(clean_flat(df, split="split"))
