@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleanmark.catalog.inputs import documents, SQL_SPLIT_DOCUMENTS, split_documents, sql_words
+from gleanmark.catalog.inputs import documents, SQL_INJECTED, SQL_SPLIT_DOCUMENTS, SQL_WS, dirty, split_documents, sql_words
 from gleanmark.catalog.registry import query
 from gleanmark.operators import profile as pf
-from gleanmark.plans.profiling import corpus_summary, profile
+from gleanmark.plans.profiling import corpus_summary, profile, profile_cells, profile_facts
 from gleanmark.sources.tables import read_table
 
 LANGS = ["de", "en", "es", "fr"]
@@ -161,3 +161,62 @@ def profile_of_conversations(spark, d):
         )
         .unionByName(p.imbalance.select(F.lit("n_classes").alias("fact"), F.col("n_classes").alias("value")))
     )
+
+
+_SQL_FACTS = f"""{SQL_INJECTED},
+c AS (SELECT row_id, instruction AS text, intent AS label, category AS parent FROM dirty),
+t AS (SELECT *, coalesce(text, '') AS x FROM c),
+labels AS (SELECT label, count(*) AS n FROM c WHERE label IS NOT NULL GROUP BY 1),
+classes AS (SELECT label, parent, count(*) AS n FROM c WHERE label IS NOT NULL GROUP BY 1, 2),
+tag AS (SELECT coalesce(parent, '') AS tags, count(*) AS n FROM c GROUP BY 1),
+lengths AS (SELECT 'chars' AS measure, length(x)::BIGINT AS length FROM t UNION ALL SELECT 'words', {sql_words('x')} FROM t),
+stats AS (SELECT measure, {_SQL_STATS} FROM lengths GROUP BY measure),
+wide AS (SELECT measure, count::DOUBLE AS count, mean, std, min::DOUBLE AS min, p50, p90, p95, p99, max::DOUBLE AS max FROM stats),
+bounds AS (SELECT measure, min(length) AS low, max(length) AS high FROM lengths GROUP BY 1),
+binned AS (
+  SELECT measure, CASE WHEN high = low THEN 1 ELSE least((length - low) * 60 // (high - low) + 1, 60) END::BIGINT AS bin, count(*) AS n
+  FROM lengths JOIN bounds USING (measure) GROUP BY 1, 2),
+flags AS (
+  SELECT unnest(map_entries(MAP {{
+    'blank_text': NOT regexp_matches(x, '[^{SQL_WS[1:-1]}]'), 'edge_whitespace': regexp_matches(x, '^{SQL_WS}') OR regexp_matches(x, '{SQL_WS}$'),
+    'leading': regexp_matches(x, '^{SQL_WS}'), 'trailing': regexp_matches(x, '{SQL_WS}$'), 'multi_space': contains(x, '  '),
+    'has_tab': contains(x, chr(9)), 'has_newline': contains(x, chr(10)), 'non_ascii': strlen(x) <> length(x),
+    'mojibake': regexp_matches(x, 'Ã.|â€.|Â.|ï»¿'), 'very_short': length(x) < 10, 'very_long': length(x) > 300}})) AS e
+  FROM t),
+nulls AS (
+  SELECT unnest(map_entries(MAP {{
+    'row_id': row_id IS NULL, 'text': text IS NULL, 'label': label IS NULL, 'parent': parent IS NULL,
+    '(any)': row_id IS NULL OR text IS NULL OR label IS NULL OR parent IS NULL}})) AS e
+  FROM c)
+SELECT 'n_rows' AS fact, count(*)::DOUBLE AS value FROM c
+UNION ALL SELECT 'duplicate_rows', (SELECT count(*) FROM c) - (SELECT count(*) FROM (SELECT DISTINCT * FROM c))
+UNION ALL SELECT 'duplicate_text_label', (SELECT count(*) FROM c) - (SELECT count(*) FROM (SELECT DISTINCT text, label FROM c))
+UNION ALL SELECT 'duplicate_text', (SELECT count(*) FROM c) - (SELECT count(*) FROM (SELECT DISTINCT text FROM c))
+UNION ALL SELECT 'null.' || e.key, count(*) FILTER (WHERE e.value) FROM nulls GROUP BY 1
+UNION ALL SELECT 'flag.' || e.key, count(*) FILTER (WHERE e.value) FROM flags GROUP BY 1
+UNION ALL SELECT 'classes.' || name, value FROM (
+  SELECT count(*)::DOUBLE AS n_classes, round(avg(n), 4) AS mean, round(stddev_samp(n), 4) AS std, round(quantile_cont(n, 0.5), 4)::DOUBLE AS median,
+    min(n)::DOUBLE AS min, max(n)::DOUBLE AS max, round(max(n) / greatest(min(n), 1), 2) AS ratio, (count(*) FILTER (WHERE n < 9))::DOUBLE AS n_too_small,
+    round(min(n) * 0.12::DOUBLE, 2) AS expected_of_rarest FROM labels)
+  UNPIVOT (value FOR name IN (n_classes, mean, std, median, min, max, ratio, n_too_small, expected_of_rarest))
+UNION ALL SELECT measure || '.' || name, value FROM wide UNPIVOT (value FOR name IN (count, mean, std, min, p50, p90, p95, p99, max))
+UNION ALL SELECT 'words.tokens_' || name, round(value * 1.3::DOUBLE, 1) FROM wide UNPIVOT (value FOR name IN (p95, p99, max)) WHERE measure = 'words'
+UNION ALL SELECT 'tags.n_distinct', count(*) FROM tag
+UNION ALL SELECT 'tags.n_empty', coalesce(sum(n) FILTER (WHERE tags = ''), 0) FROM tag
+UNION ALL SELECT 'tags.' || tags, n FROM tag
+UNION ALL SELECT 'letter.' || letter, sum(n) FROM (SELECT unnest(string_split(tags, '')) AS letter, n FROM tag) WHERE trim(letter) <> '' GROUP BY 1
+UNION ALL SELECT 'label.' || label, n FROM labels
+UNION ALL SELECT 'label.' || label || '.fraction', round(n / sum(n) OVER (), 6) FROM labels
+UNION ALL SELECT 'class.' || label || '|' || parent, n FROM classes
+UNION ALL SELECT 'parents.' || label, count(parent) FROM classes GROUP BY 1
+UNION ALL SELECT measure || '.bin.' || bin, n FROM binned
+UNION ALL SELECT measure || '.bin.' || bin || '.fraction', round(n / sum(n) OVER (PARTITION BY measure), 6) FROM binned"""
+
+
+@query(f"WITH {_SQL_FACTS}")
+def all_facts_of_a_corpus(spark, d):
+    """Nulls, audit, repeats, classes, parents, lengths, bins, tokens, tags and letters of a corpus with defects."""
+    corpus = dirty(spark, d).select(
+        "row_id", F.col("instruction").alias("text"), F.col("intent").alias("label"), F.col("category").alias("parent")
+    )
+    return profile_facts(profile_cells(corpus, "text", "label", "parent", tags="parent"))

@@ -22,8 +22,12 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def class_fractions(df: DataFrame, label: str) -> DataFrame:
+    return fractions_of(class_counts(df, label), label)
+
+
+def fractions_of(counts: DataFrame, label: str) -> DataFrame:
     total = F.sum("n").over(Window.partitionBy())
-    return class_counts(df, label).select(label, "n", F.round(F.col("n") / total, 6).alias("fraction"))
+    return counts.select(label, "n", F.round(F.col("n") / total, 6).alias("fraction"))
 
 
 def top_classes(df: DataFrame, label: str, k: int, smallest: bool = False) -> DataFrame:
@@ -34,7 +38,11 @@ def top_classes(df: DataFrame, label: str, k: int, smallest: bool = False) -> Da
 
 def imbalance(df: DataFrame, label: str) -> DataFrame:
     """One row: classes, least and greatest count, and their ratio (denominator at least 1)."""
-    return class_counts(df, label).agg(
+    return imbalance_of(class_counts(df, label))
+
+
+def imbalance_of(counts: DataFrame) -> DataFrame:
+    return counts.agg(
         F.count("*").alias("n_classes"),
         F.min("n").alias("min_n"),
         F.max("n").alias("max_n"),
@@ -44,7 +52,11 @@ def imbalance(df: DataFrame, label: str) -> DataFrame:
 
 def class_count_stats(df: DataFrame, label: str) -> DataFrame:
     """One row over the class counts: number, mean, sample deviation, median, min, max."""
-    return class_counts(df, label).agg(
+    return count_stats_of(class_counts(df, label))
+
+
+def count_stats_of(counts: DataFrame) -> DataFrame:
+    return counts.agg(
         F.count("*").alias("n_classes"),
         round4(F.avg("n")).alias("mean"),
         round4(F.stddev_samp("n")).alias("std"),
@@ -58,7 +70,11 @@ def split_feasibility(
     df: DataFrame, label: str, fraction: float = 0.12, least: int = MIN_ROWS_FOR_SPLIT
 ) -> DataFrame:
     """Classes too small to reach the held-out part, and the rarest class's expected share."""
-    return class_counts(df, label).agg(
+    return feasibility_of(class_counts(df, label), fraction, least)
+
+
+def feasibility_of(counts: DataFrame, fraction: float = 0.12, least: int = MIN_ROWS_FOR_SPLIT) -> DataFrame:
+    return counts.agg(
         F.count("*").alias("n_classes"),
         F.count_if(F.col("n") < least).alias("n_too_small"),
         F.min("n").alias("min_n"),
@@ -115,6 +131,11 @@ def length_profile(df: DataFrame, lengths: dict[str, Column], by: Sequence[str]
 
     Exact (linear interpolation), from the length histogram.
     """
+    return profile_of_histogram(length_histogram(df, lengths, by), by)
+
+
+def profile_of_histogram(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same from ``(*by, measure, length, n)``."""
     n = F.sum("n")
     total = F.sum(F.col("n") * F.col("length"))
     squares = F.sum((F.col("n") * F.col("length") * F.col("length")).cast("decimal(38,0)"))
@@ -124,8 +145,7 @@ def length_profile(df: DataFrame, lengths: dict[str, Column], by: Sequence[str]
     variance = spread / n / F.nullif(n - 1, F.lit(0))
     marks = F.percentile("length", list(PERCENTILES.values()), F.col("n"))
     stats = (
-        length_histogram(df, lengths, by)
-        .groupBy(*by, "measure")
+        histogram.groupBy(*by, "measure")
         .agg(
             n.alias("count"),
             round4(total / n).alias("mean"),
@@ -155,7 +175,11 @@ def fixed_bin_histogram(
     ``(*by, measure, bin, n, density)``; bins count from 1, the last one includes
     the maximum, and empty bins are left out.
     """
-    exact = length_histogram(df, lengths, by)
+    return bins_of_histogram(length_histogram(df, lengths, by), bins, by)
+
+
+def bins_of_histogram(exact: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
+    """The same from ``(*by, measure, length, n)``."""
     low = F.min("length").over(Window.partitionBy("measure"))
     high = F.max("length").over(Window.partitionBy("measure"))
     group = Window.partitionBy(*by, "measure")
