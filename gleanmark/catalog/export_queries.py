@@ -16,6 +16,7 @@ from gleanmark.catalog.inputs import (
     sql_digit,
 )
 from gleanmark.catalog.registry import query
+from gleanmark.operators import expectations as ex
 from gleanmark.operators import instruct as ins
 from gleanmark.operators import report as rp
 from gleanmark.operators.audit import as_long, audit, flat_counters
@@ -24,6 +25,7 @@ from gleanmark.plans.export import export_instructions, instruction_lines
 from gleanmark.session import scratch_path
 from gleanmark.sources import csvfiles, jsonl, tables
 from gleanmark.sources import runs as rn
+from gleanmark.sources import variants as vr
 from gleanmark.sources.tables import read_table
 
 SPLITS = ["train", "val", "test"]
@@ -183,6 +185,66 @@ def unparsable_lines(spark, d):
     return jsonl.check_json_lines(spark, path).select("line")
 
 
+@query(f"""WITH lines AS (
+  SELECT doc_id, doc_id % 8 AS part, CASE WHEN {sql_digit('cut', 'doc_id')} < 2 THEN substr(line, 1, length(line) - 2) ELSE line END AS line FROM (
+    SELECT doc_id, to_json({{'instruction': {_sql_text(ins.FLAT_TASK)}, 'input': text, 'output': 'Intent: ' || source}})::VARCHAR AS line FROM documents))
+SELECT line_number, line FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id) AS line_number FROM lines) WHERE NOT json_valid(line)""")
+def unparsable_line_numbers(spark, d):
+    """The same from eight files in the order of their ids: which line of its file is broken."""
+    lines = instruction_lines(documents(spark, d), ins.flat_record("text", "source"), "doc_id")
+    cut = F.when(digit("cut", "doc_id") < 2, F.expr("left(line, char_length(line) - 2)")).otherwise(F.col("line"))
+    path = scratch_path(spark, "numbered-lines")
+    dealt = lines.select("doc_id", cut.alias("value"), (F.col("doc_id") % 8).cast("int").alias("part"))
+    # One task, and so one file, for each part.
+    dealt.repartitionById(8, F.col("part")).sortWithinPartitions("part", "doc_id").select("value", "part").write.partitionBy("part").text(path)
+    return jsonl.check_json_lines(spark, f"{path}/*").select("line_number", "line")
+
+
+@query("""WITH asked(c) AS (VALUES ('doc_id'), ('text'), ('label_name'), ('source'), ('TEXT')),
+held AS (SELECT column_name FROM (DESCRIBE documents))
+SELECT c AS "column", c IN (SELECT column_name FROM held) AS present FROM asked""")
+def required_columns(spark, d):
+    return ex.column_presence(documents(spark, d), ["doc_id", "text", "label_name", "source", "TEXT"])
+
+
+# A log whose lines have no common shape: a key of its own for each kind of event.
+def _odd_log(spark, d):
+    kind, k = F.col("event_type"), F.col("event_id") % 10
+    line = (
+        F.when(k == 0, F.concat(F.lit('{"note": "'), kind, F.lit('"}')))
+        .when(k == 1, F.lit("not json"))
+        .when(k == 2, F.concat(F.lit('{"'), kind, F.lit('": {"at": '), F.col("event_id"), F.lit(', "props": '), F.col("props"), F.lit("}}")))
+        .when(k == 3, F.concat(F.lit('{"'), kind, F.lit('": "'), kind, F.lit('"}')))
+        .when(k == 4, F.lit(" "))
+        .otherwise(F.concat(F.lit('{"'), kind, F.lit('": '), F.col("event_id"), F.lit("}")))
+    )
+    path = scratch_path(spark, "odd-log")
+    tables.read_table(spark, d, "events").select(line.alias("value")).write.text(path)
+    return vr.read_lines(spark, path)
+
+
+@query("""SELECT CASE WHEN event_id % 10 = 0 THEN 'note' ELSE event_type END AS key,
+  CASE WHEN event_id % 10 IN (0, 3) THEN 'STRING' WHEN event_id % 10 = 2 THEN 'OBJECT<at: BIGINT, props: OBJECT<k: BIGINT>>' ELSE 'BIGINT' END AS type, count(*) AS n
+FROM events WHERE event_id % 10 NOT IN (1, 4) GROUP BY ALL""")
+def keys_of_an_unknown_log(spark, d):
+    """Which keys the lines have, and of which types; nobody named them."""
+    return vr.keys_found(_odd_log(spark, d))
+
+
+@query("""SELECT count(*) AS n_lines, count(*) FILTER (WHERE event_type = 'click' AND event_id % 10 > 4) AS n_plain,
+  sum(event_id) FILTER (WHERE event_type = 'click' AND event_id % 10 > 4)::BIGINT AS sum_plain,
+  sum((props->>'$.k')::BIGINT) FILTER (WHERE event_type = 'click' AND event_id % 10 = 2)::BIGINT AS sum_k
+FROM events WHERE event_id % 10 <> 4""")
+def values_of_a_key_found(spark, d):
+    """A key that was found in the log, read by its path as a number and as an object."""
+    log = _odd_log(spark, d)
+    key = vr.keys_found(log).where("key like 'cl%'").agg(F.min("key")).first()[0]
+    found = vr.extracted(log, {"plain": (f"$.{key}", "bigint"), "k": (f"$.{key}.props.k", "bigint")})
+    return found.agg(
+        F.count("*").alias("n_lines"), F.count("plain").alias("n_plain"), F.sum("plain").alias("sum_plain"), F.sum("k").alias("sum_k")
+    )
+
+
 @query(f"""WITH {SQL_SPLIT_DOCUMENTS}
 SELECT true AS same_schema, count(*)::BIGINT AS n_written, count(*)::BIGINT AS n_read, true AS ok FROM split_documents""")
 def parquet_splits_verified(spark, d):

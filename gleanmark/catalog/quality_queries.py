@@ -24,6 +24,7 @@ from gleanmark.operators.dedup import keep_first
 from gleanmark.operators.evaluate import error_rows
 from gleanmark.operators.expectations import expectations
 from gleanmark.plans import cleaning as cl
+from gleanmark.session import stage
 from gleanmark.sources.tables import read_table
 
 _FLAT_SQL = """
@@ -114,8 +115,6 @@ SELECT metric, max(value) FILTER (WHERE side = 'all_before')::BIGINT AS all_befo
        max(value) FILTER (WHERE side = 'all_after')::BIGINT AS all_after
 FROM long GROUP BY metric""")
 def audit_before_and_after_cleaning(spark, d):
-    from gleanmark.session import stage
-
     before = stage(dirty(spark, d), "dirty")
     after = cl.clean_hierarchical(before, text_cap=TEXT_CAP, response_cap=RESPONSE_CAP)
     counters = _hier_counters()
@@ -187,6 +186,24 @@ def shape_and_types(spark, d):
 # --- cleaning ----------------------------------------------------------------------
 
 
+@query(f"""WITH {SQL_TAGGED},
+sides AS (SELECT 'crossed' AS corpus, intent, category FROM cleaned UNION ALL SELECT 'nested', category || '/' || intent, category FROM cleaned),
+parents AS (SELECT corpus, intent, count(DISTINCT category) AS n FROM sides GROUP BY ALL)
+SELECT corpus, count(*) AS n_labels, count(*) FILTER (WHERE n > 1) AS n_violations, min(intent) FILTER (WHERE n > 1) AS first_violation,
+  count(*) FILTER (WHERE n > 1) = 0 AS ok FROM parents GROUP BY corpus""")
+def hierarchy_gate_after_cleaning(spark, d):
+    """The last step of cleaning, on a corpus whose labels cross categories and on one whose labels do not."""
+    crossed = cl.clean_hierarchical(dirty(spark, d), text_cap=TEXT_CAP, response_cap=RESPONSE_CAP)
+    crossed = stage(crossed.select("intent", "category"), "cleaned-labels")
+    nested = crossed.withColumn("intent", F.concat_ws("/", "category", "intent"))
+    gates = {"crossed": crossed, "nested": nested}
+    out = None
+    for name, rows in gates.items():
+        part = cl.hierarchy_gate(rows).withColumn("corpus", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query(f"WITH {SQL_TAGGED} SELECT * FROM cleaned")
 def hierarchical_cleaning(spark, d):
     return cl.clean_hierarchical(dirty(spark, d), text_cap=TEXT_CAP, response_cap=RESPONSE_CAP)

@@ -29,6 +29,7 @@ from gleanmark.catalog.inputs import (
 from gleanmark.catalog.registry import query
 from gleanmark.operators import closest as cl
 from gleanmark.operators import evaluate as ev
+from gleanmark.operators import fingerprints as fp
 from gleanmark.operators import labelspace as ls
 from gleanmark.operators import parse as ps
 from gleanmark.operators import report as rp
@@ -240,15 +241,17 @@ def nearest_labels(spark, d):
     return asked.join(found, asked["typo"] == found["candidate"], "left").select("doc_id", F.col("label").alias("nearest"))
 
 
-# A brand without its last digit is as close to every brand that has the other one.
+# A brand whose number is illegible is as close to every brand with a number of one digit.
 @query("""WITH brands AS (SELECT DISTINCT p_brand AS brand FROM part),
-cut AS (SELECT p_partkey, p_brand[:-2] AS written FROM part)
-SELECT p_partkey, written, (SELECT max(brand) FROM brands WHERE strpos(substr(brand, 7), substr(written, 7)) > 0) AS nearest, round(14 / 15, 4) AS ratio
-FROM cut""")
+shortest AS (SELECT max(brand) AS brand FROM brands WHERE length(brand) = (SELECT min(length(brand)) FROM brands)),
+blurred AS (SELECT p_partkey, 'Brand#' || repeat('x', (p_partkey % 3)::INT + 1) AS written FROM part)
+SELECT p_partkey, written, brand AS nearest, round(12 / (length(written) + length(brand)), 4) AS ratio
+FROM blurred, shortest WHERE 12 / (length(written) + length(brand)) >= 0.7""")
 def nearest_labels_with_ties(spark, d):
     """Of many equally close labels the greatest is the answer."""
-    part = read_table(spark, d, "part").select("p_partkey", F.expr("substr(p_brand, 1, length(p_brand) - 1)").alias("written"), "p_brand")
-    found = cl.closest_labels(part, "written", part.select("p_brand"), "p_brand")
+    part = read_table(spark, d, "part").select("p_partkey", "p_brand")
+    part = part.withColumn("written", F.concat(F.lit("Brand#"), F.repeat(F.lit("x"), (F.col("p_partkey") % 3 + 1).cast("int"))))
+    found = cl.closest_labels(part, "written", part, "p_brand")
     return part.join(found, part["written"] == found["candidate"]).select(
         "p_partkey", "written", F.col("label").alias("nearest"), F.round("ratio", 4).alias("ratio")
     )
@@ -317,11 +320,14 @@ def _runs(spark, d):
     )
     seconds = _training_seconds(spark, d)
     rule = F.col("model") == "rules"
-    documents = both.join(latency, "model").join(seconds, "model").select(
+    # Every run names the rows that it was tested on.
+    tested = predictions(spark, d).where("split = 'test'").select("dataset", "model", "row_id", "text", "true_label")
+    hashes = rp.content_fingerprint(tested, ["dataset", "model"]).drop("n_rows")
+    documents = both.join(latency, "model").join(seconds, "model").join(hashes, ["dataset", "model"]).select(
         F.concat_ws("_", "model", "dataset").alias("run_id"),
         "dataset",
         "model",
-        F.md5("dataset").alias("test_set_hash"),
+        F.col("fingerprint").alias("test_set_hash"),
         "n_samples",
         F.when(F.col("model") != "forest", F.col("seconds")).alias("training_wallclock_seconds"),
         F.struct("intent", "intent_val").alias("metrics"),
@@ -427,12 +433,66 @@ def ship_decisions(spark, d):
     return rp.ship_decision(_runs(spark, d))
 
 
-@query(f"""WITH {SQL_PREDICTIONS}
-SELECT dataset, count(DISTINCT model) AS n_runs, 1::BIGINT AS n_fingerprints, true AS ok FROM predictions GROUP BY 1""")
+@query(f"""WITH {SQL_PREDICTIONS},
+hashed AS (
+  SELECT dataset, model, sha256(length(row_id::VARCHAR) || ':' || row_id || '|' || length(text) || ':' || text || '|' || length(true_label) || ':' || true_label) AS h
+  FROM predictions WHERE split = 'test'),
+prints AS (
+  SELECT dataset, model, sum(('0x' || substr(h, 1, 8))::BIGINT)::BIGINT || '-' || sum(('0x' || substr(h, 9, 8))::BIGINT)::BIGINT || '-' ||
+    sum(('0x' || substr(h, 17, 8))::BIGINT)::BIGINT || '-' || sum(('0x' || substr(h, 25, 8))::BIGINT)::BIGINT AS p FROM hashed GROUP BY ALL)
+SELECT dataset, count(*) AS n_runs, count(DISTINCT p) AS n_fingerprints, count(DISTINCT p) = 1 AS ok FROM prints GROUP BY 1""")
 def fingerprints_of_runs_agree(spark, d):
+    """Do the runs of a data set name the same test rows?  Each names the fingerprint of its own."""
     return rp.fingerprints_agree(_runs(spark, d))
 
 
+@query(f"""WITH {SQL_PREDICTIONS},
+first AS (SELECT row_id, true_label FROM predictions WHERE split = 'test' AND dataset = 'events' AND model = 'linear')
+SELECT row_id, CASE WHEN row_id = (SELECT min(row_id) FROM first) THEN 'only_first' ELSE 'changed' END AS change
+FROM first WHERE row_id IN ((SELECT min(row_id) FROM first), (SELECT max(row_id) FROM first))
+UNION ALL SELECT -1, 'only_second'""")
+def rows_that_differ_between_runs(spark, d):
+    """Two runs' test rows, of which one is changed, one missing and one new: the trees of fingerprints lead to them."""
+    first = event_predictions(spark, d).where("split = 'test'").select("row_id", "text", "true_label")
+    ends = first.agg(F.min("row_id").alias("low"), F.max("row_id").alias("high")).first()
+    new = F.when(F.col("row_id") == ends["high"], F.lit("view?")).otherwise(F.col("true_label"))
+    second = first.where(F.col("row_id") != ends["low"]).withColumn("true_label", new)
+    second = second.unionByName(spark.createDataFrame([(-1, "{}", "view")], "row_id long, text string, true_label string"))
+    paths = [scratch_path(spark, "test-rows") for _ in range(2)]
+    for rows, path in zip((first, second), paths):
+        fp.write_fingerprinted(rows, ["row_id"], path)
+    return fp.differing_rows(first, ["row_id"], *paths)
+
+
+@query(f"""WITH {_SQL_RUNS},
+runs AS (SELECT model || '_' || dataset AS run_id, model FROM t_avg),
+fields(field) AS (VALUES ('run_id'), ('test_set_hash'), ('metrics'), ('latency'), ('resources'))
+SELECT run_id, field, NOT (field = 'latency' AND model = 'forest') AS ok FROM runs, fields""")
+def run_required_fields(spark, d):
+    """The forest's documents state no latency."""
+    runs = _runs(spark, d).withColumn("latency", F.when(F.col("model") != "forest", F.col("latency")))
+    return rp.required_fields(runs, ["run_id", "test_set_hash", "metrics", "latency", "resources"])
+
+
+@query(f"""WITH {_SQL_RUNS}
+SELECT dataset, model, 'test_macro_f1' AS metric, round(t.macro_f1 - 0.1, 4) AS cell, t.macro_f1 AS source FROM t_avg t WHERE model = 'linear'
+UNION ALL SELECT dataset, model, 'inference_p95_ms', p95_ms + 1, p95_ms FROM t_avg JOIN durations USING (model) WHERE model = 'rules'""")
+def consolidated_differences(spark, d):
+    """A summary in which two cells were changed, against what the documents state."""
+    from gleanmark.plans.consolidation import consolidate
+
+    runs = _runs(spark, d)
+    of = lambda model, new, c: F.when(F.col("model") == model, new).otherwise(F.col(c)).alias(c)
+    summary = rp.run_summary(runs)
+    changed = summary.withColumns(
+        {
+            "test_macro_f1": of("linear", F.round(F.col("test_macro_f1") - 0.1, 4), "test_macro_f1"),
+            "inference_p95_ms": of("rules", F.col("inference_p95_ms") + 1, "inference_p95_ms"),
+        }
+    )
+    return consolidate(runs, list(MODELS), ["linear"], "linear", "orders", summary=changed).differences
+
+
 @query(f"""WITH {_SQL_RUNS}
 SELECT 'summary' AS part, count(*) AS n FROM t_avg
 UNION ALL SELECT 'differences', 0 UNION ALL SELECT 'comparison', count(*) FROM t_cls WHERE dataset = 'orders' AND model = 'rules'

@@ -16,6 +16,12 @@ def expect_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df
 
 
+def column_presence(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``column, present`` for every required column, as a report."""
+    held = [(c, c in df.columns) for c in required]
+    return df.sparkSession.createDataFrame(held, "column string, present boolean")
+
+
 def expectations(df: DataFrame, checks: dict[str, tuple[Column, int]]) -> DataFrame:
     """``name, observed, expected, ok`` from one aggregate over ``df``."""
     rows = [

@@ -16,6 +16,8 @@ from gleanmark.functions import text as tx
 from gleanmark.functions.keys import content_key
 from gleanmark.operators.audit import INSTRUCTION_CAP, RESPONSE_CAP
 from gleanmark.operators.dedup import repeated_keys
+from gleanmark.operators.expectations import stop_unless_met
+from gleanmark.operators.profile import parents_of
 from gleanmark.session import lookup, stage
 
 HIERARCHICAL_STEPS = [
@@ -128,9 +130,32 @@ def _fates(keyed: DataFrame, row_id: str, label: str) -> DataFrame:
     )
 
 
-def clean_hierarchical(df: DataFrame, **columns) -> DataFrame:
-    """The rows that pass every step, cleaned."""
-    return tag_hierarchical(df, **columns).where("failed_step is null").drop("failed_step")
+def hierarchy_gate(cleaned: DataFrame, label: str = "intent", category: str = "category") -> DataFrame:
+    """One row: labels, those under more than one category, the first of them, and whether there is none."""
+    parents = parents_of(cleaned, label, category)
+    several = F.col("n_parents") > 1
+    return parents.agg(
+        F.count("*").alias("n_labels"),
+        F.count_if(several).alias("n_violations"),
+        F.min(F.when(several, F.col(label))).alias("first_violation"),
+        (F.count_if(several) == 0).alias("ok"),
+    )
+
+
+def clean_hierarchical(
+    df: DataFrame, label: str = "intent", category: str = "category", enforced: bool = False, **columns
+) -> DataFrame:
+    """The rows that pass every step, cleaned.
+
+    ``enforced`` adds the last step: the job stops if a label of the cleaned rows lies
+    under more than one category.  The rows are written first, so cleaning runs once.
+    """
+    tagged = tag_hierarchical(df, label=label, category=category, **columns)
+    cleaned = tagged.where("failed_step is null").drop("failed_step")
+    if enforced:
+        cleaned = stage(cleaned, "cleaned")
+        stop_unless_met(hierarchy_gate(cleaned, label, category))
+    return cleaned
 
 
 def cleaning_log(tagged: DataFrame, steps: list[str], by: list[str] | None = None) -> DataFrame:

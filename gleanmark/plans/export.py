@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from gleanmark.operators.instruct import json_line
+from gleanmark.operators.expectations import stop_unless_met
+from gleanmark.operators.instruct import anchor_presence, json_line
 from gleanmark.operators.profile import first_per_split
 from gleanmark.sources.jsonl import check_json_lines, write_json_lines
 from gleanmark.sources.tables import count_per_split
@@ -26,11 +27,17 @@ def export_instructions(
     split: str = "split",
     limit: int | None = None,
     row_id: str | None = None,
+    rendered: Column | None = None,
+    anchor: str | None = None,
 ) -> Export:
     """Write one folder of JSON lines per split; returns counts and unparsable lines.
 
-    ``limit`` keeps the first rows of each split, for smoke runs.
+    ``limit`` keeps the first rows of each split, for smoke runs.  With ``rendered`` (the
+    training text of a row) and ``anchor`` the export stops, before anything is written,
+    if a text lacks the anchor behind which its answer begins.
     """
+    if anchor is not None:
+        stop_unless_met(anchor_presence(df, rendered, anchor, row_id))
     if limit is not None:
         df = first_per_split(df, split, row_id, limit)
     records = df.select(record.alias("record"), split)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanmark.schemas import RUN
 
+_MANIFEST = "section string, version string"
+
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """One row per nested run document, with the file it came from."""
@@ -20,22 +25,23 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 def write_report(report: DataFrame, path: str, section: str) -> None:
     """Replace one section of a long-form report and leave the others as they are.
 
-    ``report`` is ``dataset, split, metric, value``; sections are folders, and only
-    the folder of this section is overwritten.
+    ``report`` is ``dataset, split, metric, value``.  The new version is written beside
+    the old one, and only when it is complete a row of the manifest names it.  A job that
+    fails before that leaves the old version in place; what it wrote is never read.
     """
-    (
-        report.withColumn("section", F.lit(section))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("section")
-        .parquet(path)
-    )
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    report.write.parquet(f"{path}/data/section={section}/version={version}")
+    entry = report.sparkSession.createDataFrame([(section, version)], _MANIFEST)
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(
-        "dataset string, split string, metric string, value double, section string"
-    ).parquet(path)
+    """``dataset, split, metric, value, section`` of the last complete version of each section."""
+    last = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest").groupBy("section").agg(F.max("version").alias("version"))
+    kinds = "dataset string, split string, metric string, value double, section string, version string"
+    versions = spark.read.schema(kinds).parquet(f"{path}/data")
+    # One row per section, so folders of other versions are pruned when the job runs.
+    return versions.join(F.broadcast(last), ["section", "version"]).select("dataset", "split", "metric", "value", "section")
 
 
 def report_as_json(report: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import unicodedata
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanmark.operators import audit as au
@@ -147,3 +148,15 @@ def test_before_after_report(spark, rows):
     report = au.before_after(au.audit(df, counters, ["split"]), au.audit(after, counters, ["split"]), list(counters), "split")
     assert report.columns == ["metric", "test_after", "test_before", "train_after", "train_before"]
     assert rows(report) == [("edge_whitespace", 0, 0, 0, 1), ("n_rows", 1, 1, 1, 1)]
+
+
+def test_cleaning_stops_on_a_label_under_two_categories(spark):
+    rows = [(i, f"text {i}", f"r{i}", "A" if i % 2 else "B", f"l{i % 3}") for i in range(12)]
+    crossed = spark.createDataFrame(rows, "row_id int, instruction string, response string, category string, intent string")
+    nested = crossed.withColumn("intent", F.concat("category", "intent"))
+    gate = cl.hierarchy_gate(cl.clean_hierarchical(crossed)).first()
+    assert tuple(gate) == (3, 3, "l0", False)
+    assert tuple(cl.hierarchy_gate(cl.clean_hierarchical(nested)).first()) == (6, 0, None, True)
+    with pytest.raises(ValueError, match="first_violation"):
+        cl.clean_hierarchical(crossed, enforced=True)
+    assert cl.clean_hierarchical(nested, enforced=True).count() == 12

@@ -170,3 +170,37 @@ def test_crosstab_and_feasibility(spark, rows):
     assert rows(pf.crosstab(df, "c", "l", ["x"])) == [("a", 9, 0), ("b", 0, 2)]
     got = pf.split_feasibility(df, "l").first()
     assert (got["n_too_small"], got["expected_of_rarest"], got["feasible"]) == (1, 0.24, False)
+
+
+def test_rows_that_differ_are_found_from_the_root_down(spark, tmp_path, rows):
+    from gleanmark.operators import fingerprints as fp
+
+    first = spark.range(3000).selectExpr("id", "concat('text ', id) as text", "if(id % 7 = 0, null, id) as n")
+    second = (
+        first.where("id not in (5, 2999)").withColumn("text", F.expr("if(id = 1234, 'other', text)"))
+        .unionByName(spark.createDataFrame([(9000, "new", 1), (77, "text 77", None)], "id long, text string, n long"))
+    )
+    paths = [str(tmp_path / name) for name in "abc"]
+    for df, path in zip((first, second, first.repartition(3)), paths):
+        fp.write_fingerprinted(df, ["id"], path)
+    assert rows(fp.differing_rows(first, ["id"], *paths[:2])) == sorted(
+        [(5, "only_first"), (2999, "only_first"), (1234, "changed"), (77, "changed"), (9000, "only_second")], key=repr
+    )
+    buckets = fp.differing_buckets(spark, *paths[:2])
+    assert buckets.count() == 5
+    assert fp.differing_rows(first, ["id"], paths[0], paths[2]).count() == 0
+    plan = fp.differing_rows(first, ["id"], *paths[:2])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [_folder" in plan
+
+
+def test_consolidation_names_cells_that_the_documents_do_not_state(spark):
+    from gleanmark.operators import report as rp
+    from gleanmark.plans.consolidation import CHECKED
+
+    runs = spark.createDataFrame(
+        [("d", "m", 0.5)], "dataset string, model string, x double"
+    ).selectExpr("dataset", "model", "named_struct('intent', named_struct('accuracy', x, 'macro_f1', x), 'intent_val', named_struct('accuracy', x, 'macro_f1', x)) as metrics", "named_struct('p50_ms', 1.0D, 'p95_ms', 2.0D) as latency")
+    summary = rp.document_cells(runs, CHECKED)
+    assert rp.cross_check(summary, summary, ["dataset", "model"], list(CHECKED)).count() == 0
+    changed = summary.withColumn("test_acc", F.lit(0.6))
+    assert [tuple(r) for r in rp.cross_check(changed, summary, ["dataset", "model"], list(CHECKED)).collect()] == [("d", "m", "test_acc", 0.6, 0.5)]

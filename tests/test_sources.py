@@ -197,3 +197,53 @@ def test_hierarchical_record(spark):
     df = spark.createDataFrame([("t", "order", "Cancel_Order")], "t string, c string, l string")
     record = df.select(ins.hierarchical_record("t", "c", "l").alias("r")).first()["r"]
     assert record["output"] == "Category: ORDER\nIntent: cancel_order" and record["input"] == "t"
+
+
+def test_a_failed_write_leaves_the_old_section_readable(spark, tmp_path, rows):
+    path = str(tmp_path / "report")
+    old = spark.createDataFrame([("d", "train", "n", 1.0)], "dataset string, split string, metric string, value double")
+    rn.write_report(old, path, "eda")
+    half = spark.range(0, 4, 1, 4).selectExpr(
+        "'d' as dataset", "'train' as split", "'n' as metric", "if(id = 3, cast(raise_error('disk full') as double), 2.0D) as value"
+    )
+    with pytest.raises(Exception, match="disk full"):
+        rn.write_report(half, path, "eda")
+    assert rows(rn.read_report(spark, path)) == [("d", "train", "n", 1.0, "eda")]
+    rn.write_report(old.withColumn("value", F.lit(5.0)), path, "eda")
+    assert rows(rn.read_report(spark, path)) == [("d", "train", "n", 5.0, "eda")]
+
+
+def test_documents_of_unknown_shape(spark, tmp_path, rows):
+    from gleanmark.sources import variants as vr
+
+    lines = ['{"a": 1, "b": {"c": "x"}}', '{"a": "one", "new": [1, 2]}', "", "no json", '{"b": {"c": 3}}', "7", "null"]
+    (tmp_path / "log.jsonl").write_text("\n".join(lines) + "\n")
+    log = vr.read_lines(spark, str(tmp_path / "log.jsonl"))
+    assert log.count() == 6 and log.where("doc is null").count() == 1
+    assert rows(vr.keys_found(log)) == sorted(
+        [("a", "BIGINT", 1), ("a", "STRING", 1), ("b", "OBJECT<c: STRING>", 1), ("b", "OBJECT<c: BIGINT>", 1), ("new", "ARRAY<BIGINT>", 1)], key=repr
+    )
+    got = vr.extracted(log, {"a": ("$.a", "bigint"), "c": ("$.b.c", "string"), "last": ("$.new[1]", "int")})
+    assert got.columns == ["file", "a", "c", "last"]
+    assert rows(got.drop("file")) == sorted([(1, "x", None), (None, None, 2), (None, None, None), (None, "3", None), (None, None, None), (None, None, None)], key=repr)
+    assert "new" in vr.schema_found(log.where("doc is not null and not is_variant_null(doc)").where("schema_of_variant(doc) like 'OBJECT%'")).first()[0]
+    one = vr.read_documents(spark, str(tmp_path / "log.jsonl"))
+    assert one.count() == 1
+
+
+def test_an_export_stops_before_writing_when_the_anchor_is_missing(spark, tmp_path):
+    from gleanmark.operators import instruct as ins
+
+    df = spark.createDataFrame([(1, "a", "x", "train"), (2, "b", "y", "train")], "id int, text string, label string, split string")
+    record = ins.flat_record("text", "label")
+    path = tmp_path / "out"
+    rendered = F.concat(F.lit("<|assistant|>"), F.when(F.col("id") == 1, "ok").otherwise("no"))
+    with pytest.raises(ValueError, match="n_missing"):
+        export_instructions(df, record, str(path), ["train"], row_id="id", rendered=rendered, anchor="ok")
+    assert not path.exists()
+    done = export_instructions(df, record, str(path), ["train"], row_id="id", rendered=rendered, anchor="<|assistant|>")
+    assert [tuple(r) for r in done.counts.collect()] == [("train", 2)]
+
+
+def test_presence_of_columns(spark, rows):
+    assert rows(ex.column_presence(spark.range(1), ["id", "x"])) == [("id", True), ("x", False)]
