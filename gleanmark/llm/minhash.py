@@ -3,12 +3,13 @@
 1. Every text becomes the set of its five-word shingles, a sketch of the set, and one
    key per band of the sketch.  Equal sets form one class; only classes go on.
 2. Classes that share a band key form a bucket.  The first member of a bucket is paired
-   with the others, pairs are verified on their full sets, and the links are contracted
+   with the others, pairs whose sketches lie five standard deviations below the similarity
+   are left out, the rest is verified on the full sets, and the links are contracted
    into components.  A group of thousands of near copies costs one pair per member.
 3. Buckets that still hold several components are compared within themselves, in tiles of
    bounded size.  A task compares the sketches of its tiles as a matrix, leaves out pairs
-   that are joined already, that meet in an earlier band too, or whose sketches lie five
-   standard deviations below the similarity, verifies the rest on their full sets, and
+   that are joined already, that meet in an earlier band too, or whose sketches lie too
+   far below the similarity, verifies the rest on their full sets, and
    gives only links that join components.  No pair is ever a row.
 
 With 40 bands of 5 coordinates a pair at similarity 0.75 shares a bucket with
@@ -37,6 +38,9 @@ COORDINATES = 5 * BANDS
 # Ids of at most this many documents (16 MB) may be sent to every task to pick texts.
 BROADCAST_IDS = 2_000_000
 
+# Shingles that a tile holds on average.
+TILE_SHINGLES = 500_000
+
 # Members of a tile; a bucket of more is several tiles, compared two by two.
 TILE = 512
 
@@ -81,12 +85,35 @@ def verified(a: Column, b: Column, width: int = WIDTH, percent: int = PERCENT) -
     return run(a, b)
 
 
-def _star_links(buckets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Verified links (a, b) between the first member of each bucket and the others."""
+def _least_alike(percent: int, coordinates: int) -> float:
+    """Coordinates in which the sketches of a pair at the similarity agree, less five standard deviations."""
+    p = percent / 100
+    return coordinates * (p - 5 * np.sqrt(p * (1 - p) / coordinates))
+
+
+def _alike(a: Column, b: Column, least: float) -> Column:
+    """Whether two sketches agree in enough coordinates."""
+
+    @F.pandas_udf("boolean")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        left, right = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(len(s), -1) for s in (x, y))
+        return pd.Series((left == right).sum(axis=1) >= least)
+
+    return run(a, b)
+
+
+def _star_links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, coordinates: int) -> DataFrame:
+    """Verified links (a, b) between the first member of each bucket and the others.
+
+    Sketches, of one size for all, are compared first; texts move for the pairs left.
+    """
     first = buckets.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("p"))
     fits = f"100 * least(n, p.n) >= {percent} * greatest(n, p.n) and p.rep <> rep"
     pairs = buckets.join(first, "band").where(fits).select(F.col("p.rep").alias("a"), F.col("rep").alias("b"))
     pairs = stage(pairs.distinct(), "pairs")
+    sketch = lambda c: classes.select(F.col("rep").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+    alike = _alike(F.col("sketch_a"), F.col("sketch_b"), _least_alike(percent, coordinates))
+    pairs = stage(pairs.join(sketch("a"), "a").join(sketch("b"), "b").where(alike).select("a", "b"), "alike-pairs")
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
     good = pairs.join(left, "a").join(right, "b").where(verified(F.col("text_a"), F.col("text_b"), width, percent))
@@ -110,8 +137,7 @@ def _tile_links(frame: pd.DataFrame, width: int, percent: int, coordinates: int)
     component = frame["component"].to_numpy()
     sketch = np.frombuffer(b"".join(frame["sketch"]), dtype=np.uint8).reshape(len(frame), -1)
     bands = np.array(frame["bands"].tolist(), dtype=np.int64)[:, :turn]
-    p = percent / 100
-    floor = coordinates * (p - 5 * np.sqrt(p * (1 - p) / coordinates))
+    floor = _least_alike(percent, coordinates)
     roots, sets, links = _Roots(), {}, []
 
     def shingles(i: int) -> np.ndarray:
@@ -144,15 +170,16 @@ def _tile_links(frame: pd.DataFrame, width: int, percent: int, coordinates: int)
 
 def _links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, tile: int, coordinates: int) -> DataFrame:
     """Links (a, b) whose components are those of all verified links."""
-    star = _star_links(buckets, texts, width, percent)
+    star = _star_links(buckets, classes, texts, width, percent, coordinates)
     found = components(star).withColumnRenamed("node", "rep")
-    members = buckets.select("band", "turn", "rep").join(found, "rep", "left")
+    members = buckets.select("band", "turn", "rep", "n").join(found, "rep", "left")
     members = members.withColumn("component", F.coalesce("component", "rep"))
     open_buckets = members.groupBy("band").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), F.sum("n").alias("all")
     ).where("x < y")
-    members = stage(members.join(open_buckets.select("band", "size"), "band"), "members")
-    tiles = F.ceil(F.col("size") / tile)
+    members = stage(members.drop("n").join(open_buckets.select("band", "size", "all"), "band"), "members")
+    # Bounded by rows and by the length of their texts.
+    tiles = F.greatest(F.ceil(F.col("size") / tile), F.ceil(F.col("all") / TILE_SHINGLES))
     dealt = (
         members.withColumn("mine", F.pmod(F.xxhash64("rep"), tiles))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))

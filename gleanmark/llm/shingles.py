@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
-
-# Words whose hash a worker remembers; the memory is emptied when it is full.
-MOST_WORDS = 700_000
+from xxhash import xxh3_64_intdigest
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -19,19 +15,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Words(dict):
-    """Word -> 64-bit hash, filled as words turn up."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MOST_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
-WORDS = Words()
-
-
 def shingle_set(text: str, width: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``width`` words of a text.
 
@@ -42,7 +25,7 @@ def shingle_set(text: str, width: int = 5) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     k = min(width, len(words))
     runs = np.full(len(words) - k + 1, np.uint64(k), dtype=np.uint64)
     for i in range(k):
