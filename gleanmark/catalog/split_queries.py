@@ -227,6 +227,46 @@ def leaked_rows(spark, d):
     return lk.leak_rows(split_documents(spark, d), "text", "lang", "split", SPLITS)
 
 
+_SQL_SETTLED = f"""{SQL_SPLIT_DOCUMENTS},
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY text, lang, split ORDER BY doc_id) AS place,
+    bool_or(split = 'val') OVER (PARTITION BY text, lang) AS v, bool_or(split = 'test') OVER (PARTITION BY text, lang) AS t
+  FROM split_documents),
+settled AS (
+  SELECT *, CASE WHEN place > 1 THEN 'dedup_keys' WHEN split = 'train' AND v THEN 'drop_leakage_vs_val'
+    WHEN split IN ('train', 'val') AND t THEN 'drop_leakage_vs_test' END AS step
+  FROM placed)"""
+
+
+@query(f"WITH {_SQL_SETTLED} SELECT doc_id, lang, source, split FROM settled WHERE step IS NULL")
+def copies_settled_across_splits(spark, d):
+    """First rows within splits and no leakage between them, from one table of keys."""
+    return pl.settle_copies(split_documents(spark, d), ["text", "lang"], "doc_id").rows.drop("text")
+
+
+@query(f"""WITH {_SQL_SETTLED},
+steps(split, step, k) AS (VALUES ('train', 'dedup_keys', 0), ('val', 'dedup_keys', 0), ('test', 'dedup_keys', 0),
+  ('train', 'drop_leakage_vs_val', 1), ('train', 'drop_leakage_vs_test', 2), ('val', 'drop_leakage_vs_test', 1)),
+counted AS (
+  SELECT s.split, s.step, k, count(*) FILTER (WHERE d.split = s.split AND d.step IS NOT DISTINCT FROM s.step) AS dropped,
+    count(*) FILTER (WHERE d.split = s.split) AS n FROM steps s CROSS JOIN settled d GROUP BY ALL)
+SELECT split, step, (n - coalesce(sum(dropped) OVER before, 0))::BIGINT AS rows_before,
+  (n - coalesce(sum(dropped) OVER before, 0) - dropped)::BIGINT AS rows_after, dropped
+FROM counted WINDOW before AS (PARTITION BY split ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def log_of_copies_settled(spark, d):
+    return pl.settle_copies(split_documents(spark, d), ["text", "lang"], "doc_id").log
+
+
+@query(f"""WITH {SQL_SPLIT_DOCUMENTS}, pairs(a, b) AS (VALUES ('train', 'val'), ('train', 'test'), ('val', 'test'))
+SELECT phase, a || '-' || b AS pair, CASE WHEN phase = 'after' THEN 0 ELSE (SELECT count(*) FROM (
+  SELECT text, lang FROM split_documents WHERE split = a INTERSECT SELECT text, lang FROM split_documents WHERE split = b)) END AS n_shared
+FROM pairs, (VALUES ('before'), ('after')) AS p(phase)""")
+def overlap_before_and_after_settling(spark, d):
+    done = pl.settle_copies(split_documents(spark, d), ["text", "lang"], "doc_id")
+    before = done.overlap_before.withColumn("phase", F.lit("before"))
+    return before.unionByName(done.overlap_after.withColumn("phase", F.lit("after")))
+
+
 _SQL_PINNED = f"""corpus AS (
   SELECT 'd' || doc_id AS id, {sql_collapse('text')} AS text FROM documents
   UNION ALL SELECT 'b' || item_id, {sql_collapse('text')} FROM benchmark),

@@ -16,7 +16,7 @@ from gleanmark.operators.split import (
     missing_classes,
     stratified_split,
 )
-from gleanmark.session import stage
+from gleanmark.session import lookup, stage
 
 # A quarter is held out, 60% of it for testing; or 12% for validation.
 THREE_WAY = [(0.25, "val"), (0.60, "test")]
@@ -151,3 +151,81 @@ def remove_leakage(
         leakage_log(tagged, split, priority),
         overlap_counts(rows, keys, split, list(reversed(priority))),
     )
+
+
+@dataclass
+class Settled:
+    rows: DataFrame
+    log: DataFrame
+    overlap_before: DataFrame
+    overlap_after: DataFrame
+
+
+def settle_copies(
+    df: DataFrame,
+    keys: Sequence[str],
+    row_id: str,
+    split: str = "split",
+    priority: Sequence[str] = ("test", "val", "train"),
+) -> Settled:
+    """First row of each key in a split, then leakage removal, with log and overlaps, from one shuffle.
+
+    One grouped aggregate, combined on the map side, writes for each content key how
+    often each split holds it and its first row there.  Which row stays, what each step
+    drops and what splits share all follow from that table; the rows meet it again in a
+    join on the few keys with copies.  A layout of the rows themselves by key would give
+    a hot key to one task; here it is one row per task that reads it.
+    """
+    n = len(priority)
+    place = {s: i for i, s in enumerate(priority)}
+    mine = lambda i: F.col(split) == priority[i]
+    summary = df.groupBy(content_key(*keys).alias("_key")).agg(
+        *[F.count_if(mine(i)).alias(f"_n{i}") for i in range(n)],
+        *[F.min(F.when(mine(i), F.col(row_id))).alias(f"_first{i}") for i in range(n)],
+    )
+    summary = stage(summary, "copies")
+    held = lambda i: F.col(f"_n{i}") > 0
+
+    # A key stays in the strongest split that holds it, with its first row there.
+    copies = sum((F.col(f"_n{i}") for i in range(1, n)), F.col("_n0"))
+    repeated = lookup(summary.where(copies > 1), "repeated")
+    strongest = F.coalesce(*[F.when(held(i), F.lit(i)) for i in range(n)])
+    first = F.coalesce(*[F.when(held(i), F.col(f"_first{i}")) for i in range(n)])
+    own = F.coalesce(*[F.when(mine(i), F.lit(i)) for i in range(n)])
+    stays = F.col("_n0").isNull() | ((own == strongest) & (F.col(row_id) == first))
+    rows = df.withColumn("_key", content_key(*keys)).join(repeated, "_key", "left").where(stays).select(*df.columns)
+
+    cells, before = [], {}
+    for s in reversed(priority):
+        i = place[s]
+        before[i] = F.sum(f"_n{i}")
+        again = F.sum(F.greatest(F.col(f"_n{i}") - 1, F.lit(0)))
+        cells.append((s, "dedup_keys", before[i], again))
+        before[i] = before[i] - again
+    for yields in reversed(range(1, n)):
+        for wins in reversed(range(yields)):
+            # The weakest of the stronger splits counts, as it comes first.
+            between = F.lit(False)
+            for j in range(wins + 1, yields):
+                between = between | held(j)
+            hit = F.count_if(held(yields) & held(wins) & ~between)
+            cells.append((priority[yields], f"drop_leakage_vs_{priority[wins]}", before[yields], hit))
+            before[yields] = before[yields] - hit
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    log = summary.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(s).alias("split"), F.lit(step).alias("step"), zero(b).alias("rows_before"),
+                    (zero(b) - zero(d)).alias("rows_after"), zero(d).alias("dropped"),
+                )
+                for s, step, b, d in cells
+            ]
+        ).alias("r")
+    ).select(F.inline("r"))
+
+    pairs = [(priority[b], priority[a], held(a) & held(b)) for b in reversed(range(n)) for a in reversed(range(b))]
+    shared = summary.agg(
+        F.array(*[F.struct(F.lit(f"{x}-{y}").alias("pair"), F.count_if(both).alias("n_shared")) for x, y, both in pairs]).alias("r")
+    ).select(F.inline("r"))
+    return Settled(rows, log, shared, overlap_counts(rows, keys, split, list(reversed(priority))))

@@ -100,3 +100,24 @@ def test_overlap_counts_and_rows(spark, rows):
 def test_no_overlap_after_removal(spark):
     result = remove_leakage(leak_frame(spark), ["text", "label"])
     assert result.overlap_after.agg(F.sum("n_shared")).first()[0] == 0
+
+
+def test_settled_copies_equal_the_steps_one_by_one(spark, rows):
+    """Keep first within a split, then drop what a stronger split holds, on random copies with null keys."""
+    import random
+
+    from gleanmark.operators import leakage as lk
+    from gleanmark.operators.dedup import keep_first
+    from gleanmark.plans.splitting import remove_leakage, settle_copies
+
+    rng = random.Random(4)
+    data = [(i, rng.choice(["a", "b", "c", None, "", f"t{i}"]), rng.choice(["x", None]), rng.choice(["train", "train", "val", "test"])) for i in range(200)]
+    df = spark.createDataFrame(data, "id int, text string, label string, split string")
+    done = settle_copies(df, ["text", "label"], "id")
+    first = keep_first(df, ["split", "text", "label"], "id")
+    plain = remove_leakage(first, ["text", "label"])
+    assert rows(done.rows) == rows(plain.rows)
+    assert {r for r in rows(done.log) if "leakage" in r[1]} == set(rows(plain.log))
+    assert rows(done.overlap_before) == rows(lk.overlap_counts(df, ["text", "label"], "split", ["train", "val", "test"]))
+    assert [r[1] for r in rows(done.overlap_after)] == [0, 0, 0]
+    assert sum(r["dropped"] for r in done.log.collect()) == 200 - done.rows.count()

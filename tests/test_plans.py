@@ -125,3 +125,17 @@ def test_python_runs_once_per_row(spark, tmp_path, written):
     written.clear()
     cleaned = plan(clean_flat(df, split="split"))
     assert "".join([cleaned, *[w for _, w in written]]).count("ArrowEvalPython") == 1
+
+
+def test_copies_are_settled_with_one_shuffle(spark, tmp_path, written):
+    """After the table of keys is written, neither rows nor reports are dealt out by key again."""
+    from gleanmark.plans.splitting import settle_copies
+
+    df = table(spark, tmp_path)
+    written.clear()
+    done = settle_copies(df, ["text", "label"], "row_id")
+    assert [p.count("hashpartitioning") for _, p in written] == [1, 0]
+    assert "partial_count" in written[0][1] and "text" not in written[0][0]
+    for part in (done.rows, done.log, done.overlap_before):
+        assert "hashpartitioning" not in plan(part)
+    assert "FileScan" in plan(done.log) and "text" not in plan(done.log)
