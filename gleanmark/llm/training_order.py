@@ -3,7 +3,7 @@
 Documents are tokenised once, closed by the end token and cut into sequences of
 ``length`` tokens (the last one padded).  Sequences are numbered 0 to N - 1: by the
 written partition, then by their place in it, so numbering takes one sum per
-partition and no shuffle.  A keyed Feistel permutation of [0, N) gives every number
+partition and no shuffle; the same rows in other files get another order from a key.  A keyed Feistel permutation of [0, N) gives every number
 its slot; its domain is the next power of four, and numbers that fall outside are
 walked along their cycle until they come back inside.  Each slot is thus used exactly
 once, by arithmetic alone, and any task can be redone with the same result.
@@ -11,7 +11,9 @@ once, by arithmetic alone, and any task can be redone with the same result.
 Slots are dealt to range partitions directly, as they are spread evenly by nature,
 and every partition writes its shards whole.  A shard holds ``per_shard`` records of
 one stride, so a reader that stops after slot s goes on at shard s // per_shard, byte
-(s % per_shard) * stride.
+(s % per_shard) * stride of its payload.  A payload is one binary cell of a Parquet row
+group, which a reader opens whole; the byte counts from the start of the payload, not of
+a file.
 """
 
 from __future__ import annotations
