@@ -78,18 +78,17 @@ def bloom_filter(keys: DataFrame, blocks: int) -> DataFrame:
     return placed.groupBy("block").agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
-def candidate_keys(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
-    """Keys of the given shapes that could fit a url, as an array."""
-    labels = F.split(host, r"\.")
-    made = [
-        F.when(
-            (host != "") & (F.size(labels) >= n) & (F.char_length(path) >= m),
-            F.concat(F.array_join(F.slice(labels, -n, n), "."), F.substr(path, F.lit(1), F.lit(m))),
-        )
-        for n, m in shapes
-        if n > 0
-    ]
-    return F.array_compact(F.array(*made)) if made else F.array().cast("array<string>")
+def candidate_keys(urls: DataFrame, shapes: DataFrame) -> DataFrame:
+    """(url, key): keys of the given shapes (labels, path_length) that could fit a url.
+
+    Suffixes of a host meet the shapes of as many labels in a join, so the shapes are a
+    table of whatever size, in no plan and never on the driver.
+    """
+    labels = F.split("host", r"\.")
+    suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.struct(n.alias("labels"), F.array_join(F.slice(labels, -n, n), ".").alias("suffix")))
+    cut = urls.where("host <> ''").select("url", "path", F.inline(suffix))
+    met = cut.join(shapes, "labels").where(F.char_length("path") >= F.col("path_length"))
+    return met.select("url", F.concat("suffix", F.expr("substr(path, 1, path_length)")).alias("key"))
 
 
 def judged(pages: DataFrame, rules: DataFrame, url: str = "url", unlisted: str = UNLISTED) -> DataFrame:
@@ -102,13 +101,13 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", unlisted: str =
     """
     results = {"host", "path", "rule", "verdict"}
     rules = stage(listed(rules), "rules")
-    shapes = sorted((r["labels"], r["path_length"]) for r in rules.select("labels", "path_length").distinct().collect())
+    shapes = stage(rules.where("labels > 0").select("labels", "path_length").distinct(), "shapes")
     blocks = power_of_two_at_least(rules.count() * BITS_PER_KEY / (64 * WORDS))
     bloom = stage(bloom_filter(rules, blocks), "bloom")
 
     host, path = host_and_path(F.col(url))
     base = pages.select(F.struct(*[c for c in pages.columns if c.lower() not in results or c == url]).alias("row"), F.col(url).alias("url"), host.alias("host"), path.alias("path"))
-    tried = base.select("url", F.explode(candidate_keys(F.col("host"), F.col("path"), shapes)).alias("key"))
+    tried = candidate_keys(base, shapes)
     tried = tried.withColumns({"block": _block(F.col("key"), blocks), **{f"m{i}": m for i, m in enumerate(_masks(F.col("key")))}})
     passes = " and ".join(f"(w{i} & m{i}) = m{i}" for i in range(WORDS))
     possible = tried.join(bloom, "block").where(passes).select("url", "key")
