@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanmark.llm.common import in_slices, stage
+from gleanmark.llm.common import fresh_name, in_slices, stage
 from gleanmark.llm.graph import components
 from gleanmark.llm.shingles import band_keys, shingle_set, similarity_sketches
 
@@ -250,14 +250,15 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
     by_id = found.where("doc_id is not null").groupBy("doc_id").agg(
         F.bool_and("kept").alias("kept"), F.count_if(F.col("n_shingles") > 0).alias("n")
     )
-    decided = stage(by_id.where("not kept or n > 1").withColumnRenamed("doc_id", "_decided"), "decided")
-    match = docs[doc_id].cast("long") == F.col("_decided")
-    out = docs.join(_sendable(stage(decided.where("not kept").select("_decided"), "dropped")), match, "left_anti")
+    key = fresh_name(docs, "_decided")
+    decided = stage(by_id.where("not kept or n > 1").withColumnRenamed("doc_id", key), "decided")
+    match = docs[doc_id].cast("long") == F.col(key)
+    out = docs.join(_sendable(stage(decided.where("not kept").select(key), "dropped")), match, "left_anti")
     repeated = decided.where("kept")
     if repeated.isEmpty():
         return out
-    repeated = _sendable(stage(repeated.select("_decided"), "repeated"))
-    match = out[doc_id].cast("long") == F.col("_decided")
+    repeated = _sendable(stage(repeated.select(key), "repeated"))
+    match = out[doc_id].cast("long") == F.col(key)
     again = out.join(repeated, match, "left_semi")
     one = again.groupBy(F.col(doc_id).alias("_id")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(text)).alias("_row"))
     return out.join(repeated, match, "left_anti").unionByName(one.select("_row.*"))

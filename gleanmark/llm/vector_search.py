@@ -144,11 +144,16 @@ def _pairs(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: in
     """The k best rows of a block for each of its queries."""
     vid, first = np.unique(vid, return_index=True)
     v = v[first]
-    found = []
+    places, scores = [], []
     for a in range(0, len(qid), 256):
-        for i, (at, score) in enumerate(_best(q[a : a + 256], v, vid, qid[a : a + 256], k)):
-            found.append(pd.DataFrame({"query_id": qid[a + i], "vec_id": vid[at], "near": score}))
-    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
+        for at, score in _best(q[a : a + 256], v, vid, qid[a : a + 256], k):
+            places.append(at)
+            scores.append(score)
+    if not places:
+        return pd.DataFrame({"query_id": [], "vec_id": [], "near": []})
+    # One frame for all queries of the block.
+    asked = np.repeat(qid, [len(at) for at in places])
+    return pd.DataFrame({"query_id": asked, "vec_id": vid[np.concatenate(places)], "near": np.concatenate(scores)})
 
 
 _PAIRS = "query_id long, vec_id long, near double"
@@ -195,8 +200,8 @@ def nearest(
     one candidate.  Ties go to the smaller id; with fewer candidates all are given.
     """
     spark = table.sparkSession
-    rows = table.withColumn("_q", is_query).select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"), F.coalesce("_q", F.lit(False)).alias("is_query")
+    rows = table.select(
+        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("is_query")
     )
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     usual = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()

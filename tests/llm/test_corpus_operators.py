@@ -163,6 +163,28 @@ def test_url_rules(spark):
     assert url_filter.judged(pages.limit(0), url_filter.rule_table(spark)).count() == 0
 
 
+def test_shapes_of_many_rules_stay_a_table(spark):
+    """300 shapes of rules: the plan does not grow with them."""
+    rules = [("block", f"a{i}.example{i % 7}.org/{'x' * i}") for i in range(300)]
+    pages = spark.createDataFrame([(i, f"http://w.a{i}.example{i % 7}.org/{'x' * (i + i % 2)}?q", i) for i in range(300)] + [(-1, None, 0), (-2, "http://", 0)], "page_id long, url string, labels int")
+    few = url_filter.judged(pages, url_filter.rule_table(spark, rules[:2]))
+    many = url_filter.judged(pages, url_filter.rule_table(spark, rules))
+    length = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert length(many) < 1.2 * length(few)
+    got = {r["page_id"]: r["rule"] for r in many.collect()}
+    assert got == {**{i: rules[i][1] for i in range(300)}, -1: None, -2: None}
+
+
+def test_names_that_clash_inside(spark):
+    importable(spark)
+    docs = spark.createDataFrame([(1, "a b c d e f g", 1), (2, "a b c d e f g", 2), (3, "z", 3), (3, "y x", 4)], "doc_id long, text string, _decided int")
+    docs = docs.selectExpr("*", "7 as _id", "8 as _row", "9 as _q")
+    kept = minhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted((r["doc_id"], r["_decided"]) for r in kept.collect())[0] == (1, 1) and kept.count() == 2
+    rows = spark.createDataFrame([(i, [1.0, float(i)], i) for i in range(5)], "vec_id long, embedding array<float>, _q int")
+    assert vector_search.nearest(rows, F.col("_q") == 2).count() == 4
+
+
 def test_bloom_filter_has_no_false_negative(spark):
     rules = [("block", f"h{i}.org/p{i % 7}/") for i in range(500)] + [("allow", None), (None, "x/"), ("allow", "h1.org/p1/")]
     pages = spark.createDataFrame([(f"s://www.h{i}.org/p{i % 7}/x",) for i in range(600)], "url string")
@@ -338,3 +360,24 @@ def test_dense_group_below_the_threshold(spark):
     got = vector_dedup.near_duplicate_vectors(spark.createDataFrame(rows, _SCHEMA)).collect()
     assert {r["vec_id"]: r["component_id"] for r in got} == dict(enumerate(want.tolist()))
     assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate((linked.sum(axis=1) - 1).tolist()))
+
+
+@pytest.mark.parametrize("n", [218, 2000, 50_000])
+def test_passes_compare_few_pairs(n):
+    """Every label goes through the passes; what they compare is far below all pairs."""
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    compared = sum(len(at) * (len(at) - 1) // 2 for at in vector_dedup.passes_over(x, vector_dedup.WINDOW, vector_dedup.MISS, vector_dedup.COSINE))
+    assert 0 < compared < {218: 0.5, 2000: 0.2, 50_000: 0.01}[n] * n * (n - 1) / 2
+
+
+def test_neighbours_share_their_first_bits():
+    codes = np.array([5, 1, 5, 2, 1, 9, 5], dtype=np.uint64)
+    assert sorted(sorted(at.tolist()) for at in vector_dedup.runs_of(codes)) == [[0, 2, 6], [1, 4]]
+
+
+def test_passes_keep_pairs_at_the_threshold():
+    """400 pairs at cosine 0.98 in one label: none may be apart in all passes."""
+    x = _planted(1000, 400, 0.2, seed=8)
+    x[1000:] = 0.98001 * x[:400] + np.sqrt(1 - 0.98001**2) * (x[1000:] - 0.981 * x[:400]) / np.sqrt(1 - 0.981**2)
+    links = vector_dedup._links_of_label(x, vector_dedup.WINDOW, vector_dedup.MISS, vector_dedup.COSINE)
+    assert {(min(a, b), max(a, b)) for a, b in links} >= {(i, 1000 + i) for i in range(400)}

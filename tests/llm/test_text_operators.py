@@ -1,6 +1,8 @@
 """Token, text and quality operators against the library, brute force and round trips."""
 
 import hashlib
+import math
+import time
 import zlib
 
 import numpy as np
@@ -145,6 +147,93 @@ def test_deep_pages():
     assert html_text.main_text("<b><p>" * 50_000 + "x" + "</p></b>" * 50_000) == "x"
 
 
+@pytest.mark.parametrize("piece", ["<a ", '<a href="', "<!-- ", "</p ", "<a b='", "<? ", "<![CDATA[ "])
+def test_long_pages_that_never_close_a_tag(piece):
+    """From the first < without a > all is text, as in the library, in one step."""
+    page = "<div><p>First &amp; last.</p><p>x " + piece * 40
+    tree = html_text.Tree()
+    tree.feed(page)
+    tree.close()
+
+    def plain(node):
+        return "".join(item if isinstance(item, str) else plain(item) for item in node.items)
+
+    assert plain(html_text.parse(page)) == plain(tree.root) == "First & last.x " + piece * 40
+    start = time.process_time()
+    text = html_text.main_text("<p>x " + piece * (1_000_000 // len(piece)))
+    assert len(text) > 990_000 and time.process_time() - start < 1
+
+
+def _random_tree(rng, depth=0):
+    """Nested lists of strings and (tag, items)."""
+    out = []
+    for _ in range(rng.integers(1, 5)):
+        kind = rng.integers(0, 4)
+        if kind == 0 or depth > 4:
+            out.append("w" * int(rng.integers(1, 60)))
+        elif kind == 1:
+            out.append(("a", ["l" * int(rng.integers(1, 30))]))
+        else:
+            out.append((["div", "p", "section"][rng.integers(0, 3)] if kind == 2 else "div", _random_tree(rng, depth + 1)))
+    return out
+
+
+def _as_html(items):
+    return "".join(x if isinstance(x, str) else f"<{x[0]}>{_as_html(x[1])}</{x[0]}>" for x in items)
+
+
+def _plain_counts(items, link=False):
+    """Characters, tags, characters in links, links below a list of items."""
+    chars = tags = link_chars = links = 0
+    for x in items:
+        if isinstance(x, str):
+            chars += len(x)
+            link_chars += len(x) * link
+        else:
+            c, t, lc, n = _plain_counts(x[1], link or x[0] == "a")
+            chars, tags, link_chars, links = chars + c, tags + t + 1, link_chars + lc, links + n + (x[0] == "a")
+    return chars, tags, link_chars, links
+
+
+def _plain_density(counts, page):
+    chars, tags, link_chars, links = counts
+    if not chars:
+        return 0.0
+    inside = chars / max(1, link_chars) * max(1, tags) / max(1, links)
+    base = chars / max(1, chars - link_chars) * link_chars + page * chars + math.e
+    return chars / max(1, tags) * math.log(max(inside, 1.0) + 1e-9) / (1 + math.log(math.log(base)))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_density_sums_equal_a_plain_recursion(seed):
+    """The sum of a node: its children's densities and that of the text that lies in it directly."""
+    rng = np.random.default_rng(seed)
+    items = [x for x in _random_tree(rng) + [("div", _random_tree(rng))]]
+    items = [("div", [x] if isinstance(x, str) or x[0] == "a" else x[1]) if isinstance(x, str) or x[0] in ("a", "p") else x for x in items]
+    page = _plain_counts(items)
+    share = page[2] / page[0] if page[0] else 0.0
+    want = []
+
+    def walk(below):
+        own = _plain_counts([x for x in below if isinstance(x, str) or x[0] == "a"])
+        blocks = [x for x in below if not isinstance(x, str) and x[0] != "a"]
+        want.append(round(sum(_plain_density(_plain_counts(x[1]), share) for x in blocks) + _plain_density(own, share), 6))
+        for x in blocks:
+            walk(x[1])
+
+    # No paragraph holds a block here: the parser would close it.
+    def without_paragraphs(below):
+        return [x if isinstance(x, str) or x[0] == "a" else ("div", without_paragraphs(x[1])) for x in below]
+
+    items = without_paragraphs(items)
+    walk(items)
+    order = html_text._weighed(html_text.parse(_as_html(items)))
+    got = [round(node.sum, 6) for node, _ in order if node.tag not in html_text.INLINE]
+    assert sorted(got) == sorted(want)
+    sums = [node.sum for node, _ in order if node.tag not in html_text.INLINE and node.chars]
+    assert max(sums) == order[0][0].best == order[0][0].best_node.sum
+
+
 def test_page_texts(spark):
     importable(spark)
     rows = [(1, None, None, 7), (1, "u", "<p>x</p>", 7), (None, "u", "<p>x</p>", 7), (1, "u", "<p>x</p>", 7)]
