@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -163,12 +164,20 @@ class Tree(HTMLParser):
 
 
 def parse(html: str) -> Node:
+    """The tree of a page.  From the first ``<`` that no ``>`` follows all is text.
+
+    The library comes to the same end, but tries each further ``<`` up to the end of the page.
+    """
+    cut = html.find("<", html.rfind(">") + 1)
+    whole, rest = (html, "") if cut < 0 else (html[:cut], html[cut:])
     tree = Tree()
     try:
-        tree.feed(html)
+        tree.feed(whole)
         tree.close()
     except AssertionError:  # a malformed declaration; what was read stays
         pass
+    if rest:
+        tree.handle_data(unescape(rest))
     return tree.root
 
 
