@@ -15,6 +15,7 @@ over the letters of both.  So:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanmark.operators.salting import SALT_ROWS, salted_join
-from gleanmark.session import lookup, stage
+from gleanmark.session import lookup
 
 # Fixed value: the least ratio that counts as a match.
 FUZZY_CUTOFF = 0.7
@@ -67,21 +68,37 @@ def similarity(label: Column, candidate: Column) -> Column:
     return ratio.asNondeterministic()(label, candidate)
 
 
-def comparable_pairs(
-    candidates: DataFrame, labels: DataFrame, cutoff: float = FUZZY_CUTOFF, salt_rows: int = SALT_ROWS
-) -> DataFrame:
-    """``candidate, label`` for the pairs of two tables of distinct ``name``s whose letters allow the cutoff."""
-    reach = (2 - cutoff) / cutoff
-    longest = labels.agg(F.coalesce(F.max(F.char_length("name")), F.lit(0))).first()[0]
+@dataclass
+class LabelIndex:
+    """Labels under the letters that a close name must share with them, written once."""
+
+    rows: DataFrame  # label, theirs, their_prefix, letter
+    seen: DataFrame  # letter, n
+    longest: int
+    cutoff: float
+
+
+def index_labels(labels: DataFrame, label: str = "label", cutoff: float = FUZZY_CUTOFF) -> LabelIndex:
+    """An index of distinct labels; nulls and empty names are left out."""
+    known = labels.select(F.col(label).alias("name")).where("name <> ''").distinct()
+    seen = known.select(F.explode(_letters("name")).alias("letter")).groupBy("letter").agg(F.count("*").alias("n"))
+    seen = lookup(seen, "letters")
+    there = _indexed(known, seen, cutoff)
+    rows = there.select(F.col("name").alias("label"), F.col("letters").alias("theirs"), F.col("prefix").alias("their_prefix"), F.explode("prefix").alias("letter"))
+    longest = known.agg(F.coalesce(F.max(F.char_length("name")), F.lit(0))).first()[0]
+    return LabelIndex(lookup(rows, "label-letters"), seen, longest, cutoff)
+
+
+def comparable_pairs(candidates: DataFrame, labels: DataFrame | LabelIndex, cutoff: float = FUZZY_CUTOFF, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """``candidate, label`` for the pairs whose letters allow the cutoff; tables of distinct ``name``s."""
+    index = labels if isinstance(labels, LabelIndex) else index_labels(labels, "name", cutoff)
+    cutoff = index.cutoff
     # A much longer name has too many letters for any label.
-    asked = candidates.where(F.char_length("name") <= int(longest * reach + 1e-9))
-    seen = lookup(
-        labels.select(F.explode(_letters("name")).alias("letter")).groupBy("letter").agg(F.count("*").alias("n")), "letters"
-    )
-    here, there = _indexed(asked, seen, cutoff), _indexed(labels, seen, cutoff)
+    asked = candidates.where(F.char_length("name") <= int(index.longest * (2 - cutoff) / cutoff + 1e-9))
+    here = _indexed(asked, index.seen, cutoff)
     large = here.select(F.col("name").alias("candidate"), F.col("letters").alias("ours"), F.col("prefix").alias("our_prefix"), F.explode("prefix").alias("letter"))
-    index = there.select(F.col("name").alias("label"), F.col("letters").alias("theirs"), F.col("prefix").alias("their_prefix"), F.explode("prefix").alias("letter"))
-    met = salted_join(stage(large, "candidate-letters"), lookup(index, "label-letters"), "letter", ["candidate"], salt_rows)
+    # A candidate has a letter once, so no letter is in more rows than there are candidates.
+    met = salted_join(large, index.rows, "letter", ["candidate"], salt_rows, most=candidates.count())
     total = F.size("ours") + F.size("theirs")
     first = F.element_at(F.array_intersect("our_prefix", "their_prefix"), 1)
     common = F.size(F.array_intersect("ours", "theirs"))
@@ -92,7 +109,7 @@ def comparable_pairs(
 def closest_labels(
     candidates: DataFrame,
     candidate: str,
-    labels: DataFrame,
+    labels: DataFrame | LabelIndex,
     label: str = "label",
     cutoff: float = FUZZY_CUTOFF,
     salt_rows: int = SALT_ROWS,
@@ -100,12 +117,11 @@ def closest_labels(
     """``candidate, label, ratio`` for every distinct candidate that a label comes close to.
 
     The label of the greatest ratio at or above ``cutoff``; ties go to the greatest
-    label.  Nulls and empty names on either side have no closest label.
+    label.  Nulls and empty names on either side have no closest label.  An index of the
+    labels, which has its own cutoff, serves any number of searches.
     """
-    asked = candidates.select(F.col(candidate).alias("name")).where("name <> ''").distinct()
-    known = labels.select(F.col(label).alias("name")).where("name <> ''").distinct()
-    pairs = comparable_pairs(asked, lookup(known, "labels"), cutoff, salt_rows)
-    # The UDF runs over written pairs, in the order in which a candidate's lie together.
-    scored = stage(pairs, "pairs").withColumn("ratio", similarity(F.col("label"), F.col("candidate")))
-    best = scored.where(F.col("ratio") >= cutoff).groupBy("candidate").agg(F.max(F.struct("ratio", "label")).alias("b"))
+    index = labels if isinstance(labels, LabelIndex) else index_labels(labels, label, cutoff)
+    asked = lookup(candidates.select(F.col(candidate).alias("name")).where("name <> ''").distinct(), "candidates")
+    scored = comparable_pairs(asked, index, salt_rows=salt_rows).withColumn("ratio", similarity(F.col("label"), F.col("candidate")))
+    best = scored.where(F.col("ratio") >= index.cutoff).groupBy("candidate").agg(F.max(F.struct("ratio", "label")).alias("b"))
     return best.select("candidate", "b.label", "b.ratio")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanmark.functions.text import WHITESPACE
-from gleanmark.operators.closest import FUZZY_CUTOFF, closest_labels
+from gleanmark.operators.closest import FUZZY_CUTOFF, LabelIndex, closest_labels, index_labels
 from gleanmark.operators.labelspace import label_table
 from gleanmark.session import lookup, stage
 
@@ -23,17 +25,35 @@ def _found(raw: str, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(raw, pattern, group), F.lit(""))
 
 
-def _resolved(values: DataFrame, spelling: DataFrame, cutoff: float) -> DataFrame:
+@dataclass
+class Spellings:
+    """How labels may be written (``known, label``), and the index for what is written otherwise."""
+
+    table: DataFrame
+    index: LabelIndex
+
+
+def spellings(spark: SparkSession, labels: DataFrame | list[str], cutoff: float = FUZZY_CUTOFF, fold_case: bool = False) -> Spellings:
+    """The spellings of a table with a column ``label`` (or of a list), written once for any number of parses."""
+    known = F.lower("label") if fold_case else F.col("label")
+    table = label_table(spark, labels).groupBy(known.alias("known")).agg(F.max("label").alias("label"))
+    table = lookup(table, "spelling")
+    return Spellings(table, index_labels(table, "known", cutoff))
+
+
+def _resolved(values: DataFrame, spelt: Spellings) -> DataFrame:
     """``value, label, exact`` for each distinct value that is a label or close to one.
 
-    ``spelling`` gives ``known, label``: how a label may be written, and the label.
     Only what is no label itself goes to the search.
     """
-    asked = lookup(values.select("value").where("value is not null").distinct(), "values")
-    exact = asked.join(spelling, F.col("value") == F.col("known")).select("value", "label", F.lit(True).alias("exact"))
-    open_values = asked.join(spelling, F.col("value") == F.col("known"), "left_anti")
-    near = closest_labels(open_values, "value", spelling, "known", cutoff).withColumnRenamed("label", "known")
-    near = near.join(spelling, "known").select(F.col("candidate").alias("value"), "label", F.lit(False).alias("exact"))
+    asked = values.select("value").where("value is not null").distinct()
+    found = lookup(asked.join(spelt.table, F.col("value") == F.col("known"), "left").select("value", "label"), "values")
+    exact = found.where("label is not null").select("value", "label", F.lit(True).alias("exact"))
+    open_values = found.where("label is null").select("value")
+    if open_values.isEmpty():
+        return exact
+    near = closest_labels(open_values, "value", spelt.index).withColumnRenamed("label", "known")
+    near = near.join(spelt.table, "known").select(F.col("candidate").alias("value"), "label", F.lit(False).alias("exact"))
     return lookup(exact.unionByName(near), "resolved")
 
 
@@ -57,7 +77,7 @@ def _decided(keyed: DataFrame, decided: DataFrame, *names: str) -> DataFrame:
 def parse_answers(
     df: DataFrame,
     raw: str,
-    labels: DataFrame | list[str],
+    labels: DataFrame | list[str] | Spellings,
     cutoff: float = FUZZY_CUTOFF,
     fold_case: bool = False,
 ) -> DataFrame:
@@ -69,20 +89,19 @@ def parse_answers(
     with capitals is only reached through the closest match; ``fold_case`` folds
     the vocabulary as well and returns the label's own spelling.
 
-    ``labels`` is a table with a column ``label``.  What answers say is reduced to its
+    ``labels`` is a table with a column ``label``, or its ``spellings``, which decide
+    cutoff and folding then.  What answers say is reduced to its
     distinct values before any label is looked up, and joined again at the end.
     """
-    table = label_table(df.sparkSession, labels)
-    known = F.lower("label") if fold_case else F.col("label")
-    spelling = lookup(table.groupBy(known.alias("known")).agg(F.max("label").alias("label")), "spelling")
+    spelt = labels if isinstance(labels, Spellings) else spellings(df.sparkSession, labels, cutoff, fold_case)
     keyed, said = _said(
         df, anchored=F.lower(_found(raw, FLAT_ANCHOR, 1)), bare=F.lower(_found(raw, BARE_TOKEN, 0))
     )
-    by_anchor = _resolved(said.select(F.col("anchored").alias("value")), spelling, cutoff)
+    by_anchor = _resolved(said.select(F.col("anchored").alias("value")), spelt)
     first = said.join(by_anchor, said["anchored"] == by_anchor["value"], "left").select("anchored", "bare", "label", "exact")
     # The bare token counts only where the anchor gave nothing.
     rest = first.where("label is null").select("anchored", "bare")
-    by_token = _resolved(rest.select(F.col("bare").alias("value")), spelling, cutoff)
+    by_token = _resolved(rest.select(F.col("bare").alias("value")), spelt)
     second = rest.join(by_token, rest["bare"] == by_token["value"], "left").select("anchored", "bare", "label", "exact")
     path = lambda exact: F.when(F.col("label").isNull(), "none").when(F.col("exact"), exact).otherwise("fuzzy")
     decided = first.where("label is not null").withColumn("path", path("regex")).unionByName(second.withColumn("path", path("bare")))
@@ -98,8 +117,8 @@ def parse_answers(
 def parse_two_line_answers(
     df: DataFrame,
     raw: str,
-    categories: DataFrame | list[str],
-    labels: DataFrame | list[str],
+    categories: DataFrame | list[str] | Spellings,
+    labels: DataFrame | list[str] | Spellings,
     cutoff: float = FUZZY_CUTOFF,
     keep_unmatched: bool = True,
 ) -> DataFrame:
@@ -114,9 +133,8 @@ def parse_two_line_answers(
     )
     out = said
     for name, known in (("category", categories), ("intent", labels)):
-        table = label_table(df.sparkSession, known)
-        spelling = lookup(table.select(F.col("label").alias("known"), "label"), "spelling")
-        found = _resolved(said.select(F.col(name).alias("value")), spelling, cutoff)
+        spelt = known if isinstance(known, Spellings) else spellings(df.sparkSession, known, cutoff)
+        found = _resolved(said.select(F.col(name).alias("value")), spelt)
         found = found.select("value", F.col("label").alias(f"_{name}_label"))
         out = out.join(found, F.col(name) == F.col("value"), "left").drop("value")
     joined = _decided(keyed, out, "category", "intent")
@@ -143,7 +161,7 @@ def path_counts(parsed: DataFrame) -> DataFrame:
 
 
 def preflight(
-    df: DataFrame, raw: str, order: str, labels: DataFrame | list[str], n: int = 10, max_unparsed: int = 2
+    df: DataFrame, raw: str, order: str, labels: DataFrame | list[str] | Spellings, n: int = 10, max_unparsed: int = 2
 ) -> DataFrame:
     """Parse the first ``n`` answers only: path counts, and whether to go on."""
     first = parse_answers(stage(df.orderBy(order).limit(n), "first-answers"), raw, labels)

@@ -23,14 +23,23 @@ def salts(rows: DataFrame, key: str, salt_rows: int = SALT_ROWS) -> DataFrame:
 
 
 def salted_join(
-    large: DataFrame, index: DataFrame, key: str, spread: Sequence[str], salt_rows: int = SALT_ROWS
+    large: DataFrame,
+    index: DataFrame,
+    key: str,
+    spread: Sequence[str],
+    salt_rows: int = SALT_ROWS,
+    most: int | None = None,
 ) -> DataFrame:
     """Inner join of two tables on ``key``.
 
     Where ``large`` holds a key often, the rows of ``index`` with that key are repeated
     and those of ``large`` dealt over the copies by the columns ``spread``, so no task
-    gets a hot key whole.  Beside ``key`` the tables must share no column.
+    gets a hot key whole.  Beside ``key`` the tables must share no column.  ``most`` says
+    how often any key can occur in ``large``; without it the rows are counted, so hand in
+    a written table.
     """
+    if (large.count() if most is None else most) <= salt_rows:  # no key can be hot
+        return large.join(index, key)
     hot = lookup(salts(large, key, salt_rows), "salts")
     copies = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
     repeated = index.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(copies)).drop("salts")
