@@ -1,15 +1,19 @@
-"""Near-duplicate vectors by projection passes whose runs are compared whole.
-
-Equal vectors of a label form one class.  The classes of a label are cut into runs, and
-all pairs of a run are compared, in tiles of at most ``BLOCK`` classes.  A label of few
-tiles is one run, so that nothing can be missed.  A larger one may be cut in passes: each
-gives every class a code of random hyperplane hashes, and a run holds the classes that
-share its first ``depth`` bits.  Vectors at the threshold share a bit with probability
-1 - acos(0.98) / pi = 0.936 wherever the others lie, so the passes of a depth follow from
-``MISS`` alone: a pair at the threshold is apart in all of them with that probability at
-most.  How the classes lie decides the work only: for each label the depth of least work
-is taken, by the runs that its codes form, and whole labels are among the choices.  Links
-found are united across runs.
+"""Near-duplicate vectors by sorted projection passes.
+
+Equal vectors of a label form one class.  A pass gives every class a code of random
+hyperplane hashes and orders a label by it, bit for bit from the first.  A class is
+compared with its neighbours in that order as long as they share the first ``depth``
+bits, which is a window of about ``WINDOW`` classes where codes are spread evenly and a
+wider one where vectors crowd; nothing caps it.  ``depth`` follows from the number of
+classes, and the number of passes from the depth: vectors at the threshold share a bit
+with probability 1 - acos(0.98) / pi = 0.936 wherever the others lie, and a pair at the
+threshold is apart in all passes with probability ``MISS`` at most.  Verified pairs are
+united across passes.
+
+A label of at most ``WALK`` blocks is ordered and walked in one task, so its vectors
+move once; the runs of a larger one are dealt out, and a run of more than ``BLOCK``
+classes is cut into tiles that are compared two by two.  Codes, order and windows are the
+same in both.
 
 All links of a vector lie within its component, so the number of links is counted there,
 exactly: a component is cut into tiles of at most ``TILE`` members and each pair of tiles
@@ -31,38 +35,45 @@ from gleanmark.llm.graph import components
 from gleanmark.llm.vectors import stacked, usable, vector_key
 
 COSINE = 0.98
-WINDOW = 32
+WINDOW = 8
 MISS = 1e-6
 BLOCK = 2048
+WALK = 8
 TILE = 1024
-DEPTHS = (4, 8, 12, 16, 20, 24, 32, 40)
-TRIAL_PASSES = 2  # in which the runs of a depth are counted
-COPY = 2000  # pairs that are compared in the time that one vector takes to reach a task
+MOST_DEPTH = 40
 CHUNK = 512
 SEED = 11
 
 
+def depth_for(n: int, window: int) -> int:
+    """Leading bits that about ``window`` of ``n`` evenly spread codes share."""
+    return min(MOST_DEPTH, max(1, math.ceil(math.log2(max(1, n) / window))))
+
+
 def passes_for(depth: int, cosine: float, miss: float) -> int:
     """Passes in all of which a pair at the threshold differs in ``depth`` bits with probability ``miss`` at most."""
-    shared = (1 - math.acos(cosine) / math.pi) ** depth
+    shared = (1 - math.acos(min(1.0, cosine)) / math.pi) ** depth
     return 1 if shared == 1 else math.ceil(math.log(miss) / math.log1p(-shared))
 
 
+def _codes(x: np.ndarray, passes: int, seed: int = SEED) -> np.ndarray:
+    """One 64-bit code of hyperplane hashes per row and pass, the first bit highest."""
+    planes = np.random.default_rng([seed, x.shape[1]]).standard_normal((64 * passes, x.shape[1]))
+    bits = (x @ planes.T > 0).reshape(len(x), passes, 8, 8)
+    return np.packbits(bits, axis=3).reshape(len(x), passes, 8).copy().view(">i8")[:, :, 0].astype(np.int64)
+
+
 def codes(vector: Column, passes: int, seed: int = SEED) -> Column:
     """One 64-bit code of hyperplane hashes per pass."""
 
     @F.pandas_udf("array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        planes: dict[int, np.ndarray] = {}
         for some in batches:
             out = np.empty((len(some), passes), dtype=np.int64)
             lengths = some.map(len).to_numpy()
             for d in np.unique(lengths):
-                if d not in planes:
-                    planes[d] = np.random.default_rng([seed, d]).standard_normal((d, 64 * passes))
                 at = np.flatnonzero(lengths == d)
-                bits = (stacked(some.iloc[at]) @ planes[d] > 0).reshape(len(at), passes, 8, 8)
-                out[at] = np.packbits(bits, axis=3).reshape(len(at), passes, 8).copy().view(">i8")[:, :, 0]
+                out[at] = _codes(stacked(some.iloc[at]), passes, seed)
             yield pd.Series(list(out))
 
     return run(vector)
@@ -83,27 +94,20 @@ def _prefix(code: Column, depth: Column) -> Column:
     return F.call_function("shiftrightunsigned", code, (64 - depth).cast("int"))
 
 
-def _depths(classes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
-    """(label, depth, passes): per label the cut of least work; depth 0 is the whole label.
+def runs_of(prefixes: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of neighbours in the order of a pass that share their first bits, where there are several."""
+    order = np.argsort(prefixes, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(prefixes[order])) + 1):
+        if len(at) > 1:
+            yield at
 
-    ``window`` only tells the work: a run counts as one of so many classes at least.
-    """
-    spark = classes.sparkSession
-    work = lambda n: n * F.ceil(n / block) * COPY + n * n / 2
-    size = F.col("n").cast("double")
-    labels = stage(classes.groupBy("label").agg(F.count("*").alias("n")).withColumn("work", work(size)), "labels")
-    whole = labels.select("label", F.lit(0).alias("depth"), F.lit(1).alias("passes"), "work")
-    choices = spark.createDataFrame([(d, passes_for(d, cosine, miss)) for d in DEPTHS], "depth int, passes int")
-    # No cut takes fewer copies of a vector than the passes of the least depth.
-    large = labels.where(F.ceil(F.col("n") / block) > passes_for(DEPTHS[0], cosine, miss)).select("label")
-    if not large.isEmpty():
-        coded = classes.join(large, "label").select("label", F.posexplode(codes(F.col("vector"), TRIAL_PASSES)).alias("turn", "code"))
-        runs = coded.crossJoin(F.broadcast(choices)).groupBy("label", "depth", "passes", "turn", _prefix(F.col("code"), F.col("depth")).alias("run")).count()
-        n = F.greatest(F.col("count"), F.lit(window)).cast("double")
-        cut = runs.groupBy("label", "depth", "passes").agg((F.sum(work(n)) / TRIAL_PASSES * F.col("passes")).alias("work"))
-        whole = whole.unionByName(cut)
-    best = whole.groupBy("label").agg(F.min(F.struct("work", "depth", "passes")).alias("best"))
-    return stage(best.select("label", "best.depth", "best.passes"), "depths")
+
+def passes_over(x: np.ndarray, window: int, miss: float, cosine: float) -> Iterator[np.ndarray]:
+    """The runs of all passes over the vectors of one label."""
+    depth = depth_for(len(x), window)
+    found = _codes(x, passes_for(depth, cosine, miss)).view(np.uint64) >> np.uint64(64 - depth)
+    for turn in range(found.shape[1]):
+        yield from runs_of(found[:, turn])
 
 
 def _forest(x: np.ndarray, left: np.ndarray, right: np.ndarray, cosine: float) -> list[tuple[int, int]]:
@@ -137,17 +141,47 @@ def _dealt(members: DataFrame, sizes: DataFrame, group: str, tile: int, *columns
     )
 
 
-def _run_links(classes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
-    """Links (a, b) found in the runs, reduced to a forest within each pair of tiles."""
-    depths = _depths(classes, cosine, window, miss, block)
-    most = depths.where("depth > 0").agg(F.max("passes")).first()[0]
-    chosen = classes.join(F.broadcast(depths), "label")
-    slim = chosen.where("depth = 0").select("label", "rep", F.lit(0).alias("turn"), F.lit(0).cast("long").alias("prefix"))
-    if most:
-        cut = chosen.where("depth > 0").select("label", "rep", "depth", F.slice(codes(F.col("vector"), most), F.lit(1), F.col("passes")).alias("codes"))
-        cut = cut.select("label", "rep", "depth", F.posexplode("codes").alias("turn", "code"))
-        slim = slim.unionByName(cut.select("label", "rep", "turn", _prefix(F.col("code"), F.col("depth")).alias("prefix")))
-        slim = stage(slim, "passes")
+def _links_of_label(x: np.ndarray, window: int, miss: float, cosine: float) -> list[tuple[int, int]]:
+    """Pairs of rows that unite what the passes link."""
+    part, links = np.arange(len(x)), []
+    for at in passes_over(x, window, miss, cosine):
+        if (part[at] == part[at[0]]).all():
+            continue
+        everyone = np.arange(len(at))
+        for a, b in _forest(x[at], everyone, everyone, cosine):
+            a, b = at[a], at[b]
+            if part[a] != part[b]:
+                links.append((a, b))
+                part[part == part[b]] = part[a]
+    return links
+
+
+def _small_labels(classes: DataFrame, sizes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
+    """Links (a, b) in the labels that one task takes whole, several of them in each."""
+    rows = sizes.agg(F.sum("n")).first()[0] or 0
+    bins = math.ceil(2 * rows / block) + 1
+
+    def walk(frame: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        for _, of_label in frame.groupby("label", sort=False):
+            for part in _by_length(of_label.sort_values("rep")):
+                rep = part["rep"].to_numpy()
+                links += [(int(rep[a]), int(rep[b])) for a, b in _links_of_label(_unit(part["vector"]), window, miss, cosine)]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    taken = classes.join(sizes, "label").withColumn("task", F.pmod(F.xxhash64("label"), F.lit(bins)))
+    return taken.select("task", "label", "rep", "vector").groupBy("task").applyInPandas(walk, "a long, b long")
+
+
+def _large_labels(classes: DataFrame, sizes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
+    """Links (a, b) found in the runs of larger labels, reduced to a forest within each pair of tiles."""
+    depth = F.least(F.greatest(F.ceil(F.log2(F.col("n") / window)), F.lit(1)), F.lit(MOST_DEPTH)).cast("int")
+    passes = F.element_at(F.array(*[F.lit(passes_for(d, cosine, miss)) for d in range(1, MOST_DEPTH + 1)]), depth)
+    chosen = classes.join(sizes.withColumn("depth", depth).withColumn("passes", passes), "label")
+    most = passes_for(depth_for(sizes.agg(F.max("n")).first()[0], window), cosine, miss)
+    coded = chosen.select("label", "rep", "depth", F.slice(codes(F.col("vector"), most), F.lit(1), F.col("passes")).alias("codes"))
+    coded = coded.select("label", "rep", "depth", F.posexplode("codes").alias("turn", "code"))
+    slim = stage(coded.select("label", "rep", "turn", _prefix(F.col("code"), F.col("depth")).alias("prefix")), "passes")
     key = ["label", "turn", "prefix"]
     runs = stage(slim.groupBy(*key).agg(F.count("*").alias("size")).where("size > 1").withColumn("run", F.monotonically_increasing_id()), "runs")
     dealt = _dealt(slim.join(runs, key).select("run", "label", "rep", "size"), runs, "run", block)
@@ -168,6 +202,14 @@ def _run_links(classes: DataFrame, cosine: float, window: int, miss: float, bloc
     return dealt.join(vectors, ["label", "rep"]).groupBy("task", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
+def _run_links(classes: DataFrame, cosine: float, window: int, miss: float, block: int) -> DataFrame:
+    """Links (a, b) whose components are those of all links that the passes meet."""
+    sizes = stage(classes.groupBy("label").agg(F.count("*").alias("n")), "labels")
+    small, large = sizes.where(F.col("n") <= WALK * block), sizes.where(F.col("n") > WALK * block)
+    links = _small_labels(classes, small, cosine, window, miss, block)
+    return links if large.isEmpty() else links.unionByName(_large_labels(classes, large, cosine, window, miss, block))
+
+
 def _link_counts(members: DataFrame, cosine: float, tile: int) -> DataFrame:
     """(rep, links): for every member of a component the rows of other classes linked with it."""
     sizes = stage(members.groupBy("component").agg(F.count("*").alias("size")), "sizes")

@@ -207,7 +207,7 @@ def _vectors(seed=0, n=400, d=16):
 _SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
-@pytest.mark.parametrize("sizes", [{}, {"window": 4, "block": 64, "tile": 16}])
+@pytest.mark.parametrize("sizes", [{}, {"window": 4, "block": 64, "tile": 16}, {"window": 4, "block": 8, "tile": 16}])
 def test_near_duplicate_vectors(spark, sizes):
     importable(spark)
     rows = _vectors()
