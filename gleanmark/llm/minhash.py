@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanmark.llm.common import fresh_name, in_slices, stage
+from gleanmark.llm.common import fresh_name, release_memory, row_slices, stage
 from gleanmark.llm.graph import components
 from gleanmark.llm.shingles import band_keys, shingle_set, similarity_sketches
 
@@ -47,24 +48,29 @@ TILE = 512
 _SKETCH = "n long, key binary, bands array<long>, sketch binary"
 
 
-def sketched(text: Column, width: int = WIDTH, bands: int = BANDS, coordinates: int = COORDINATES) -> Column:
-    """Struct of set size, 128-bit key of the set, band keys and one byte per coordinate; empty sets have nulls."""
+def sketched(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, coordinates: int = COORDINATES) -> DataFrame:
+    """(doc_id, n, key, bands, sketch) of (doc_id, text): set size, 128-bit key of the set, band keys and one byte per coordinate.
 
-    @F.pandas_udf(_SKETCH)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sizes, keys, banded, bytewise = [], [], [], []
-            for some in in_slices(texts.fillna("").tolist()):
-                sets = [shingle_set(t, width) for t in some]
+    Empty sets have nulls.  A batch is sketched in slices that are handed on one by one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in row_slices(batch.column(1)):
+                sets = [shingle_set(t, width) for t in texts]
                 found = similarity_sketches([s for s in sets if len(s)], coordinates)
                 rows, low = iter(band_keys(found, bands)), iter(found.astype(np.uint8))
-                sizes += [len(s) for s in sets]
-                keys += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                banded += [next(rows) if len(s) else None for s in sets]
-                bytewise += [next(low).tobytes() if len(s) else None for s in sets]
-            yield pd.DataFrame({"n": sizes, "key": keys, "bands": banded, "sketch": bytewise})
+                columns = [
+                    batch.column(0).slice(start, len(sets)),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([next(low).tobytes() if len(s) else None for s in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "key", "bands", "sketch"])
+        release_memory()
 
-    return run(text)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, {_SKETCH}")
 
 
 def verified(a: Column, b: Column, width: int = WIDTH, percent: int = PERCENT) -> Column:
@@ -81,6 +87,7 @@ def verified(a: Column, b: Column, width: int = WIDTH, percent: int = PERCENT) -
                 common = len(np.intersect1d(kept, other, assume_unique=True))
                 out.append(100 * common >= percent * (len(kept) + len(other) - common))
             yield pd.Series(out, dtype=bool)
+        release_memory()
 
     return run(a, b)
 
@@ -213,7 +220,7 @@ def near_duplicates(
     alone, with a null component, and is kept.  An empty table gives an empty one.
     """
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = stage(base.select("doc_id", sketched(F.col("text"), width).alias("s")).select("doc_id", "s.*"), "sets")
+    sets = stage(sketched(base, width), "sets")
     named = sets.where("doc_id is not null and key is not null")
     firsts = stage(named.groupBy("key").agg(F.min("doc_id").alias("rep")), "firsts")
     # The class's first document speaks for it.

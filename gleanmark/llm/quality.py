@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanmark.llm.common import in_slices
+from gleanmark.llm.common import in_slices, release_memory
 
 # The labelled rows that a fit may use, at 16 bytes each the bound of what is broadcast.
 MOST_ROWS = 200_000
@@ -178,6 +178,7 @@ def score(text: Column, model: Discriminant) -> Column:
         for texts in batches:
             parts = [model.score(matrix(some)) for some in in_slices(texts.fillna("").tolist())]
             yield pd.Series(np.concatenate(parts) if parts else [], dtype=float)
+        release_memory()
 
     return run(text)
 
