@@ -2,15 +2,16 @@
 
 A sequence of tokens is the merge result of a word exactly when every two
 neighbours are *compatible*: merging their joined symbols gives the two tokens
-back.  The encoder therefore never replays merges.  A walk of the vocabulary's
-trie gives the longest token that begins at a place of a word, and a table the next shorter one that it begins with; a pair-compatibility table accepts or
-rejects each beside its left neighbour, and a place from which no token fits is marked
+back.  The encoder therefore never replays merges.  One pass of an Aho-Corasick
+automaton of the reversed tokens over the reversed word gives, for each place, the
+longest token that begins there, and a table the next shorter one that it begins with;
+a pair-compatibility table accepts or rejects each beside its left neighbour, and a place from which no token fits is marked
 dead and never tried again, so that the work is linear in the word.  The pair table is
 filled as pairs turn up, each by undoing merges across the border.
 
 Normalisation and the split into words are the vocabulary file's own components;
 both treat every blank-separated unit by itself, so units are encoded once per
-worker and looked up afterwards.  A unit of printing ASCII needs of them no more than
+task and looked up afterwards.  A unit of printing ASCII needs of them no more than
 lower case and the file's word pattern.
 """
 
@@ -25,16 +26,18 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanmark.llm.common import in_slices, tokenizer_file
+from gleanmark.llm.common import in_slices, release_memory, row_slices, tokenizer_file
 
 VOCABULARY = "word_bpe_49k.json"
 
-# Units (and words) whose ids a worker remembers in each of two generations: when the
-# younger is full it becomes the older, and what is met again moves back.
-MOST_UNITS = 400_000
+# Units (and words) whose ids a task remembers in each of two generations: when the
+# younger is full it becomes the older, and what is met again moves back.  A worker keeps
+# none of them when its task ends.
+MOST_UNITS = 300_000
 
 # A final symbol with an end-of-word mark is one symbol; it is moved here.
 _END = 0xF0000
@@ -57,7 +60,7 @@ class PairTable:
         pair = (left, right)
         found = self.known.get(pair)
         if found is None:
-            if len(self.known) >= 500_000:
+            if len(self.known) >= 250_000:
                 self.known.clear()
             found = self.known[pair] = self._apart(left, right)
         return found
@@ -131,11 +134,10 @@ class Encoder:
         self.tokens = {self._symbols(token): i for token, i in vocab.items() if i not in made or self._is_reached(i)}
         self.automaton = ahocorasick.Automaton()
         for symbols, i in self.tokens.items():
-            self.automaton.add_word(symbols, i)
+            self.automaton.add_word(symbols[::-1], i)
         self.automaton.make_automaton()
-        self.reach = max(map(len, self.tokens))
         self.length = {i: len(symbols) for symbols, i in self.tokens.items()}
-        self.shorter = {i: self._longest(symbols[:-1]) for symbols, i in self.tokens.items()}
+        self.shorter = {i: self._shorter(symbols) for symbols, i in self.tokens.items()}
 
         self.library = Tokenizer.from_file(path)
         self.normalize = self.library.normalizer.normalize_str
@@ -178,39 +180,47 @@ class Encoder:
             return [token]
         length, shorter, known = self.length, self.shorter, self.compatible.known
         path: list[int] = []
-        at, dead = 0, bytearray(len(symbols) + 1)
-        token = self._longest(symbols[: self.reach])
+        at, left, dead = 0, None, bytearray(len(symbols) + 1)
+        longest = self._longest(symbols)
+        token = longest[0]
         while True:
             while token is not None:
                 to = at + length[token]
                 if not dead[to]:
-                    if not path:
+                    if left is None:
                         break
-                    fits = known.get((path[-1], token))
-                    if self.compatible(path[-1], token) if fits is None else fits:
+                    fits = known.get((left, token))
+                    if self.compatible(left, token) if fits is None else fits:
                         break
                 token = shorter[token]
             if token is None:
                 dead[at] = 1
-                if not path:
+                if left is None:
                     raise ValueError(f"no tokens for {word!r}")
-                last = path.pop()
-                at -= length[last]
-                token = shorter[last]
+                path.pop()
+                at -= length[left]
+                token, left = shorter[left], path[-1] if path else None
                 continue
             path.append(token)
             if to == len(symbols):
                 return path
-            at = to
-            token = self._longest(symbols[at : at + self.reach])
-
-    def _longest(self, symbols: str) -> int | None:
-        """The longest token that ``symbols`` begin with."""
-        for n in range(self.automaton.longest_prefix(symbols), 0, -1):
-            token = self.tokens.get(symbols[:n])
-            if token is not None:
-                return token
-        return None
+            at, left = to, token
+            token = longest[at]
+
+    def _shorter(self, symbols: str) -> int | None:
+        """The longest token that a token begins with, itself apart."""
+        shorter = (self.tokens.get(symbols[:n]) for n in range(len(symbols) - 1, 0, -1))
+        return next((token for token in shorter if token is not None), None)
+
+    def _longest(self, symbols: str) -> list[int | None]:
+        """For each place the longest token that begins there, from one pass from the end."""
+        last, seen = len(symbols) - 1, -1
+        found: list[int | None] = [None] * len(symbols)
+        for end, token in self.automaton.iter(symbols[::-1]):
+            if end != seen:  # of the matches that end at a place the longest comes first
+                found[last - end] = token
+                seen = end
+        return found
 
     def _split(self, piece: str) -> list[str]:
         """Words of a piece without special strings, in the byte alphabet."""
@@ -286,6 +296,12 @@ class Encoder:
             for units in split:
                 yield b"".join(map(self.units.__getitem__, units))
 
+    def forget(self) -> None:
+        """Drop what was remembered of the texts."""
+        self.units, self.older, self.words = {}, {}, {}
+        self.compatible.known.clear()
+        release_memory()
+
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the tokens joined by a blank, gathered from the offset table."""
         tokens = np.frombuffer(ids, dtype="<u4")
@@ -315,6 +331,7 @@ def encode(text: Column, vocabulary: str = VOCABULARY) -> Column:
         for texts in batches:
             ids = list(enc.encode(texts.fillna("").tolist()))
             yield pd.DataFrame({"n_tokens": [len(x) // 4 for x in ids], "ids": ids})
+        enc.forget()
 
     return run(text)
 
@@ -331,30 +348,32 @@ def decode(ids: Column, vocabulary: str = VOCABULARY) -> Column:
     return run(ids)
 
 
-def round_trip(text: Column, vocabulary: str = VOCABULARY, keep_ids: bool = False) -> Column:
-    """Struct of token count and SHA-256 of ids and of the decoded text (and the ids, if kept)."""
-    names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])]
-
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer_file(vocabulary))
-        for texts in batches:
-            rows = []
-            for ids in enc.encode(texts.fillna("").tolist()):
-                digests = hashlib.sha256(ids).hexdigest(), hashlib.sha256(enc.decode(ids)).hexdigest()
-                rows.append((len(ids) // 4, *digests, *([ids] if keep_ids else [])))
-            yield pd.DataFrame(rows, columns=names)
-
-    return run(text)
-
-
 def encoded_documents(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str = VOCABULARY, keep_ids: bool = False
 ) -> DataFrame:
     """One row per document: its id, token count and the digests of ids and decoded text (and the ids, if kept).
 
     Rows are independent of each other: null ids, repeated rows and further columns
-    change nothing, an empty table gives an empty one.
+    change nothing, an empty table gives an empty one.  A batch is encoded in slices that
+    are handed on one by one.
     """
-    coded = docs.select(F.col(doc_id).alias("doc_id"), round_trip(F.col(text), vocabulary, keep_ids).alias("coded"))
-    return coded.select("doc_id", "coded.*")
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer_file(vocabulary))
+        for batch in batches:
+            for start, texts in row_slices(batch.column(1)):
+                ids = list(enc.encode(texts))
+                columns = [
+                    batch.column(0).slice(start, len(ids)),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                    pa.array([hashlib.sha256(enc.decode(x)).hexdigest() for x in ids]),
+                    *([pa.array(ids, pa.binary())] if keep_ids else []),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+        enc.forget()
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    digests = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, {digests}")

@@ -147,6 +147,18 @@ def test_deep_pages():
     assert html_text.main_text("<b><p>" * 50_000 + "x" + "</p></b>" * 50_000) == "x"
 
 
+def test_one_pass_gives_the_longest_match_at_every_place():
+    enc, rng = bpe.encoder(tokenizer_file(bpe.VOCABULARY)), np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdehinorstu"), rng.integers(1, 30))) for _ in range(2000)] + ["internationalization" * 3, "x", "zzzzqqqq"]
+    for word in words:
+        symbols = word[:-1] + chr(bpe._END + ord(word[-1]))
+        ends = lambda i: (enc.tokens.get(symbols[i:j]) for j in range(len(symbols), i, -1))
+        assert enc._longest(symbols) == [next((t for t in ends(i) if t is not None), None) for i in range(len(symbols))]
+    for token, shorter in list(enc.shorter.items())[::97]:
+        symbols = next(x for x, i in enc.tokens.items() if i == token)
+        assert shorter == next((enc.tokens[symbols[:j]] for j in range(len(symbols) - 1, 0, -1) if symbols[:j] in enc.tokens), None)
+
+
 @pytest.mark.parametrize("piece", ["<a ", '<a href="', "<!-- ", "</p ", "<a b='", "<? ", "<![CDATA[ "])
 def test_long_pages_that_never_close_a_tag(piece):
     """From the first < without a > all is text, as in the library, in one step."""
