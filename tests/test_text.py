@@ -98,3 +98,17 @@ def test_any_text(spark, values):
     assert evaluate(spark, values, tx.collapse_whitespace("s")) == [" ".join(s.split()) for s in values]
     assert evaluate(spark, values, tx.word_count("s")) == [len(s.split()) for s in values]
     assert evaluate(spark, values, tx.nfkc("s")) == [unicodedata.normalize("NFKC", s) for s in values]
+
+
+def test_nfkc_of_batches_longer_than_a_slice(spark, monkeypatch):
+    """Python holds a few values of a batch as strings, nulls stay, order stays."""
+    import pyarrow as pa
+
+    values = [(i, None if i % 7 == 0 else f"ﬁ{i}é" if i % 3 else f"a{i}") for i in range(500)]
+    got = dict(spark.createDataFrame(values, "i int, t string").coalesce(1).select("i", tx.nfkc("t")).collect())
+    assert got == {i: None if t is None else t.replace("ﬁ", "fi") for i, t in values}
+    sizes = []
+    run = tx._nfkc.func
+    seen = type("Seen", (), {"null_count": 0, "type": pa.string(), "__len__": lambda s: 500})()
+    seen.slice = lambda i, n: sizes.append(n) or pa.array([t for _, t in values[i : i + n]])
+    assert run(seen).to_pylist() == [got[i] for i in range(500)] and max(sizes) <= 64
