@@ -7,10 +7,13 @@
    are left out, the rest is verified on the full sets, and the links are contracted
    into components.  A group of thousands of near copies costs one pair per member.
 3. Buckets that still hold several components are compared within themselves, in tiles of
-   bounded size.  A task compares the sketches of its tiles as a matrix, leaves out pairs
-   that are joined already, that meet in an earlier band too, or whose sketches lie too
-   far below the similarity, verifies the rest on their full sets, and
-   gives only links that join components.  No pair is ever a row.
+   bounded size.  Members of the largest component of a bucket have nothing to compare
+   among themselves, so their tiles meet those of the others alone: a large group with
+   strangers that fit one tile repeats no member of the group.  A task compares the
+   sketches of its tiles as a matrix, leaves out pairs that are joined already, that meet
+   in an earlier band too, or whose sketches lie too far below the similarity, verifies
+   the rest on their full sets, and gives only links that join components.  No pair is
+   ever a row.
 
 With 40 bands of 5 coordinates a pair at similarity 0.75 shares a bucket with
 probability 1 - (1 - 0.75^5)^40 > 0.99997, and more alike pairs more surely.
@@ -40,10 +43,13 @@ COORDINATES = 5 * BANDS
 BROADCAST_IDS = 2_000_000
 
 # Shingles that a tile holds on average.
-TILE_SHINGLES = 500_000
+TILE_SHINGLES = 1_000_000
 
 # Members of a tile; a bucket of more is several tiles, compared two by two.
-TILE = 512
+TILE = 2048
+
+# Shingles that are held against one set at a time.
+CHUNK_SHINGLES = 500_000
 
 _SKETCH = "n long, key binary, bands array<long>, sketch binary"
 
@@ -136,6 +142,16 @@ class _Roots(dict):
         return v
 
 
+def _reach(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets reach the similarity with ``one``."""
+    sizes = np.array([len(o) for o in others])
+    held, ends = np.concatenate(others), np.cumsum(sizes)
+    found = one[np.minimum(np.searchsorted(one, held), len(one) - 1)] == held if len(one) else np.zeros(len(held), dtype=bool)
+    before = np.concatenate([[0], np.cumsum(found)])
+    common = before[ends] - before[ends - sizes]
+    return 100 * common >= percent * (len(one) + sizes - common)
+
+
 def _tile_links(frame: pd.DataFrame, width: int, percent: int, coordinates: int) -> pd.DataFrame:
     """Links that join components among the members of one tile, or between two."""
     frame = frame.sort_values("rep").reset_index(drop=True)
@@ -152,6 +168,11 @@ def _tile_links(frame: pd.DataFrame, width: int, percent: int, coordinates: int)
             sets[i] = shingle_set(frame["text"].iat[i], width)
         return sets[i]
 
+    def apart(i: int, among: np.ndarray) -> np.ndarray:
+        """Those that no link joins with ``i`` yet."""
+        own = roots.root(int(component[i]))
+        return np.array([j for j in among if roots.root(int(component[j])) != own], dtype=np.int64)
+
     for i in range(len(frame) - 1):
         rest = slice(i + 1, None)
         maybe = (component[rest] != component[i]) & (rep[rest] != rep[i])
@@ -163,36 +184,54 @@ def _tile_links(frame: pd.DataFrame, width: int, percent: int, coordinates: int)
         at, alike = at[alike >= floor], alike[alike >= floor]
         # A pair that meets in an earlier band is compared there.
         later = ~(bands[at] == bands[i]).any(axis=1)
-        for j in at[later][np.argsort(-alike[later], kind="stable")]:
-            a, b = roots.root(int(component[i])), roots.root(int(component[j]))
-            if a == b:
-                continue
-            x, y = shingles(i), shingles(j)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= percent * (len(x) + len(y) - common):
-                roots[max(a, b)] = min(a, b)
-                links.append((int(rep[i]), int(rep[j])))
+        wanted, most = at[later][np.argsort(-alike[later], kind="stable")], 1
+        # The most alike first and alone, as it may join what the others belong to.
+        while len(wanted := apart(i, wanted)):
+            some, wanted = wanted[:most], wanted[most:]
+            for j in some[_reach(shingles(i), [shingles(j) for j in some], percent)]:
+                a, b = roots.root(int(component[i])), roots.root(int(component[j]))
+                if a != b:
+                    roots[max(a, b)] = min(a, b)
+                    links.append((int(rep[i]), int(rep[j])))
+            most = max(1, CHUNK_SHINGLES // int(n[i]))
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _in_tiles(members: DataFrame, tile: int) -> DataFrame:
+    """``members`` of buckets that hold several components, once for each two tiles ``lo, hi`` that their own, ``mine``, is one of.
+
+    Two members of a bucket and different components meet once.  Tiles are bounded by rows and by the length of their texts.
+    """
+    parts = members.groupBy("band", "component").agg(F.count("*").alias("size"), F.sum("n").alias("all"))
+    open_buckets = parts.groupBy("band").agg(
+        F.max(F.struct("size", "component", "all")).alias("main"), F.sum("size").alias("size"), F.sum("all").alias("all"), F.count("*").alias("parts")
+    ).where("parts > 1")
+    tiles = lambda size, of: F.greatest(F.ceil(size / tile), F.ceil(of / TILE_SHINGLES))
+    whole = tiles(F.col("size"), F.col("all")) == 1
+    open_buckets = open_buckets.select(
+        "band",
+        F.when(~whole, F.col("main.component")).alias("main"),
+        F.when(whole, 0).otherwise(tiles(F.col("main.size"), F.col("main.all"))).alias("main_tiles"),
+        F.when(whole, 1).otherwise(tiles(F.col("size") - F.col("main.size"), F.col("all") - F.col("main.all"))).alias("other_tiles"),
+    )
+    members = stage(members.drop("n").join(open_buckets, "band"), "members")
+    # Tiles of the largest component come after the others', and meet those alone.
+    in_main = F.col("component").eqNullSafe(F.col("main"))
+    place = F.xxhash64("rep")
+    mine = F.when(in_main, F.col("other_tiles") + F.pmod(place, F.greatest("main_tiles", F.lit(1)))).otherwise(F.pmod(place, F.col("other_tiles")))
+    met = F.when(in_main, F.col("other_tiles")).otherwise(F.col("other_tiles") + F.col("main_tiles"))
+    dealt = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
+    return dealt.select("band", "turn", "rep", "component", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+
+
 def _links(buckets: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, tile: int, coordinates: int) -> DataFrame:
     """Links (a, b) whose components are those of all verified links."""
     star = _star_links(buckets, classes, texts, width, percent, coordinates)
     found = components(star).withColumnRenamed("node", "rep")
     members = buckets.select("band", "turn", "rep", "n").join(found, "rep", "left")
     members = members.withColumn("component", F.coalesce("component", "rep"))
-    open_buckets = members.groupBy("band").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), F.sum("n").alias("all")
-    ).where("x < y")
-    members = stage(members.drop("n").join(open_buckets.select("band", "size", "all"), "band"), "members")
-    # Bounded by rows and by the length of their texts.
-    tiles = F.greatest(F.ceil(F.col("size") / tile), F.ceil(F.col("all") / TILE_SHINGLES))
-    dealt = (
-        members.withColumn("mine", F.pmod(F.xxhash64("rep"), tiles))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
-        .select("band", "turn", "rep", "component", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
-        .join(classes.select("rep", "n", "bands", "sketch"), "rep").join(texts, "rep")
-    )
+    tiled = _in_tiles(members, tile)
+    dealt = tiled.join(classes.select("rep", "n", "bands", "sketch"), "rep").join(texts, "rep")
     compare = lambda frame: _tile_links(frame, width, percent, coordinates)
     more = dealt.groupBy("band", "lo", "hi").applyInPandas(compare, "a long, b long")
     return star.unionByName(stage(more, "tile-links"))

@@ -1,6 +1,7 @@
 """Duplicate, mixing, url and vector operators and the pipeline against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -75,6 +76,35 @@ def test_near_duplicates(spark, tile):
     assert got[None]["component_id"] is None and got[None]["kept"]
 
 
+def test_a_large_group_is_not_repeated_for_few_strangers(spark):
+    """Each two members of other components meet once, and the rows grow with the group, not with its square."""
+    rows = [(band, 0, rep, 50, rep if rep % strange == 1 else 0) for band, size, strange in ((1, 400, 80), (2, 800, 160), (3, 9, 4)) for rep in range(size)]
+    members = spark.createDataFrame(rows + [(4, 0, rep, 50, 0) for rep in range(30)], "band long, turn int, rep long, n long, component long")
+    dealt = minhash._in_tiles(members, 10).collect()
+    n = {band: sum(r["band"] == band for r in dealt) for band in (1, 2, 3, 4)}
+    assert n[1] < 800 and n[2] < 1600 and n[3] == 9 and not n[4]
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r["band"], r["lo"], r["hi"]), []).append(r)
+    met = Counter()
+    for (band, lo, hi), g in groups.items():
+        for x, a in enumerate(g):
+            for b in g[x + 1 :]:
+                if a["component"] != b["component"] and (lo == hi or a["mine"] != b["mine"]):
+                    met[(band, *sorted((a["rep"], b["rep"])))] += 1
+    want = {(p[0], *sorted((p[2], q[2]))) for p in rows for q in rows if p[0] == q[0] and p[4] != q[4]}
+    assert set(met) == want and set(met.values()) == {1}
+
+
+@pytest.mark.parametrize("size", [0, 1, 60])
+def test_sets_held_against_one(size):
+    rng = np.random.default_rng(size)
+    some = lambda n: np.unique(rng.integers(0, 80, n).astype(np.uint64))
+    one, others = some(size), [some(n) for n in (0, 1, 50, 60, 70, 400, 0)]
+    want = [100 * len(np.intersect1d(one, o)) >= 75 * len(np.union1d(one, o)) for o in [*others, one]]
+    assert minhash._reach(one, [*others, one], 75).tolist() == want
+
+
 def test_one_of_each_group_stays(spark):
     rows = [(1, "a b c d e f g", "s"), (1, "a b c d e f g", "s"), (2, "A b c d e f g", None), (3, "", "s"), (4, None, "s"), (5, "other words here", "s")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
