@@ -23,6 +23,9 @@ as many words as their run has, at every place, so no item is too short to be fo
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,9 @@ GRAM = 5
 WINDOW = 4
 LEAST_SHARE = 0.8
 
+# Hashes of words that a task works on at a time.
+SLICE_VALUES = 1 << 20
+
 
 def words_of(text: str | Column) -> Column:
     """Lower-case words between white space; a null or blank text has none."""
@@ -41,26 +47,45 @@ def words_of(text: str | Column) -> Column:
     return F.filter(F.split(whole, " "), lambda w: w != "")
 
 
+def _by_lists(work, kind: pa.DataType):
+    """``work(values, starts, sizes)`` over the int64 lists of a column, a bounded number of values at a time.
+
+    It gives the values of the new lists and their sizes; null lists count as empty.  The
+    function holds all it needs, so it travels to workers that cannot import this package.
+    """
+    at_once = SLICE_VALUES
+
+    def run(lists: pa.Array) -> pa.Array:
+        sizes = pc.list_value_length(lists).fill_null(0).to_numpy().astype(np.int64)
+        ends, values = np.cumsum(sizes), lists.flatten().to_numpy()
+        parts, row = [], 0
+        while row < len(sizes):
+            first = ends[row] - sizes[row]
+            stop = max(row + 1, int(np.searchsorted(ends, first + at_once, "right")))
+            own = sizes[row:stop]
+            made, made_sizes = work(values[first : ends[stop - 1]], np.cumsum(own) - own, own)
+            offsets = np.concatenate([[0], np.cumsum(made_sizes)])
+            parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), made))
+            row = stop
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(kind))
+
+    return run
+
+
 def gram_hashes(words: str | Column, gram: int) -> Column:
-    """One hash for every ``gram`` neighbouring words."""
-    w = _col(words)
-    n = F.size(w) - gram + 1
-    hashed = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(w, i, gram)))
-    return F.when(n > 0, hashed).otherwise(F.array().cast("array<bigint>"))
-
-
-def _running(values: Column, window: int, pick, pad: bool) -> Column:
-    """``pick`` over ``window`` neighbours (a power of two), by doubling; padded, over those that exist."""
-    step = 1
-    while step < window:
-        if pad:
-            gap = F.array_repeat(F.lit(None).cast("bigint"), step)
-            values = F.zip_with(F.concat(values, gap), F.concat(gap, values), pick)
-        else:
-            n = F.greatest(F.size(values) - step, F.lit(0))
-            values = F.zip_with(F.slice(values, 1, n), F.slice(values, step + 1, n), pick)
-        step *= 2
-    return values
+    """One hash for every ``gram`` neighbouring words, made of one hash of each word."""
+
+    def work(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        hashed, keep = values.view(np.uint64), np.ones(len(values), bool)
+        out = hashed.copy()
+        for j in range(1, gram):
+            out[:-j] = out[:-j] * np.uint64(0x9E3779B97F4A7C15) + hashed[j:]
+            # The last places of a list have no whole gram.
+            keep[(starts + sizes - j)[sizes >= j]] = False
+        return pa.array(out[keep].view(np.int64)), np.maximum(sizes - gram + 1, 0)
+
+    run = F.arrow_udf(_by_lists(work, pa.int64()), "array<bigint>")
+    return run(F.transform(_col(words), lambda w: F.xxhash64(w)))
 
 
 def fingerprints(hashes: Column, window: int) -> Column:
@@ -70,18 +95,30 @@ def fingerprints(hashes: Column, window: int) -> Column:
     """
     if window & (window - 1):
         raise ValueError("the window must be a power of two")
-    # The greatest of the windows' minima that cover a place is its own hash exactly if it wins one.
-    least = _running(hashes, window, lambda x, y: F.least(x, y), pad=False)
-    cover = _running(least, window, lambda x, y: F.greatest(x, y), pad=True)
-    marked = F.transform(hashes, lambda x, i: F.struct(i.alias("pos"), x.alias("fp")))
-    won = F.zip_with(marked, cover, lambda m, c: F.when(m["fp"] == c, m))
-    return F.when(F.size(hashes) >= window, F.filter(won, lambda m: m.isNotNull())).otherwise(F.filter(marked, lambda m: F.lit(False)))
+    kind = pa.struct([("pos", pa.int32()), ("fp", pa.int64())])
+
+    def work(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        # The greatest of the windows' minima that cover a place is its own hash exactly if it wins one.
+        cover, steps = values.copy(), [1 << k for k in range(window.bit_length() - 1)]
+        for step in steps:
+            cover[:-step] = np.minimum(cover[:-step], cover[step:])
+        for j in range(1, window):  # no window starts there
+            cover[(starts + sizes - j)[sizes >= j]] = np.iinfo(np.int64).min
+        for step in steps:
+            cover[step:] = np.maximum(cover[step:], cover[:-step])
+        won = np.flatnonzero((values == cover) & np.repeat(sizes >= window, sizes))
+        places = (won - np.repeat(starts, sizes)[won]).astype(np.int32)
+        made = pa.StructArray.from_arrays([pa.array(places), pa.array(values[won])], fields=list(kind))
+        return made, np.searchsorted(won, starts + sizes) - np.searchsorted(won, starts)
+
+    return F.arrow_udf(_by_lists(work, kind), "array<struct<pos:int,fp:bigint>>")(hashes)
 
 
 def _placed(texts: DataFrame, key: str, gram: int, window: int) -> DataFrame:
     """``key, pos, fp`` of every fingerprint; ``texts`` has ``words``."""
-    coded = texts.select(key, gram_hashes("words", gram).alias("_g"))
-    return coded.select(key, F.inline(fingerprints(F.col("_g"), window)))
+    coded = texts.select(key, fingerprints(gram_hashes("words", gram), window).alias("_f"))
+    # An inner one would be planned with a filter that takes the fingerprints a second time.
+    return coded.select(key, F.inline_outer("_f")).where("fp is not null")
 
 
 def _index(items: DataFrame, places: DataFrame, gram: int, window: int) -> DataFrame:
@@ -136,7 +173,8 @@ def contained_items(
     other columns are not taken.  Equal items are found each.
     """
     doc_kind, item_kind = documents.schema[doc_id].dataType, items.schema[item_id].dataType
-    docs = documents.select(F.col(doc_id).alias("doc"), words_of(F.col(text)).alias("words"))
+    texts = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+    docs = texts.select("doc", words_of("text").alias("words"))
     wanted = items.select(F.col(item_id).alias("item"), words_of(F.col(item_text)).alias("words")).where(F.size("words") > 0)
     # In whole numbers, so that a share such as 0.8 of 35 words is met by 28.
     ten_thousandths = round(least_share * 10_000)
@@ -155,10 +193,11 @@ def contained_items(
         kinds = f"doc {doc_kind.simpleString()}, item {item_kind.simpleString()}, shift int"
         found = documents.sparkSession.createDataFrame([], kinds)
     met = stage(found, "meetings")
-    # Only documents that met an item are read again.
+    # Only documents that met an item are cut into words again.
     holders = lookup(met.select("doc").distinct(), "holders")
     beside = (
-        docs.join(holders, "doc", "left_semi")
+        texts.join(holders, "doc", "left_semi")
+        .select("doc", words_of("text").alias("words"))
         .join(met, "doc")
         .join(wanted.select("item", "least_run", F.col("words").alias("own")), "item")
     )

@@ -98,3 +98,38 @@ def test_winnowing_marks_the_least_of_some_window(spark):
         got = [r[0] for r in df.select(ct.fingerprints(F.col("g"), window)).collect()]
         assert {m["pos"] for m in got[0]} == want and [m["fp"] for m in got[0]] == [hashes[m["pos"]] for m in got[0]]
         assert got[1] == []
+
+
+def test_lists_are_worked_on_in_slices(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    texts = [[rng.choice("ab") for _ in range(n)] for n in [0, 1, 2, 3, 4, 9, 40, 0, 5, 2, 30] * 3] + [None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, w array<string>").coalesce(1)
+    for gram, window in ((1, 1), (3, 2), (5, 4)):
+        found = []
+        for at_once in (1 << 20, 7):
+            monkeypatch.setattr(ct, "SLICE_VALUES", at_once)
+            hashes = ct.gram_hashes("w", gram)
+            found.append(sorted(tuple(r) for r in df.select("id", hashes, ct.fingerprints(hashes, window)).collect()))
+        assert found[0] == found[1]
+        of, hash_of = {}, {}
+        for i, hashed, marked in found[0]:
+            words = texts[i] or []
+            grams = [tuple(words[k : k + gram]) for k in range(len(words) - gram + 1)]
+            assert len(hashed) == len(grams)
+            for g, h in zip(grams, hashed):
+                assert of.setdefault(h, g) == g and hash_of.setdefault(g, h) == h
+            want = {i for a in range(len(hashed) - window + 1) for i in range(a, a + window) if hashed[i] == min(hashed[a : a + window])}
+            assert [(m["pos"], m["fp"]) for m in marked] == [(k, hashed[k]) for k in sorted(want)]
+
+
+def test_each_word_is_hashed_once_and_only_holders_are_cut_again(spark, tmp_path):
+    spark.createDataFrame([(i, f"x{i} b c d e f g h i j k l y") for i in range(20)], "id long, text string").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    placed = plan(ct._placed(docs.select("id", ct.words_of("text").alias("words")), "id", 5, 4))
+    assert placed.count("regexp_replace(") == placed.count("xxhash64(") == 1 and placed.count("zip_with(") == placed.count("slice(") == 0
+    asked = spark.createDataFrame([("p", "b c d e f g h i j k l")], "name string, text string")
+    found = plan(ct.contained_items(docs, asked, "id", "name"))
+    assert found.index("regexp_replace(") < found.index("LeftSemi")  # the plan is printed from its end
