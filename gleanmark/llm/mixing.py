op5_mixing: texts stay where they were read

Symptom: the mix shuffled every document's text by source and slot only to look up how often it is taken; 1.17 bytes moved for each byte read.
Evidence: over 0.51 GB, 576 of 597 MB written to the shuffle came from the one exchange below the last window, which carried whole rows.
Fix: what an epoch takes of a source is a prefix of its shuffled order, so the last place taken is kept per source and epoch and rows are held against it in a join on source, whose small side is broadcast only while its measured size allows. Where an epoch ends between equal rows, those alone are numbered.
Effect: at 0.6 GB of input CPU 248 -> 243 s, shuffle 0.73 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 1.23 -> 1.24 GB, longest task 6 -> 5 s, most memory of a task 136 -> 101 MB; at 6 GB of input CPU 1044 -> 896 s, shuffle 7.30 -> 0.31 GB, spill 0.00 -> 0.00 GB, read 12.25 -> 12.41 GB, longest task 16 -> 11 s, most memory of a task 153 -> 153 MB; with hot keys, at 0.6 GB of input CPU 190 -> 195 s, shuffle 0.24 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 0.37 -> 0.39 GB, longest task 4 -> 4 s, most memory of a task 101 -> 101 MB.

@@ -9,6 +9,10 @@ The running sums are exact and no source is one task: a source is cut into about
 sqrt(rows) slots of its shuffled order, the slots' sums are accumulated, and rows are
 accumulated within a slot.  The global order is a range-sorted table; the budget ends
 in one of its ranges, and only that range is accumulated row by row.
+
+Only sizes and ids are dealt out and sorted.  What the mix takes of a source in one
+epoch is a prefix of the source's order, so a row is held against the last place taken
+and its text stays where it was read.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gleanmark.llm.common import stage
+from gleanmark.session import lookup
 
 # Fixed values of the mix: weights by rank of the source, share of all words, most
 # times a source may be repeated.
@@ -95,13 +100,17 @@ def mix(
     is taken whole or not at all: the order stops before the first copy that passes
     the budget, and a source stops with the copy that reaches its target.
     """
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.col(source).alias("source"),
-        F.col(doc_id).alias("doc_id"),
-        word_count(F.col(text)).alias("size"),
-        shuffle_key(F.col(doc_id), seed).alias("key"),
-    )
+
+    def sized(table: DataFrame) -> DataFrame:
+        return table.select(
+            F.struct(*table.columns).alias("row"),
+            F.col(source).alias("source"),
+            F.col(doc_id).alias("doc_id"),
+            word_count(F.col(text)).alias("size"),
+            shuffle_key(F.col(doc_id), seed).alias("key"),
+        )
+
+    rows = sized(docs)
     slim = stage(rows.select("source", "doc_id", "size", "key"), "sizes")
     by_source = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     aims = stage(targets(by_source.drop("n"), weights, share, most_epochs), "targets")
@@ -123,13 +132,16 @@ def mix(
     slots = stage(slots, "slots").withColumnsRenamed({"source": "s", "slot": "t"})
     in_slot = W.partitionBy("source", "slot").orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
 
-    def placed(table: DataFrame) -> DataFrame:
-        return (
-            table.withColumn("slot", slot)
-            .withColumn("run", F.sum("size").over(in_slot.rowsBetween(W.unboundedPreceding, 0)))
-            .join(slots, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("t")))
-            .withColumn("cum", F.col("run") + F.col("before"))
-        )
+    # "behind": words of the equal rows that come after this one.
+    placed = (
+        slim.withColumn("slot", slot)
+        .withColumns({
+            "run": F.sum("size").over(in_slot.rowsBetween(W.unboundedPreceding, 0)),
+            "equal": F.sum("size").over(in_slot.rangeBetween(W.unboundedPreceding, 0)),
+        })
+        .join(slots, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("t")))
+        .withColumns({"cum": F.col("run") + F.col("before"), "behind": F.col("equal") - F.col("run")})
+    )
 
     def finish(epoch: Column) -> Column:
         """Virtual finish time of a copy."""
@@ -141,8 +153,8 @@ def mix(
 
     place = ["time", "key", "doc_id", "source", "epoch", "cum"]
     copies = (
-        placed(slim).where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(most_epochs - 1))))
-        .where(reaches(F.col("epoch"))).withColumn("time", finish(F.col("epoch"))).select(*place, "size")
+        placed.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(most_epochs - 1))))
+        .where(reaches(F.col("epoch"))).withColumn("time", finish(F.col("epoch"))).select(*place, "size", "behind")
     )
     order = [F.col(c).asc_nulls_last() for c in place]
     ranges = max(1, math.ceil(math.sqrt(n) / 8))
@@ -154,27 +166,50 @@ def mix(
     sums = queue.groupBy("range").agg(F.sum("size").alias("sum"))
     sums = sums.withColumn("upto", F.sum("sum").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, 0)))
     last = sums.where(F.col("upto") > budget).orderBy("range").first()
-    if last is None:
-        within = [F.lit(True)] * most_epochs
-    else:
+    taken = queue
+    if last is not None:
         # The budget ends in this range; the first copy that passes it ends the mix.
         run = F.sum("size").over(W.partitionBy("range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
         passing = queue.where(F.col("range") == last["range"]).withColumn("upto", run + (last["upto"] - last["sum"]))
         end = passing.where(F.col("upto") > budget).orderBy("upto").first()
-
-        def before_end(epoch: Column) -> Column:
-            here = {"time": finish(epoch), "epoch": epoch}
-            out = F.lit(False)
-            for c in reversed(place):
-                value, bound = here.get(c, F.col(c)), F.lit(end[c])
-                lower = value.isNotNull() if end[c] is None else value < bound
-                out = F.coalesce(lower, F.lit(False)) | (value.eqNullSafe(bound) & out)
-            return out
-
-        within = [before_end(F.lit(e)) for e in range(most_epochs)]
-    takes = [F.when(reaches(F.lit(e)) & within[e], 1).otherwise(0) for e in range(most_epochs)]
-    copies_taken = F.when(F.col("size") == 0, 1).otherwise(sum(takes[1:], takes[0]))
-    return placed(rows).select(
+        before_end = F.lit(False)
+        for c in reversed(place):
+            lower = F.col(c).isNotNull() if end[c] is None else F.col(c) < F.lit(end[c])
+            before_end = F.coalesce(lower, F.lit(False)) | (F.col(c).eqNullSafe(F.lit(end[c])) & before_end)
+        taken = queue.where(before_end)
+
+    # The last place that each epoch takes of a source; no row moves to learn whether it lies before it.
+    spot = F.struct("key", F.col("doc_id").isNull().alias("no_id"), "doc_id", "size")
+    ends = [f"end{e}" for e in range(most_epochs)]
+    lasts = [
+        F.max(F.when(F.col("epoch") == e, F.struct(spot.alias("spot"), "cum", "behind"))).alias(end)
+        for e, end in enumerate(ends)
+    ]
+    taken = taken.groupBy(F.col("source").alias("s")).agg(*lasts)
+    bounds = aims.join(taken, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
+    bounds = lookup(bounds, "bounds")
+
+    def bounded(table: DataFrame) -> DataFrame:
+        return sized(table).join(bounds, F.col("source").eqNullSafe(F.col("s")))
+
+    placed_rows = bounded(docs).withColumn("nth", F.lit(1))
+    # Where an epoch ends between equal rows, those alone are numbered: it takes the last of them.
+    cut = bounds.select("s", F.explode(F.array(*ends)).alias("end")).where("end.behind > 0")
+    cut = lookup(cut.select("s", F.col("end.spot.doc_id").alias("id")).distinct(), "cut")
+    if not cut.isEmpty():
+        halved = [(F.col(f"{end}.spot") == spot) & (F.col(f"{end}.behind") > 0) for end in ends]
+        halved = F.greatest(F.lit(False), *halved)
+        few = docs.join(cut, docs[source].eqNullSafe(cut["s"]) & docs[doc_id].eqNullSafe(cut["id"]), "left_semi")
+        equal_rows = W.partitionBy("source", "key", "doc_id", "size").orderBy("size")
+        numbered = bounded(few).where(halved).withColumn("nth", F.row_number().over(equal_rows))
+        placed_rows = placed_rows.where(~halved).unionByName(numbered)
+
+    def takes(end: str) -> Column:
+        at_end = (spot == F.col(f"{end}.spot")) & (F.col("nth") * F.col("size") > F.col(f"{end}.behind"))
+        return F.when((spot < F.col(f"{end}.spot")) | at_end, 1).otherwise(0)
+
+    copies_taken = F.when(F.col("size") == 0, 1).otherwise(sum(map(takes, ends[1:]), takes(ends[0])))
+    return placed_rows.select(
         "row", "size", "source_size", "target", copies_taken.alias("copies"),
         (F.col("size") * copies_taken).cast("long").alias("taken"),
     )

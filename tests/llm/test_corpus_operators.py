@@ -168,6 +168,39 @@ def test_mix(spark):
     assert [(r["taken"], r["copies"]) for r in mixing.mix(blank).collect()] == [(0, 1)]
 
 
+def test_mix_of_repeated_rows(spark):
+    """An epoch may end between equal rows; null ids and repeated ids have several sizes."""
+    for seed in range(4):
+        rng = random.Random(seed)
+        ids = [None, None, *range(6)] if seed % 2 else [None, *range(60)]
+        rows = [(rng.choice(ids), rng.choice(["a", "a", "b", None]), rng.choice([0, 3, 3, 40])) for _ in range(120)]
+        docs = spark.createDataFrame([(d, s, " ".join(["w"] * n)) for d, s, n in rows], "doc_id long, source string, text string")
+        # A null id comes last among equal keys; no other id has its key here.
+        _, taken = _mix_by_hand(rows)
+        got = mixing.mix(docs).select("row.doc_id", "row.source", "size", "copies", "taken").collect()
+        assert Counter((r["doc_id"], r["source"], r["size"], r["taken"]) for r in got) == Counter((*r, t) for r, t in zip(rows, taken))
+        assert all(r["taken"] == r["size"] * r["copies"] or not r["size"] for r in got)
+
+
+def test_mix_moves_no_text(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    spark.range(500).selectExpr(
+        "id as doc_id", "concat('s', id % 3) as source", "repeat(concat('w', id, ' '), cast(id % 7 as int)) as text"
+    ).write.parquet(str(tmp_path / "docs"))
+    written, write = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        written.append(self._df.columns)
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    mixed = mixing.mix(spark.read.parquet(str(tmp_path / "docs")))
+    p = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in p and "Window" not in p and p.count("regexp_extract_all") == 1
+    assert written and not any({"row", "text"} & {*columns} for columns in written)
+
+
 def test_url_rules(spark):
     urls = {
         "https://www.example.com/en/x?q#f": ("www.example.com", "/en/x", "www.example.com/en/", "allow"),
