@@ -83,11 +83,14 @@ def _flat_counters():
     return au.flat_counters("text", "label", ["row_id", "text", "label"])
 
 
-def _hier_counters():
-    return au.hierarchical_counters(
-        "instruction", "response", "category", "intent",
-        ["instruction", "intent", "category", "response"], TEXT_CAP, RESPONSE_CAP,
-    )
+_HIER_AUDIT = (
+    "instruction", "response", "category", "intent",
+    ["instruction", "intent", "category", "response"], TEXT_CAP, RESPONSE_CAP,
+)
+
+
+def _hier_counters(measured=False):
+    return au.hierarchical_counters(*_HIER_AUDIT, measured=measured)
 
 
 def _tagged(spark, d):
@@ -129,8 +132,9 @@ report AS (SELECT {_HIER_SQL} FROM cleaned)
 SELECT metric, value::BIGINT AS value, value = 0 AS ok
 FROM report UNPIVOT (value FOR metric IN ({', '.join(_HIER_NAMES[1:])}))""")
 def audit_gate_after_cleaning(spark, d):
-    cleaned = cl.clean_hierarchical(dirty(spark, d), text_cap=TEXT_CAP, response_cap=RESPONSE_CAP)
-    return au.gate(au.audit(cleaned, _hier_counters()), _HIER_NAMES[1:])
+    facts = au.hierarchical_facts(*_HIER_AUDIT)
+    cleaned = cl.clean_hierarchical(dirty(spark, d), text_cap=TEXT_CAP, response_cap=RESPONSE_CAP, facts=facts)
+    return au.gate(au.audit(cleaned, _hier_counters(measured=True)), _HIER_NAMES[1:])
 
 
 @query(f"""WITH {SQL_INJECTED},

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanmark.functions import text as tx
+from gleanmark.functions.keys import content_key
 from gleanmark.operators.dedup import duplicates_beyond_first
 
 # Length limits of the audits.
@@ -43,7 +44,7 @@ def flat_counters(text: str, label: str, all_columns: Sequence[str]) -> dict[str
     }
 
 
-def hierarchical_counters(
+def hierarchical_facts(
     instruction: str,
     response: str,
     category: str,
@@ -52,23 +53,48 @@ def hierarchical_counters(
     instruction_cap: int = INSTRUCTION_CAP,
     response_cap: int = RESPONSE_CAP,
 ) -> dict[str, Column]:
-    """The eleven counters of a corpus with a category above its label."""
+    """What each counter of :func:`hierarchical_counters` needs of a row: a key to count duplicates by, else a flag."""
     i, r, c = tx.as_text(instruction), tx.as_text(response), tx.as_text(category)
     return {
-        "n_rows": F.count("*"),
-        "null_intent": count_where(F.col(intent).isNull()),
-        "duplicate_instruction_intent": duplicates_beyond_first(instruction, intent),
-        "duplicate_rows": duplicates_beyond_first(*all_columns),
-        "mojibake_response": count_where(tx.has_mojibake(r)),
-        "instruction_over_cap": count_where(tx.exceeds(i, instruction_cap)),
-        "response_over_cap": count_where(tx.exceeds(r, response_cap)),
-        "category_not_upper": count_where(c != F.upper(c)),
-        "instruction_edge_whitespace": count_where(tx.has_edge_whitespace(i)),
-        "instruction_multi_space": count_where(tx.has_multi_space(i)),
-        "instruction_has_tab": count_where(tx.has_tab(i)),
+        "null_intent": F.col(intent).isNull(),
+        "duplicate_instruction_intent": content_key(instruction, intent),
+        "duplicate_rows": content_key(*all_columns),
+        "mojibake_response": tx.has_mojibake(r),
+        "instruction_over_cap": tx.exceeds(i, instruction_cap),
+        "response_over_cap": tx.exceeds(r, response_cap),
+        "category_not_upper": c != F.upper(c),
+        "instruction_edge_whitespace": tx.has_edge_whitespace(i),
+        "instruction_multi_space": tx.has_multi_space(i),
+        "instruction_has_tab": tx.has_tab(i),
     }
 
 
+def hierarchical_counters(
+    instruction: str,
+    response: str,
+    category: str,
+    intent: str,
+    all_columns: Sequence[str],
+    instruction_cap: int = INSTRUCTION_CAP,
+    response_cap: int = RESPONSE_CAP,
+    measured: bool = False,
+) -> dict[str, Column]:
+    """The eleven counters of a corpus with a category above its label.
+
+    With ``measured`` the corpus has the columns of :func:`hierarchical_facts`, and no
+    text is read.
+    """
+    facts = hierarchical_facts(instruction, response, category, intent, all_columns, instruction_cap, response_cap)
+    keys = {"duplicate_instruction_intent": [instruction, intent], "duplicate_rows": all_columns}
+    counters = {"n_rows": F.count("*")}
+    for name, fact in facts.items():
+        if name in keys:
+            counters[name] = duplicates_beyond_first(*keys[name], hashed=name if measured else None)
+        else:
+            counters[name] = count_where(F.col(name) if measured else fact)
+    return counters
+
+
 def audit(df: DataFrame, counters: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """One row per group of ``by`` (one row in all without it), one column per counter."""
     return df.groupBy(*by).agg(*[c.alias(n) for n, c in counters.items()])

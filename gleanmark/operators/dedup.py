@@ -48,6 +48,9 @@ def keep_first(
     )
 
 
-def duplicates_beyond_first(*cols: str) -> Column:
-    """Aggregate: rows that repeat an earlier row on ``cols``."""
-    return F.count("*") - F.count_distinct(content_key(*cols))
+def duplicates_beyond_first(*cols: str, hashed: str | None = None) -> Column:
+    """Aggregate: rows that repeat an earlier row on ``cols``.
+
+    ``hashed`` names a column that already holds ``content_key(*cols)``.
+    """
+    return F.count("*") - F.count_distinct(F.col(hashed) if hashed else content_key(*cols))

@@ -9,7 +9,7 @@ over the tags and reads no text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanmark.functions import text as tx
@@ -64,13 +64,19 @@ def tag_hierarchical(
     text_cap: int = INSTRUCTION_CAP,
     response_cap: int = RESPONSE_CAP,
     recollapse: bool = False,
+    facts: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Cleaned columns plus ``failed_step``: null for rows that stay.
 
     Steps, in order: drop null labels; first row per raw (text, label); normalise
     text and response; upper-case the category; drop over-long rows; first row per
     cleaned (text, label).
+
+    ``facts`` are further columns, expressions over the cleaned ones.  They are
+    written with the text, so a report on them reads no text again, nor moves it
+    to the fates of its key where those are too many to broadcast.
     """
+    facts = facts or {}
     raw = df.withColumn("_raw_key", content_key(text, label))
     keyed = (
         normalise_columns(raw, [text, response], mojibake=[response], recollapse=recollapse)
@@ -83,7 +89,7 @@ def tag_hierarchical(
             ),
         )
     )
-    keyed = stage(keyed.withColumn("_clean_key", content_key(text, label)), "normalised")
+    keyed = stage(keyed.withColumns({"_clean_key": content_key(text, label), **facts}), "normalised")
     fates = lookup(_fates(keyed, row_id, label), "fates")
     step = (
         F.when(F.col(label).isNull(), HIERARCHICAL_STEPS[0])
@@ -91,7 +97,7 @@ def tag_hierarchical(
         .when(~F.col("_fits"), HIERARCHICAL_STEPS[2])
         .when(F.col("_clean_first") != F.col(row_id), HIERARCHICAL_STEPS[3])
     )
-    return keyed.join(fates, "_raw_key", "left").select(*df.columns, step.alias("failed_step"))
+    return keyed.join(fates, "_raw_key", "left").select(*df.columns, *facts, step.alias("failed_step"))
 
 
 def _fates(keyed: DataFrame, row_id: str, label: str) -> DataFrame:

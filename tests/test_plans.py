@@ -64,6 +64,33 @@ def test_cleaning_log_reads_no_text_again(spark, tmp_path, written):
     assert "text:string" not in p and "ArrowEvalPython" not in p
 
 
+def test_audit_of_a_cleaned_corpus_moves_no_text(spark, tmp_path, written):
+    """Also where the fates of the keys are too many to broadcast."""
+    from gleanmark.operators import audit as au
+    from gleanmark.plans.cleaning import clean_hierarchical
+
+    columns = ("text", "response", "category", "label", ["text", "label", "category", "response"])
+    df = table(spark, tmp_path).drop("split", "unused").withColumn("text", F.expr("if(row_id % 4 = 1, 'a  b', text)"))
+    copies = df.where("row_id < 300").withColumns({"row_id": F.col("row_id") + 2000, "category": F.lit("c")})
+    df.unionByName(copies).write.parquet(str(tmp_path / "copied"))
+    df = spark.read.parquet(str(tmp_path / "copied"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plain = clean_hierarchical(df, text="text", label="label")
+        written.clear()
+        cleaned = clean_hierarchical(df, text="text", label="label", facts=au.hierarchical_facts(*columns))
+        report = au.audit(cleaned, au.hierarchical_counters(*columns, measured=True))
+        p = plan(report)
+        assert "SortMergeJoin" in p and "text:string" not in p and "response:string" not in p
+        assert not any("text" in c for c, w in written if "normalised" in w)  # read again for keys alone
+        assert "".join(w for _, w in written).count("ArrowEvalPython") == 1
+        assert report.first() == au.audit(plain, au.hierarchical_counters(*columns)).first()
+        assert cleaned.select(*plain.columns).exceptAll(plain).isEmpty() and cleaned.count() == plain.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_split_of_a_cleaned_corpus_normalises_once(spark, written):
     p = plan(catalog.load()["clean_split_sizes"].run(spark, SF_DIR))
     plans = [p, *[w for _, w in written]]
