@@ -119,10 +119,12 @@ SELECT metric, max(value) FILTER (WHERE side = 'all_before')::BIGINT AS all_befo
 FROM long GROUP BY metric""")
 def audit_before_and_after_cleaning(spark, d):
     before = stage(dirty(spark, d), "dirty")
-    after = cl.clean_hierarchical(before, text_cap=TEXT_CAP, response_cap=RESPONSE_CAP)
+    facts = au.hierarchical_facts(*_HIER_AUDIT)
+    after = cl.clean_hierarchical(before, text_cap=TEXT_CAP, response_cap=RESPONSE_CAP, facts=facts)
     counters = _hier_counters()
     reports = [
-        au.audit(df, counters).withColumn("split", F.lit("all")) for df in (before, after)
+        au.audit(df, c).withColumn("split", F.lit("all"))
+        for df, c in ((before, counters), (after, _hier_counters(measured=True)))
     ]
     return au.before_after(*reports, list(counters), "split")
 

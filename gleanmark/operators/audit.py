@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleanmark.functions import text as tx
 from gleanmark.functions.keys import content_key
 from gleanmark.operators.dedup import duplicates_beyond_first
+from gleanmark.session import stage
 
 # Length limits of the audits.
 SHORT_CHARS = 10
@@ -108,13 +109,15 @@ def as_long(report: DataFrame, counters: Sequence[str], by: Sequence[str] = ())
 def before_after(before: DataFrame, after: DataFrame, counters: Sequence[str], split: str) -> DataFrame:
     """Per counter: value before and after, one column pair per split.
 
-    Columns are ``<split>_before`` and ``<split>_after`` for the splits found.
+    Columns are ``<split>_before`` and ``<split>_after`` for the splits found.  The
+    reports are written first: a pivot looks for its columns in a job of its own, which
+    would run both audits once more.
     """
     tagged = as_long(before, counters, [split]).withColumn("phase", F.lit("before")).unionByName(
         as_long(after, counters, [split]).withColumn("phase", F.lit("after"))
     )
     return (
-        tagged.withColumn("column", F.concat_ws("_", split, "phase"))
+        stage(tagged, "reports").withColumn("column", F.concat_ws("_", split, "phase"))
         .groupBy("metric")
         .pivot("column")
         .agg(F.sum("value"))

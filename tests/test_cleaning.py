@@ -150,6 +150,26 @@ def test_before_after_report(spark, rows):
     assert rows(report) == [("edge_whitespace", 0, 0, 0, 1), ("n_rows", 1, 1, 1, 1)]
 
 
+def test_before_after_runs_each_audit_once(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    made = [(" a", "x", "train"), (None, "x", "test"), (" a", "x", "train"), ("b", None, None)]
+    df = spark.createDataFrame(made, "text string, label string, split string").mapInPandas(
+        counted, "text string, label string, split string"
+    )
+    counters = {k: v for k, v in au.flat_counters("text", "label", ["text", "label"]).items() if k in ("n_rows", "duplicate_text")}
+    after = df.withColumn("text", F.trim("text"))
+    report = au.before_after(au.audit(df, counters, ["split"]), au.audit(after, counters, ["split"]), list(counters), "split")
+    assert report.columns == ["metric", "after", "before", "test_after", "test_before", "train_after", "train_before"]
+    assert rows(report) == [("duplicate_text", 0, 0, 0, 0, 1, 1), ("n_rows", 1, 1, 1, 1, 2, 2)]
+    assert seen.value == 8  # four rows before and four after
+
+
 def test_cleaning_stops_on_a_label_under_two_categories(spark):
     rows = [(i, f"text {i}", f"r{i}", "A" if i % 2 else "B", f"l{i % 3}") for i in range(12)]
     crossed = spark.createDataFrame(rows, "row_id int, instruction string, response string, category string, intent string")
